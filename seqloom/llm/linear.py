@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 
@@ -29,16 +28,27 @@ class Rows:
         return np.bincount(self.index, by_row[self.owner], self.width)
 
 
-def vocabulary(sets: list[set], least: int) -> dict:
-    """Features of at least so many rows, in a fixed order."""
-    counts: Counter = Counter()
-    for s in sets:
-        counts.update(s)
-    return {f: k for k, f in enumerate(sorted(f for f, n in counts.items() if n >= least))}
+class Index:
+    """Numbers features in the order in which they appear and keeps rows as arrays of numbers, so no text is held twice."""
 
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.rows: list[np.ndarray] = []
 
-def encode(sets: list[set], vocab: dict) -> Rows:
-    return Rows([np.array(sorted(vocab[f] for f in s if f in vocab), np.int64) for s in sets], len(vocab))
+    def add(self, features: set[str]) -> None:
+        number = self.number
+        self.rows.append(np.array(sorted(number.setdefault(f, len(number)) for f in sorted(features)), np.int32))
+
+    def kept(self, flags: np.ndarray) -> tuple[list[str], Rows]:
+        """The features with a flag, and the rows over them alone."""
+        place = np.cumsum(flags) - 1
+        return [f for f, k in self.number.items() if flags[k]], Rows([place[r[flags[r]]] for r in self.rows], int(flags.sum()))
+
+    def frequent(self, least: int) -> np.ndarray:
+        counts = np.zeros(len(self.number), np.int64)
+        for r in self.rows:
+            counts[r] += 1
+        return counts >= least
 
 
 def sigmoid(x: float) -> float:

@@ -115,18 +115,19 @@ def dual_coordinate_descent(rows: linear.Rows, scale: np.ndarray, y: np.ndarray,
 
 def fit_texts(texts: list[str], y: list[int], least: int = 5) -> QualityModel:
     maker, labels = Featuriser(), np.array(y)
-    sets = [maker.features(t) for t in texts]
-    vocab = linear.vocabulary(sets, min(least, max(1, len(texts) // 20)))
-    if len(set(y)) < 2 or not vocab:
+    if len(set(y)) < 2:
         share = float(np.mean(labels > 0)) if len(y) else 0.5
         return QualityModel({}, float(np.log((share + 0.01) / (1.01 - share))), (1.0, 0.0))
-    rows = linear.encode(sets, vocab)
+    index = linear.Index()
+    for t in texts:
+        index.add(maker.features(t))
+    names, rows = index.kept(index.frequent(min(least, max(1, len(texts) // 20))))
     ratios = log_count_ratios(rows, labels)
     w, bias = dual_coordinate_descent(rows, ratios, labels)
     final = w * ratios
     scale = linear.calibrate(rows.times(final) + bias, labels)
     keep = np.abs(final) > 1e-9
-    return QualityModel({f: float(final[k]) for f, k in vocab.items() if keep[k]}, bias, scale)
+    return QualityModel({f: float(final[k]) for k, f in enumerate(names) if keep[k]}, bias, scale)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, per_class: int = 1500) -> QualityModel:

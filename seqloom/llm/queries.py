@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from .language_id import op1_language_id
 from .quality import op8_quality_classifier
+from .token_ids import op9_token_ids
 from .toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op8_quality_classifier, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op8_quality_classifier, op9_token_ids, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}

@@ -116,21 +116,30 @@ def fit_texts(texts: list[str], y: list[int], groups=IDENTITY_TERMS, penalty: fl
     if len(set(y)) < 2:
         share = float(labels.mean()) if len(y) else 0.0
         return ToxicityModel({}, float(np.log((share + 0.01) / (1.01 - share))))
-    sets = [features(t) for t in texts]
-    pairs = [(k, other) for k, t in enumerate(texts) for other in swapped(t, groups)]
-    vocab = every_vocab = linear.vocabulary(sets, min(least, max(1, len(texts) // 20)))
-    every = linear.encode(sets, vocab)
+    index = linear.Index()
+    for t in texts:
+        index.add(features(t))
+    flags = index.frequent(min(least, max(1, len(texts) // 20)))
+    names, rows = index.kept(flags)
     # What a feature counts for grows with the evidence that it tells the classes apart (its log-likelihood ratio);
     # what may well be chance, given that so many features are tried, is left out.
-    evidence = log_likelihood(every.gather(labels), labels.sum(), every.gather(1 - labels), (1 - labels).sum())
+    evidence = log_likelihood(rows.gather(labels), labels.sum(), rows.gather(1 - labels), (1 - labels).sum())
     identity = {f for g in groups for w in g for f in word_features(w)}
-    vocab = {f: n for n, f in enumerate(f for f, k in vocab.items() if evidence[k] >= weak or f in identity)}
-    value = np.array([min(1.0, evidence[k] / strong) if evidence[k] >= weak else 0.3 for f, k in every_vocab.items() if f in vocab])
-    rows = linear.encode(sets, vocab)
-    was, now = linear.encode([sets[k] for k, _ in pairs], vocab), linear.encode([features(t) for _, t in pairs], vocab)
+    chosen = (evidence >= weak) | np.array([f in identity for f in names], bool)
+    flags[np.flatnonzero(flags)[~chosen]] = False
+    value = np.where(evidence >= weak, np.minimum(1.0, evidence / strong), 0.3)[chosen]
+    names, rows = index.kept(flags)
+    del index
+    place = {f: k for k, f in enumerate(names)}
+
+    def encoded(some: list[str]) -> linear.Rows:
+        return linear.Rows([np.array(sorted(place[f] for f in features(t) if f in place), np.int64) for t in some], len(place))
+
+    pairs = [(t, other) for t in texts for other in swapped(t, groups)]
+    was, now = encoded([t for t, _ in pairs]), encoded([t for _, t in pairs])
     weight = np.where(labels > 0, share / labels.sum(), (1 - share) / (1 - labels).sum())
-    w, bias = np.zeros(len(vocab)), np.zeros(1)
-    mean, square = np.zeros(len(vocab) + 1), np.zeros(len(vocab) + 1)
+    w, bias = np.zeros(len(names)), np.zeros(1)
+    mean, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for r in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(rows.times(value * w) + bias, -30, 30)))
         g = weight * (p - labels)
@@ -144,10 +153,10 @@ def fit_texts(texts: list[str], y: list[int], groups=IDENTITY_TERMS, penalty: fl
         w, bias = w - step[:-1], bias - step[-1]
     w = w * value
     keep = np.abs(w) > 1e-4
-    return ToxicityModel({f: float(w[k]) for f, k in vocab.items() if keep[k]}, float(bias[0]))
+    return ToxicityModel({f: float(w[k]) for k, f in enumerate(names) if keep[k]}, float(bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500, **options) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 1500, **options) -> ToxicityModel:
     """Learns from at most per_class documents of each label; they are chosen from the labels alone, before a text is read.
 
     A document with several labels counts with its largest.
