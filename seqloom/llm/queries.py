@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_decontamination
 from .fingerprints import op4_fingerprints
 from .language_id import op1_language_id
 from .mixing import op3_mixing
@@ -10,6 +11,6 @@ from .secrets import op5_secrets
 from .token_ids import op9_token_ids
 from .toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_mixing, op4_fingerprints, op5_secrets, op8_quality_classifier, op9_token_ids, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op8_quality_classifier, op9_token_ids, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
