@@ -27,9 +27,9 @@ from .store import Writer, attempt_file, reader
 FOOT = "<BQQQ4s"
 FOOT_SIZE = struct.calcsize(FOOT)
 END_ID = 2
-CACHED_WORDS = 250_000
-#: A character that is a token of its own; it parts the words that are encoded together.
-PART = "\x01"
+CACHED_WORDS = 600_000
+#: Marks that are tokens of their own after letters; the apostrophe, which some tokenizers join to letters, isn't one.
+TAIL = ".,;:!?%*#$&|"
 READ_IDS = 1 << 20
 
 
@@ -42,8 +42,8 @@ def default_vocabulary() -> str:
 class CachedTokenizer:
     """Encodes texts word by word and keeps the ids of words.
 
-    Valid for tokenizers that drop white space and never join across it (split_by_space says whether this one does);
-    any other tokenizer gets whole texts.
+    That holds for tokenizers which drop white space, never join across it and mark the end of each word (start tries
+    whether this one does, in split_by_space); any other gets whole texts.
     """
 
     def __init__(self, spec: str):
@@ -69,28 +69,42 @@ class CachedTokenizer:
         parts = json.loads(self.spec)
         names = [x.get("pattern", {}).get("Regex", "") for x in (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         plain = all(not (t["lstrip"] or t["rstrip"] or " " in t["content"]) for t in parts.get("added_tokens", []))
-        mark = self.ids(PART)
-        self.mark = mark[0] if len(mark) == 1 else None
-        self.split_by_space = plain and any("[^\\s" in x for x in names) and self.mark is not None and not self.ids(" \n") and self.ids("a b") == self.ids("a") + self.ids("b")
+        close = (parts.get("model") or {}).get("end_of_word_suffix") or "</w>"
+        self.closing = np.zeros(self.tok.get_vocab_size(), bool)
+        self.closing[[k for t, k in self.tok.get_vocab().items() if t.endswith(close)]] = True
+        self.split_by_space = plain and any("[^\\s" in x for x in names) and not self.ids(" \n") and self.ids("ab, b") == self.ids("ab") + self.ids(",") + self.ids("b")
 
     def ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def learn(self, words: list[str]) -> None:
-        """Encodes new words, many at a time with a mark between them; those that hold the mark go alone."""
-        alone = [w for w in words if PART in w]
-        words = [w for w in words if PART not in w]
-        for at in range(0, len(words), 1000):
-            part = words[at : at + 1000]
-            ids = np.array(self.ids(f" {PART} ".join(part)), np.uint32)
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(part) - 1:  # a word has the mark's id in it
+        """Encodes new words: letters many at a time, punctuation after letters by itself, and any other word alone."""
+        cache, plain, tailed, alone = self.cache, [], [], []
+        for w in words:
+            if w.isalpha():
+                plain.append(w)
+            elif (core := w.rstrip(TAIL)).isalpha():
+                tailed.append((w, core))
+            else:
+                alone.append(w)
+        plain = list(dict.fromkeys(plain + [core for _, core in tailed if core not in cache]))
+        width = np.dtype(self.dtype).itemsize
+        for at in range(0, len(plain), 2000):
+            part = plain[at : at + 2000]
+            ids = np.array(self.ids(" ".join(part)), np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) != len(part):  # lower case made more than letters of a word
                 alone += part
                 continue
-            raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-            begin, ends = [0, *((cuts + 1) * width).tolist()], [*(cuts * width).tolist(), len(raw)]
-            self.cache.update((w, raw[a:b]) for w, a, b in zip(part, begin, ends, strict=True))
-        self.cache.update((w, np.array(self.ids(w), self.dtype).tobytes()) for w in alone)
+            raw, cuts = ids.astype(self.dtype).tobytes(), [0, *(ends * width).tolist()]
+            cache.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:], strict=False))
+        for w in alone:
+            cache[w] = np.array(self.ids(w), self.dtype).tobytes()
+        for w, core in tailed:
+            tail = w[len(core) :]
+            if tail not in cache:
+                cache[tail] = np.array(self.ids(tail), self.dtype).tobytes()
+            cache[w] = cache[core] + cache[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes in the order of the machine-independent file."""
