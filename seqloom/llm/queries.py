@@ -6,11 +6,12 @@ from .decontaminate import op2_decontamination
 from .fingerprints import op4_fingerprints
 from .language_id import op1_language_id
 from .mixing import op3_mixing
+from .order_minhash import op7_near_duplicates
 from .quality import op8_quality_classifier
 from .secrets import op5_secrets
 from .token_ids import op9_token_ids
 from .toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op8_quality_classifier, op9_token_ids, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op7_near_duplicates, op8_quality_classifier, op9_token_ids, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
