@@ -11,7 +11,8 @@ from .quality import op8_quality_classifier
 from .secrets import op5_secrets
 from .token_ids import op9_token_ids
 from .toxicity import op10_toxicity
+from .warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op7_near_duplicates, op8_quality_classifier, op9_token_ids, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op6_warc, op7_near_duplicates, op8_quality_classifier, op9_token_ids, op10_toxicity)}
 
 ORACLES: dict[str, str] = {}
