@@ -137,26 +137,45 @@ def calibrate(cells: DataFrame, targets: dict[str, dict] | None = None, budget:
     return spark.createDataFrame(table, "source string, lang string, topic string, weight double, prob double")
 
 
-def mix(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
-    """doc_id, the dimensions, tokens, weight, prob and sampled of every row of docs (doc_id, text, source, lang).
-
-    A null source or language is a value of its own, written as an empty text.
-    """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+def described(docs: DataFrame) -> list[Column]:
+    """The dimensions and tokens of a row with text, source and lang; a null source or language is a value of its own, an empty text."""
+    return [
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
         topic_of(F.col("text")).alias("topic"),
         tokens_of(F.col("text")).alias("n_tokens"),
-    )
-    rows = staged(rows, "mixing-documents")  # narrow: the texts are read once
+    ]
+
+
+def chance(doc_id: str, seed: int) -> Column:
+    """A number from 0 to 1 that the id alone decides."""
+    return F.xxhash64(F.lit(seed), F.coalesce(F.col(doc_id).cast("long"), F.lit(-1))).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+
+
+def fitted_cells(rows: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET) -> DataFrame:
+    """source, lang, topic, weight and prob of the cells of rows (the dimensions, n_tokens)."""
     cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
-    calibrated = calibrate(cells, targets, budget).select(*DIMENSIONS, "weight", "prob")
+    return calibrate(cells, targets, budget).select(*DIMENSIONS, "weight", "prob")
+
+
+def mix(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
+    """doc_id, the dimensions, tokens, weight, prob and sampled of every row of docs (doc_id, text, source, lang)."""
+    rows = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *described(docs)), "mixing-documents")  # narrow: texts are read once
     # Cells are small beside documents; Spark broadcasts them if their size is below its threshold and else splits hot ones.
-    chance = (F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1))).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)).alias("chance")
-    return rows.join(calibrated, list(DIMENSIONS)).select(
-        "doc_id", *DIMENSIONS, "n_tokens", "weight", "prob", (chance < F.col("prob")).alias("sampled")
+    return rows.join(fitted_cells(rows, targets, budget), list(DIMENSIONS)).select(
+        "doc_id", *DIMENSIONS, "n_tokens", "weight", "prob", (chance("doc_id", seed) < F.col("prob")).alias("sampled")
+    )
+
+
+def keep_sampled(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
+    """The sampled rows of docs, with all their columns."""
+    cells = fitted_cells(docs.select(*described(docs)), targets, budget).select(
+        *(F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS), F.col("prob").alias("_cell_prob")
     )
+    here = [c.alias(f"_own_{d}") for c, d in zip(described(docs), DIMENSIONS, strict=False)]
+    rows = docs.select("*", *here)
+    match = [F.col(f"_own_{d}") == F.col(f"_cell_{d}") for d in DIMENSIONS]
+    return rows.join(cells, match).where(chance("doc_id", seed) < F.col("_cell_prob")).select(*docs.columns)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
