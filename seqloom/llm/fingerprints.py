@@ -74,6 +74,7 @@ def fingerprint(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     links = successors(rows.select("key", "tie", F.length("text").alias("n_chars")))
     if not links.where("copies > 1").isEmpty():
         rows = rows.dropDuplicates(["key", "tie"])
+    rows = rows.repartition("key", "tie")  # both uses below read this one exchange
     following = rows.withColumnsRenamed({"key": "next_key", "tie": "next_tie", "text": "next_text"})
     nexts = with_sketch(links.join(following, ["next_key", "next_tie"]), "next_text", "next_sketch", scale).select(
         "key", "tie", "n_chars", "copies", "next_sketch", F.expr("substring(next_text, 1, cast(floor(n_chars / 3) as int))").alias("head")
