@@ -57,6 +57,8 @@ def features(text: str) -> set[str]:
 
 def swapped(text: str, groups: tuple[tuple[str, ...], ...], at_most: int = 3) -> list[str]:
     """Counterfactual texts: each identity term moved to another of its group, by the same number of places."""
+    if not groups:
+        return []
     place = {w: (g, i) for g in groups for i, w in enumerate(g)}
 
     def moved(step: int) -> str:
