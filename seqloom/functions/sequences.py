@@ -144,4 +144,4 @@ def profile_orf_slice(seq: Column, start_aa: Column, end_aa: Column, frame_numbe
 
 def coverage_of(name: Column) -> Column:
     """The number after _Cov_ (in either case) in a name, else null."""
-    return F.nullif(F.regexp_extract(name, "_[Cc]ov_([^_]*)", 1), F.lit("")).try_cast("double")
+    return F.nullif(F.regexp_extract(name, "_[Cc]ov_([0-9.eE+-]*)", 1), F.lit("")).try_cast("double")

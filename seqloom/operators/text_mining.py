@@ -21,7 +21,11 @@ def tfidf(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -
     Terms of fewer than least_df records of the family are left out.
     """
     words = sequences.kmers(F.col("seq"), k)
-    grams = [words] if longest == 1 else [F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i, n=n: F.array_join(F.slice(words, i + 1, n), " ")) for n in range(1, longest + 1)]
+
+    def runs(n: int):
+        return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+
+    grams = [words, *(runs(n) for n in range(2, longest + 1))]
     lists = F.concat(*(F.when(F.size(words) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)))
     tf = records.select("og", "id", F.explode(lists).alias("term")).groupBy("og", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
     sizes = records.groupBy("og").agg(F.count_distinct("id").alias("n"))
