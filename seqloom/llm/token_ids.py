@@ -15,6 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from itertools import accumulate
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from .store import Writer, attempt_file, reader
 FOOT = "<BQQQ4s"
 FOOT_SIZE = struct.calcsize(FOOT)
 END_ID = 2
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 #: Marks that are tokens of their own after letters; the apostrophe, which some tokenizers join to letters, isn't one.
 TAIL = ".,;:!?%*#$&|"
 READ_IDS = 1 << 20
@@ -74,6 +75,14 @@ class CachedTokenizer:
         self.closing[[k for t, k in self.tok.get_vocab().items() if t.endswith(close)]] = True
         self.split_by_space = plain and any("[^\\s" in x for x in names) and not self.ids(" \n") and self.ids("ab, b") == self.ids("ab") + self.ids(",") + self.ids("b")
 
+        self.lean = self.tok
+        if self.split_by_space and [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+            # For composed letters alone, lower case and the model are all that is left to do.
+            parts["normalizer"] = {"type": "Lowercase"}
+            byte_level = [x for x in parts["pre_tokenizer"]["pretokenizers"] if x.get("type") == "ByteLevel"]
+            parts["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *byte_level]}
+            self.lean = Tokenizer.from_str(json.dumps(parts))
+
     def ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -81,7 +90,9 @@ class CachedTokenizer:
         """Encodes new words: letters many at a time, punctuation after letters by itself, and any other word alone."""
         cache, plain, tailed, alone = self.cache, [], [], []
         for w in words:
-            if w.isalpha():
+            if "\u0130" in w:  # the one letter that lower case gives a mark, which goes with what follows
+                alone.append(w)
+            elif w.isalpha():
                 plain.append(w)
             elif (core := w.rstrip(TAIL)).isalpha():
                 tailed.append((w, core))
@@ -91,7 +102,9 @@ class CachedTokenizer:
         width = np.dtype(self.dtype).itemsize
         for at in range(0, len(plain), 2000):
             part = plain[at : at + 2000]
-            ids = np.array(self.ids(" ".join(part)), np.uint32)
+            joined = " ".join(part)
+            tok = self.lean if is_normalized("NFC", joined) else self.tok
+            ids = np.array(tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) != len(part):  # lower case made more than letters of a word
                 alone += part
@@ -113,10 +126,10 @@ class CachedTokenizer:
         if not self.split_by_space:
             return [np.array(self.ids(t), self.dtype).tobytes() for t in texts]
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self.cache}
+        new = set().union(*split).difference(self.cache)
         if len(self.cache) + len(new) > CACHED_WORDS:
             self.cache.clear()
-            new = {w for words in split for w in words}
+            new = set().union(*split)
         self.learn(sorted(new))
         return [b"".join(map(self.cache.__getitem__, words)) for words in split]
 
@@ -138,7 +151,7 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = E
     def write(batches):
         out, path, ends, doc_ids, end = None, None, [], [], np.array([end_id])
         tok = sent.value
-        for ids, texts in blocks(batches):
+        for ids, texts in blocks(batches, 2_000_000):
             if out is None:
                 out = Writer(path := attempt_file(folder, ".ids"))
             coded = tok.encode(texts)
