@@ -96,3 +96,23 @@ def with_family_data(references: DataFrame, queries: DataFrame) -> DataFrame:
     """Reference records of families that have query records, and the query records."""
     kept = references.join(queries.select("og").distinct(), "og", "left_semi")
     return kept.unionByName(queries)
+
+
+def bundle(queries: DataFrame, alignments: DataFrame, tree_files: DataFrame | None = None) -> DataFrame:
+    """og with the paths of its query file, its alignment and, if given, its tree; families that lack one are left out."""
+    out = queries.select("og", F.col("path").alias("query_path")).join(alignments.select("og", F.col("path").alias("alignment_path")), "og")
+    return out if tree_files is None else out.join(tree_files.select("og", F.col("path").alias("tree_path")), "og")
+
+
+def left_out(bundled: DataFrame, *catalogues: DataFrame) -> DataFrame:
+    """og and in how many of the file catalogues each family is that isn't in the bundle."""
+    every = catalogues[0].select("og").distinct()
+    for c in catalogues[1:]:
+        every = every.unionByName(c.select("og").distinct())
+    return every.groupBy("og").agg(F.count(F.lit(1)).alias("catalogues")).join(bundled.select("og"), "og", "left_anti")
+
+
+def summary(records: DataFrame, prokaryote: bool = False) -> DataFrame:
+    """One row: sequences, complete coding sequences among them, and loci."""
+    complete = sequences.is_complete_cds(F.col("seq"), prokaryote)
+    return records.agg(F.count(F.lit(1)).alias("sequences"), F.count_if(complete).alias("complete"), F.count_distinct("locus").alias("loci"))

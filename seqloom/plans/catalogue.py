@@ -149,6 +149,22 @@ def longest_isoform(spark, sf_dir):
     return records.longest_isoform(rows).select("locus", "protein", "ord", F.length("seq").cast("long").alias("length"))
 
 
+@query(
+    sql("nt", "").rstrip() + ", " + _HEADERS + " SELECT count(*)::BIGINT AS sequences, count(*) FILTER (length(seq) % 3 = 0 AND right(seq, 3) IN ('TGA','TAA','TAG') AND left(seq, 3) = 'ATG')::BIGINT AS complete, count(DISTINCT locus)::BIGINT AS loci FROM nt JOIN tags ON tags.doc_id = nt.doc_id"
+)
+def record_summary(spark, sf_dir):
+    """How many sequences, complete ones and loci there are."""
+    return records.summary(_headers(spark, sf_dir).select(names.locus_of(F.col("header")).alias("locus"), "seq"))
+
+
+@query("SELECT 'OG_' || p_partkey AS og, p_name AS query_path, s_name AS alignment_path, c_name AS tree_path FROM part JOIN supplier ON p_partkey = s_suppkey JOIN customer ON c_custkey = p_partkey WHERE c_acctbal > 0")
+def path_bundle(spark, sf_dir):
+    """Families that three file catalogues have."""
+    t = lambda n, key, path: substrate.table(spark, sf_dir, n).select(F.concat(F.lit("OG_"), F.col(key).cast("string")).alias("og"), F.col(path).alias("path"))
+    trees_of = substrate.table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.concat(F.lit("OG_"), F.col("c_custkey").cast("string")).alias("og"), F.col("c_name").alias("path"))
+    return records.bundle(t("part", "p_partkey", "p_name"), t("supplier", "s_suppkey", "s_name"), trees_of)
+
+
 @query(
     sql(
         "nt",
