@@ -139,7 +139,7 @@ class PieceModel:
             self.learn_words(list(new))
         out = []
         for words in split:
-            if not words or not self.langs:
+            if not self.langs or not any(c.isalpha() for w in words for c in w):
                 out.append(("und", 0.0))
                 continue
             total = self.text_scores(words)
