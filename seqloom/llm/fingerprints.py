@@ -54,14 +54,12 @@ def successors(docs: DataFrame) -> DataFrame:
     ranged = staged(counted.orderBy(*order).withColumn("part", F.spark_partition_id()), "fingerprint-keys")
     within = Window.partitionBy("part").orderBy(*order)
     linked = ranged.withColumn("next", F.lead(F.struct("key", "tie")).over(within))
-    firsts = ranged.groupBy("part").agg(F.min(F.struct((-F.col("key").cast("decimal(20,0)")).alias("k"), "tie", "key")).alias("f")).orderBy("part").collect()
-    if not firsts:
-        return linked.select("key", "tie", "n_chars", "copies", F.col("next.key").alias("next_key"), F.col("next.tie").alias("next_tie"))
-    after = [(x["part"], y["f"]["key"], y["f"]["tie"]) for x, y in zip(firsts, firsts[1:] + firsts[:1], strict=True)]
-    gaps = docs.sparkSession.createDataFrame(after, "part int, gap_key long, gap_tie long")
-    return linked.join(F.broadcast(gaps), "part").select(
-        "key", "tie", "n_chars", "copies", F.coalesce("next.key", "gap_key").alias("next_key"), F.coalesce("next.tie", "gap_tie").alias("next_tie")
-    )
+    firsts = ranged.groupBy("part").agg(F.max_by(F.struct("key", "tie"), F.struct("key", -F.col("tie").cast("decimal(20,0)"))).alias("first"))
+    ranges = Window.orderBy("part")  # over a row for each range
+    every = ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    gaps = firsts.select("part", F.coalesce(F.lead("first").over(ranges), F.first("first").over(every)).alias("gap"))
+    after = F.coalesce("next", "gap")
+    return linked.join(F.broadcast(gaps), "part").select("key", "tie", "n_chars", "copies", after["key"].alias("next_key"), after["tie"].alias("next_tie"))
 
 
 def fingerprint(docs: DataFrame, scale: int = SCALE) -> DataFrame:
