@@ -15,4 +15,11 @@ from .warc import op6_warc
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_mixing, op4_fingerprints, op5_secrets, op6_warc, op7_near_duplicates, op8_quality_classifier, op9_token_ids, op10_toxicity)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        q AS (SELECT page_id, body, octet_length(encode(body))::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS holder FROM p),
+        r AS (SELECT *, payload_bytes >= 1000 AND page_id <> holder AS again FROM q)
+        SELECT page_id, payload_bytes, sha1(body) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN holder END AS refers_to, true AS intact FROM r""",
+}

@@ -156,8 +156,7 @@ def test_near_duplicates(spark, small, docs):
     assert kept.columns == frame.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(k) for k in set(got) if got[k] == k)
 
 
-def test_links_that_miss_the_bucket_head_are_found(spark, monkeypatch):
-    monkeypatch.setattr(order_minhash, "SMALL", 2)
+def test_links_that_miss_the_bucket_head_are_found(spark):
     passage = " ".join(f"p{k}" for k in range(120))
     rows = [(k, passage + " " + " ".join(f"o{k}x{i}" for i in range(60))) for k in range(12)]
     rows += [(20, passage + " " + " ".join(f"s{i}" for i in range(60))), (21, passage + " " + " ".join(f"s{i}" for i in range(57)) + " t1 t2 t3")]
