@@ -4,7 +4,8 @@ Each item is weighted by BM25, divided by the score it gives itself, so one thre
 postings of a term are in blocks of items, each with the largest impact in it. A passage is a window of words; windows
 whose terms can't reach the threshold by their largest impacts, or in no block by its block maxima, are passed over for
 whole documents at a time; the rest run block-max WAND, which returns every item at or above the threshold. What it
-returns is verified: enough of the five-word shingles of the item's question, and of its answer, must be in the document.
+returns is verified: of the item's question, and of its answer, half of the words at least must be in five-word shingles
+that the document has as well.
 Items are grouped by length, so that windows fit them, and split into shards of bounded size, so an index that is sent
 to the executors stays below a proven bound however many items there are; every shard is asked with every passage.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 WORD = re.compile(r"\w+")
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
-OVERLAP = 0.6
+OVERLAP = 0.5
 SHINGLE = 5
 #: Windows are half as long again as the longest item of their group, and start each half of that item's length, so an
 #: item lies in one of them whole.
@@ -49,8 +50,8 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return w[:cut], w[cut:]
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    return {tuple(words[k : k + SHINGLE]) for k in range(max(1, len(words) - SHINGLE + 1))} if words else set()
+def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
 class BlockMaxIndex:
@@ -175,21 +176,20 @@ class BlockMaxIndex:
             for item, score in self.search(inside.tolist(), THRESHOLD):
                 best[item] = max(best.get(item, 0.0), score)
         out = []
-        if best:
-            text_shingles = {SHINGLE: shingles(words)}
-            for item, score in sorted(best.items()):
-                shares = []
-                for side in self.sides[item]:
-                    size = min(SHINGLE, len(side))
-                    if not size:
-                        shares.append(1.0)
-                        continue
-                    if size not in text_shingles:
-                        text_shingles[size] = {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
-                    own = {tuple(side[k : k + size]) for k in range(len(side) - size + 1)}
-                    shares.append(len(own & text_shingles[size]) / len(own))
-                if min(shares) >= OVERLAP:
-                    out.append((self.keys[item], min(1.0, score), *shares))
+        text_shingles: dict[int, set] = {}
+        for item, score in sorted(best.items()):
+            question, answer = self.sides[item]
+            own = question + answer
+            size = min(SHINGLE, len(own))
+            if size not in text_shingles:
+                text_shingles[size] = shingles(words, size)
+            covered = [False] * len(own)
+            for k in range(len(own) - size + 1):
+                if tuple(own[k : k + size]) in text_shingles[size]:
+                    covered[k : k + size] = [True] * size
+            shares = [sum(part) / len(part) if part else 1.0 for part in (covered[: len(question)], covered[len(question) :])]
+            if min(shares) >= OVERLAP:
+                out.append((self.keys[item], min(1.0, score), *shares))
         return out
 
 
