@@ -113,9 +113,8 @@ def frame(seq: Column, number: int) -> Column:
 
 def kmers(seq: Column, k: int = 5, step: int = 1) -> Column:
     """All k-mers as an array, in order; step k leaves out those that overlap."""
-    return F.when(
-        F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1, F.lit(step)), lambda i: F.substring(seq, i, F.lit(k)))
-    ).otherwise(F.array().cast("array<string>"))
+    every = F.regexp_extract_all(seq, F.lit(f"(?=(.{{{k}}}))"), F.lit(1))
+    return every if step == 1 else F.filter(every, lambda _, i: i % step == 0)
 
 
 def is_complete_cds(seq: Column, prokaryote: bool = False) -> Column:

@@ -18,16 +18,12 @@ def aligned_codons(records: DataFrame, alignments: DataFrame) -> DataFrame:
     lo, hi = F.least("q_from", "q_to"), F.greatest("q_from", "q_to")
     part = F.substring("seq", lo, hi - lo + 1)
     orf = F.when(F.col("q_frame") < 0, sequences.reverse_complement(part)).otherwise(part)
-    joined = records.select("id", "seq").join(alignments, "id").withColumn("orf", orf)
-    plain = lambda a, i: F.length(F.translate(F.substring(a, F.lit(1), i), "-", ""))
-    walk = F.transform(
-        F.sequence(F.lit(1), F.least(F.length("q_seq"), F.length("h_seq"))),
-        lambda i: F.struct(
-            F.substring("q_seq", i, F.lit(1)).alias("q"), F.substring("h_seq", i, F.lit(1)).alias("aa"), F.substring("orf", plain(F.col("q_seq"), i) * 3 - 2, F.lit(3)).alias("codon")
-        ),
-    )
-    pairs = joined.where((F.length("q_seq") > 0) & (F.length("h_seq") > 0)).select(F.explode(walk).alias("p")).select("p.*")
-    return pairs.where("q != '-' and aa != '-' and length(codon) = 3").select("codon", "aa")
+    joined = records.select("id", "seq").join(alignments, "id").withColumn("codons", sequences.codons(orf))
+    # Letters of both rows side by side; without the query's gaps, a place is the number of a codon.
+    zipped = F.arrays_zip(F.split("q_seq", "").alias("q"), F.split("h_seq", "").alias("aa"))
+    letters = joined.withColumn("letters", F.filter(zipped, lambda x: x["q"].isNotNull() & (x["q"] != "-") & (x["q"] != "")))
+    walk = F.transform("letters", lambda x, i: F.struct(F.get("codons", i).alias("codon"), x["aa"].alias("aa")))
+    return letters.select(F.explode(walk).alias("p")).select("p.*").where("codon is not null and aa is not null and aa != '-' and aa != ''")
 
 
 def codon_consensus(pairs: DataFrame, least_share: float = 0.33, rare: float = 1e-4) -> DataFrame:
