@@ -6,8 +6,13 @@ those k-mers agree and stand in the same order. Distinct texts that share a sket
 
 1. every text of a sketch's bucket is aligned with the bucket's least id (a star, not all pairs);
 2. the aligned pairs give components;
-3. in buckets whose texts are in more than one component, texts of different components are aligned with each other,
-   so a link is never lost because it wasn't to the least id. Within a component nothing is left to find.
+3. in buckets whose texts are in more than one component, texts of different components still have to meet, so a link
+   is never lost because it wasn't to the least id (within a component nothing is left to find). They meet through rare
+   words: of two texts in which at most a fifth of the words differ, the rarest fifth (and one word) of each must share
+   a word, in whatever order words are ranked. That loses nothing, and where many texts share a passage, its words
+   are common and so rank last. A text that is linked to a head stands back behind it: heads are aligned, and by
+   the triangle inequality only texts whose heads are near enough, given how far each is from its head, follow, unless
+   the words that only one of them has already cost too many edits.
 
 Two texts are linked if their edit distance, in words, is at most a fifth of the longer one's words (similarity 0.8).
 Exact copies are one text from the start. The class of a document is the least doc_id that links lead to.
@@ -31,6 +36,10 @@ K, PICKS, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
 NO_ID = -(1 << 63)
 CACHED_WORDS = 400_000
+#: Words of a text set bits among so many longs; see least_distance.
+BAG = 128
+#: Word counts, for ranking only, are kept in so many cells; words that meet in one are ranked together.
+RANK_CELLS = 1 << 20
 #: Words times sketches that are hashed at a time.
 CELLS = 4_000_000
 
@@ -117,10 +126,111 @@ class Sketcher:
         return np.concatenate(keys).view(np.int64).tolist()
 
 
-def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
+def labelled_words(hashes: WordHashes, words: list[str]) -> np.ndarray:
+    """Hashes of the words, each with the number of its occurrence, so equal multisets have equal sets."""
+    if len(hashes) > CACHED_WORDS:
+        hashes.clear()
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    order = np.argsort(h, kind="stable")
+    first = np.r_[True, h[order][1:] != h[order][:-1]]
+    times = np.empty(len(h), np.uint64)
+    times[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+    return mixed(h + times * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_counts(texts: DataFrame) -> np.ndarray:
+    """How often words come up in texts (id, text), by cell; RANK_CELLS numbers at most reach the driver."""
+    schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        total, hashes = np.zeros(RANK_CELLS, np.int64), WordHashes()
+        for _, some in blocks(batches):
+            for text in some:
+                if words := words_of(text):
+                    total += np.bincount((labelled_words(hashes, words) % np.uint64(RANK_CELLS)).astype(np.int64), minlength=RANK_CELLS)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], schema=schema)
+
+    found = texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(RANK_CELLS, np.int64)
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def rare_words(texts: DataFrame) -> DataFrame:
+    """id, size, the rarest fifth of the words (and one), and the bits that the words set in BAG longs, of texts (id, text)."""
+    counts = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rare", pa.list_(pa.int64())), ("bag", pa.list_(pa.int64()))])
+
+    def run(batches):
+        hashes = WordHashes()
+        for ids, some in blocks(batches):
+            sizes, rare, bags = [], [], []
+            for text in some:
+                words = words_of(text)
+                sizes.append(len(words))
+                marks = labelled_words(hashes, words) if words else np.zeros(0, np.uint64)
+                rank = np.lexsort((marks, counts.value[(marks % np.uint64(RANK_CELLS)).astype(np.int64)]))
+                least = int(np.ceil(SIMILARITY * len(words) - 1e-9))  # words that a similar text has as well
+                rare.append(marks[rank[: len(words) - least + 1]].view(np.int64).tolist())
+                bits = np.zeros(BAG * 64, np.uint8)
+                bits[((marks >> np.uint64(40)) % np.uint64(BAG * 64)).astype(np.int64)] = 1
+                bags.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int64()))], schema=schema)
+
+    return texts.mapInArrow(run, "id long, size long, rare array<long>, bag array<long>")
+
+
+def least_distance(x: str, y: str):
+    """A lower bound of the edit distance of two texts: each bit that only one of them sets stands for a word that costs an edit."""
+    over = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda t, v: t + v)
+    return F.coalesce(F.greatest(over(x, y), over(y, x)), F.lit(0))
+
+
+def across(placed: DataFrame, texts: DataFrame, linked: DataFrame) -> DataFrame:
+    """Links (a, b) between texts of different components that share a bucket. placed: key, id, component; linked: a, b, d."""
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    own = placed.join(open_keys, "key")
+    bit = "shiftleft(1L, cast(key & 63 as int))"
+    masks = [f"if(((key >> 6) & 3) = {k}, {bit}, 0L)" for k in range(4)]  # a bucket is one bit of four words
+    owners = own.groupBy("id").agg(F.min("component").alias("component"), *(F.bit_or(F.expr(m)).alias(f"m{k}") for k, m in enumerate(masks)))
+    homes = linked.groupBy(F.col("a").alias("id")).agg(F.min(F.struct("b", "d")).alias("h"))
+    owners = owners.join(homes, "id", "left").withColumns({"head": F.coalesce("h.b", "id"), "off": F.coalesce("h.d", F.lit(0))}).drop("h")
+    owners = staged(owners, "open-texts")
+    members = staged(owners.join(rare_words(staged(texts.join(owners.select("id"), "id"), "open-words")), "id"), "open-members")
+    words = members.select("head", "component", "off", "size", "m0", "m1", "m2", "m3", F.explode("rare").alias("word"))
+    spread = words.groupBy("word", "head", "component").agg(
+        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max("off").alias("off"), *(F.bit_or(f"m{k}").alias(f"m{k}") for k in range(4))
+    )
+    spread = staged(spread, "rare-words")
+    shared = spread.groupBy("word").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("word")
+    met = staged(spread.join(shared, "word"), "shared-words")
+    x, y = (met.select("word", *(F.col(c).alias(f"{c}_{side}") for c in met.columns if c != "word")) for side in "ab")
+    near = (F.col("hi_a") >= F.col("lo_b") * (SIMILARITY - 1e-9)) & (F.col("hi_b") >= F.col("lo_a") * (SIMILARITY - 1e-9))
+    bucket = F.expr(" or ".join(f"(m{k}_a & m{k}_b) != 0" for k in range(4)))
+    most = (F.floor((1 - SIMILARITY) * F.greatest("hi_a", "hi_b") + 1e-9) + F.col("off_a") + F.col("off_b")).cast("long")
+    pairs = x.join(y, "word").where((F.col("component_a") > F.col("component_b")) & near & bucket)
+    heads = pairs.groupBy(F.col("head_a").alias("a"), F.col("head_b").alias("b")).agg(F.max(most).alias("most"))
+    close = staged(aligned(staged(heads, "head-pairs"), texts), "close-heads")
+    sizes = members.select("id", "head", "off", "size", "bag")
+    x, y = (sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in sizes.columns)) for side in "ab")
+    behind = close.join(x, F.col("a") == F.col("head_a")).join(y, F.col("b") == F.col("head_b"))
+    longest = F.greatest("size_a", "size_b")
+    bound = (1 - SIMILARITY) * longest + 1e-9
+    may = (F.least("size_a", "size_b") >= longest * (SIMILARITY - 1e-9)) & (F.col("d") - F.col("off_a") - F.col("off_b") <= bound) & (least_distance("bag_a", "bag_b") <= bound)
+    follow = staged(behind.where(may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs-across")
+    return staged(aligned(follow, texts).select("a", "b"), "links-across")
+
+
+def distance(a: str, b: str, most: int | None = None) -> int | None:
+    """Edit distance of two texts in words, if it is at most a fifth of the longer one's words (or `most`), else None."""
     x, y = words_of(a), words_of(b)
     longest = max(len(x), len(y))
-    return longest > 0 and distance_within(x, y, int((1 - least) * longest + 1e-9)) is not None
+    return distance_within(x, y, int((1 - SIMILARITY) * longest + 1e-9) if most is None else most) if longest else None
+
+
+def similar(a: str, b: str) -> bool:
+    return distance(a, b) is not None
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -139,18 +249,22 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts (id, text) are similar enough."""
+    """a, b and their distance d, for the pairs (a, b) whose texts (id, text) are similar, or at most `most` apart where pairs say so."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            hits = [(a.as_py(), b.as_py()) for a, b, x, y in zip(*batch.columns, strict=True) if similar(x.as_py(), y.as_py())]
-            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], schema=schema)
+            hits = []
+            for a, b, most, x, y in zip(*batch.columns, strict=True):
+                if (d := distance(x.as_py(), y.as_py(), most.as_py())) is not None:
+                    hits.append((a.as_py(), b.as_py(), d))
+            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in range(3)], schema=schema)
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long")
+    most = pairs if "most" in pairs.columns else pairs.withColumn("most", F.lit(None).cast("long"))
+    both = most.join(left, "a").join(right, "b").select("a", "b", "most", "text_a", "text_b")
+    return both.mapInArrow(run, "a long, b long, d long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -166,16 +280,10 @@ def classes(docs: DataFrame) -> DataFrame:
     needed = members.select("id").distinct()
     texts = staged(rows.join(needed, "id").groupBy("id").agg(F.min("text").alias("text")), "candidates")
     linked = staged(aligned(stars, texts), "links")
-    of = components(linked)
+    links = linked.select("a", "b")
+    of = components(links)
     placed = members.select("key", "id").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    left_over = staged(placed.join(open_keys, "key"), "open-buckets")
-    x = left_over.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-    y = left_over.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = x.join(y, "key").where("ca > cb").select("a", "b").distinct()
-    tried = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = aligned(staged(across.join(tried, ["a", "b"], "left_anti"), "pairs-across"), texts)
-    whole = components(linked.union(more))
+    whole = components(links.union(across(placed, texts, linked)))
     named = firsts.join(whole.withColumnRenamed("node", "first"), "first", "left").select("digest", "first", F.coalesce("component", "first").alias("class"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return marks.select("id", "digest").join(named, "digest").select(back("id").alias("doc_id"), back("class").alias("class_id"), back("first").alias("copy_of"))
