@@ -204,12 +204,13 @@ def across(placed: DataFrame, texts: DataFrame, linked: DataFrame) -> DataFrame:
     )
     spread = staged(spread, "rare-words")
     shared = spread.groupBy("word").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("word")
-    met = staged(spread.join(shared, "word"), "shared-words")
+    bags = members.select(F.col("id").alias("head"), "bag")
+    met = staged(spread.join(shared, "word").join(bags, "head", "left"), "shared-words")
     x, y = (met.select("word", *(F.col(c).alias(f"{c}_{side}") for c in met.columns if c != "word")) for side in "ab")
     near = (F.col("hi_a") >= F.col("lo_b") * (SIMILARITY - 1e-9)) & (F.col("hi_b") >= F.col("lo_a") * (SIMILARITY - 1e-9))
     bucket = F.expr(" or ".join(f"(m{k}_a & m{k}_b) != 0" for k in range(4)))
     most = (F.floor((1 - SIMILARITY) * F.greatest("hi_a", "hi_b") + 1e-9) + F.col("off_a") + F.col("off_b")).cast("long")
-    pairs = x.join(y, "word").where((F.col("component_a") > F.col("component_b")) & near & bucket)
+    pairs = x.join(y, "word").where((F.col("component_a") > F.col("component_b")) & near & bucket & (least_distance("bag_a", "bag_b") <= most))
     heads = pairs.groupBy(F.col("head_a").alias("a"), F.col("head_b").alias("b")).agg(F.max(most).alias("most"))
     close = staged(aligned(staged(heads, "head-pairs"), texts), "close-heads")
     sizes = members.select("id", "head", "off", "size", "bag")
