@@ -81,18 +81,37 @@ def probabilities(tokens: np.ndarray, weights: np.ndarray, budget: float) -> np.
     return np.minimum(1.0, high * weights)
 
 
-def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 30) -> DataFrame:
-    """The same fitting for any number of cells: cells (the dimensions, tokens) gain a weight."""
+def rake_in_spark(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 200, close: float = 1e-9) -> DataFrame:
+    """The same fitting, with the same end, for any number of cells: cells (the dimensions, tokens) gain a weight."""
     total = cells.agg(F.sum("tokens")).first()[0] or 1.0
     now = cells.withColumn("share", F.col("tokens") / total)
     for _ in range(rounds):
+        worst = 0.0
         for d, target in targets.items():
-            factor = now.groupBy(d).agg(F.sum("share").alias("now")).join(target, d).select(d, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(1.0).alias("factor"))
+            sums = staged(now.groupBy(d).agg(F.sum("share").alias("now")).join(target, d), "mixing-sums")
+            worst = max(worst, sums.where("now > 0").agg(F.max(F.abs(F.col("now") - F.col("target")))).first()[0] or 0.0)
+            factor = sums.select(d, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(1.0).alias("factor"))
             now = now.join(factor, d).withColumn("share", F.col("share") * F.col("factor")).drop("factor")
         now = staged(now, "mixing-cells")
+        if worst < close:
+            break
     return now.withColumn("weight", F.when(F.col("tokens") > 0, F.col("share") / F.col("tokens")).otherwise(0.0)).drop("share")
 
 
+def targets_in_spark(cells: DataFrame, d: str, given: dict | None) -> DataFrame:
+    """The target of each value of a dimension of cells; values that aren't given have their natural share."""
+    sums = cells.groupBy(d).agg(F.sum("tokens").alias("tokens"))
+    if given:
+        whole = sums.agg(F.sum("tokens")).first()[0] or 1.0
+        own = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in given.items()], f"{d} string, given double")
+        raised = sums.join(own, d, "left").select(d, F.coalesce("given", F.col("tokens") / whole).alias("target"))
+    else:
+        raised = sums.select(d, F.pow("tokens", F.lit(TEMPER[d])).alias("target"))
+    raised = staged(raised, "mixing-targets")
+    whole = raised.agg(F.sum("target")).first()[0] or 1.0
+    return raised.withColumn("target", F.col("target") / whole)
+
+
 def calibrate(cells: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, driver_cells: int = DRIVER_CELLS) -> DataFrame:
     """cells (source, lang, topic, tokens, docs) with their weight and probability.
 
@@ -102,22 +121,22 @@ def calibrate(cells: DataFrame, targets: dict[str, dict] | None = None, budget:
     spark = cells.sparkSession
     sums = {d: {r[0]: float(r[1]) for r in cells.groupBy(d).agg(F.sum("tokens")).collect()} for d in DIMENSIONS} if cells.count() <= driver_cells else None
     if sums is None:
-        made = {}
-        for d in DIMENSIONS:
-            raised = cells.groupBy(d).agg(F.pow(F.sum("tokens"), F.lit(TEMPER[d])).alias("target"))
-            whole = raised.agg(F.sum("target")).first()[0] or 1.0
-            made[d] = raised.withColumn("target", F.col("target") / whole)
-            if targets and d in targets:
-                given = spark.createDataFrame(list(targets[d].items()), f"{d} string, target double")
-                made[d] = given
+        cells = staged(cells, "mixing-all-cells")
+        made = {d: targets_in_spark(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}
         fitted = staged(rake_in_spark(cells, made), "mixing-weights")
         wanted = budget * (fitted.agg(F.sum("tokens")).first()[0] or 0)
-        low, high = 0.0, 1 / (fitted.where("weight > 0").agg(F.min("weight")).first()[0] or 1.0)
-        for _ in range(60):
+        least = fitted.where("weight > 0").agg(F.min("weight")).first()[0]
+        if least is None:
+            return fitted.withColumn("prob", F.lit(1.0))
+        low, high = 0.0, 1 / least
+        for _ in range(200):
             mid = (low + high) / 2
+            if mid in (low, high):
+                break
             got = fitted.agg(F.sum(F.least(F.lit(1.0), F.col("weight") * mid) * F.col("tokens"))).first()[0] or 0
             low, high = (mid, high) if got < wanted else (low, mid)
-        return fitted.withColumn("prob", F.least(F.lit(1.0), F.col("weight") * high))
+        # Documents without tokens weigh nothing and stay.
+        return fitted.withColumn("prob", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * high)).otherwise(1.0))
     rows = sorted((tuple(r) for r in cells.select(*DIMENSIONS, "tokens").collect()), key=lambda r: r[:3])
     tokens = np.array([r[3] for r in rows], float)
     places, wanted = [], []

@@ -79,6 +79,16 @@ def test_mixing_in_spark_agrees_with_the_driver(spark):
         assert r["prob"] == pytest.approx(pairs[r["source"], r["lang"], r["topic"]], rel=1e-3)
 
 
+@pytest.mark.parametrize("targets", [None, {"source": {"s0": 0.7}, "lang": {"l1": 0.2, "l2": 0.5, "unseen": 0.3}}])
+def test_mixing_in_spark_has_the_rules_of_the_driver(spark, targets):
+    """Cells without tokens stay, and values without a target have their natural share, however many cells there are."""
+    rows = [(f"s{k % 2}", f"l{k % 3}", "t", 10 + k * 7 % 90) for k in range(6)] + [("s0", "l0", "empty", 0), ("none", "l1", "empty", 0)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    one, two = ({tuple(r[:3]): r["prob"] for r in mixing.calibrate(cells, targets, driver_cells=n).select(*mixing.DIMENSIONS, "prob").collect()} for n in (100, 0))
+    assert one["s0", "l0", "empty"] == one["none", "l1", "empty"] == 1.0
+    assert two == pytest.approx(one, rel=1e-6)
+
+
 def sketch(text):
     words = (text or "").split()
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
