@@ -20,12 +20,13 @@ Exact copies are one text from the start. The class of a document is the least d
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .alignment import distance_within
 from .common import blocks, staged
@@ -35,6 +36,8 @@ WORD = re.compile(r"\w+")
 K, PICKS, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
 NO_ID = -(1 << 63)
+#: Bytes of a text's SHA-256 that tell it from other texts.
+DIGEST = 16
 CACHED_WORDS = 400_000
 #: Words of a text set bits among so many longs; see least_distance.
 BAG = 128
@@ -234,6 +237,11 @@ def similar(a: str, b: str) -> bool:
     return distance(a, b) is not None
 
 
+def digest_of(text: Column) -> Column:
+    """The digest that sketched() gives a text."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 2 * DIGEST))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """id, digest (of the whole text), n_words and keys of every row of docs (id, text); only narrow columns."""
     sketcher = docs.sparkSession.sparkContext.broadcast(Sketcher())
@@ -242,7 +250,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     def run(batches):
         for ids, texts in blocks(batches):
             found = [sketcher.value.sketch(t) for t in texts]
-            digests = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
+            digests = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest()[:DIGEST] for t in texts]
             sizes = [t.count(" ") for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
 
@@ -268,40 +276,69 @@ def aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, d long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and copy_of (the least doc_id with the same text) of every row of docs (doc_id, text)."""
+def with_digests(docs: DataFrame) -> DataFrame:
+    """id, text and digest of docs (doc_id, text), null ids as NO_ID and null texts as empty."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    marks = staged(sketched(rows), "sketches")
-    firsts = staged(marks.groupBy("digest").agg(F.min("id").alias("first")), "texts")
+    return rows.withColumn("digest", digest_of(F.col("text")))
+
+
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches (id, digest, ...) of every row of docs, and for each distinct text its digest, the least id with it
+    (first) and the least (id, digest) of its class (least).
+
+    A distinct text is a node with a number of its own, whatever its ids, so texts under one id or without one stay apart.
+    """
+    rows = with_digests(docs)
+    marks = staged(sketched(rows.select("id", "text")), "sketches")
+    # Staged, so the numbers stay the same afterwards.
+    firsts = staged(marks.groupBy("digest").agg(F.min("id").alias("first")).withColumn("node", F.monotonically_increasing_id()), "texts")
     # One row for each distinct text; several rows of one id and text are one.
-    single = marks.join(firsts.select(F.col("first").alias("id"), "digest"), ["id", "digest"]).select("id", F.explode(F.array_distinct("keys")).alias("key")).distinct()
+    single = marks.join(firsts.select(F.col("first").alias("id"), "digest", "node"), ["id", "digest"]).select("node", F.explode(F.array_distinct("keys")).alias("key")).distinct()
+    single = single.withColumnRenamed("node", "id")
     heads = single.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "head")
     members = staged(single.join(heads, "key"), "buckets")
     stars = members.where("id != head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
-    needed = members.select("id").distinct()
-    texts = staged(rows.join(needed, "id").groupBy("id").agg(F.min("text").alias("text")), "candidates")
+    needed = firsts.join(members.select(F.col("id").alias("node")).distinct(), "node").select(F.col("first").alias("id"), "digest", "node")
+    found = rows.join(needed, ["id", "digest"]).groupBy("id", "digest").agg(F.min("node").alias("node"), F.min("text").alias("text"))
+    texts = staged(found.select(F.col("node").alias("id"), "text"), "candidates")
     linked = staged(aligned(stars, texts), "links")
     links = linked.select("a", "b")
     of = components(links)
     placed = members.select("key", "id").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     whole = components(links.union(across(placed, texts, linked)))
-    named = firsts.join(whole.withColumnRenamed("node", "first"), "first", "left").select("digest", "first", F.coalesce("component", "first").alias("class"))
-    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return marks.select("id", "digest").join(named, "digest").select(back("id").alias("doc_id"), back("class").alias("class_id"), back("first").alias("copy_of"))
+    own = F.struct("first", "digest")
+    tied = staged(firsts.join(whole, "node").select("node", "component", own.alias("own")), "linked-texts")
+    named = tied.join(tied.groupBy("component").agg(F.min("own").alias("least")), "component").select("node", "least")
+    return marks, firsts.join(named, "node", "left").select("digest", "first", F.coalesce("least", own).alias("least"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class) and copy_of (the least doc_id with the same text) of every row of docs (doc_id, text)."""
+    marks, named = grouped(docs)
+    back = lambda c, name: F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
+    return marks.select("id", "digest").join(named, "digest").select(back("id", "doc_id"), back("least.first", "class_id"), back("first", "copy_of"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with the least doc_id of their classes, with all columns; of rows repeated with one doc_id, one stays."""
-    kept = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept_id")).distinct()
-    found = docs.join(kept, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == kept["_kept_id"], "left_semi")
-    return found.dropDuplicates(["doc_id"]) if found.groupBy("doc_id").count().where("count > 1").limit(1).count() else found
+    """The document with the least doc_id of each class, with all columns; of its rows repeated with that doc_id, those of one text, one stays.
+
+    Texts of a class that share its least doc_id are told apart by their digests, so each class keeps one row.
+    """
+    marks, named = grouped(docs)
+    kept = staged(named.where((F.col("least.first") == F.col("first")) & (F.col("least.digest") == F.col("digest"))).select(F.col("first").alias("_kept_id"), F.col("digest").alias("_kept_digest")), "kept")
+    own = [F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)), digest_of(F.coalesce(docs["text"], F.lit("")))]
+    found = docs.join(kept, (own[0] == kept["_kept_id"]) & (own[1] == kept["_kept_digest"]), "left_semi")
+    again = marks.join(kept, (marks["id"] == kept["_kept_id"]) & (marks["digest"] == kept["_kept_digest"]), "left_semi").groupBy("id", "digest").count().where("count > 1")
+    if again.isEmpty():
+        return found
+    return found.withColumn("_kept_digest", digest_of(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_kept_digest"]).select(*docs.columns)
 
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """The class of every document, near copies and exact copies together.
 
     Null texts count as empty; all empty texts are copies of one another. Texts of fewer than five words have one k-mer,
-    all of their words. Rows repeated with one doc_id and text each give the same row. A doc_id with several
-    texts is one node of the links. An empty table gives none. Other columns are never read.
+    all of their words. Rows repeated with one doc_id and text each give the same row. Different texts
+    under one doc_id, or without one, are linked each by itself; the class and copy of a row are its text's. An empty table gives none. Other columns are never read.
     """
     return classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -166,6 +166,19 @@ def test_near_duplicates(spark, small, docs):
     assert kept.columns == frame.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(k) for k in set(got) if got[k] == k)
 
 
+def test_texts_that_share_an_id_or_have_none_stay_apart(spark):
+    base = [[f"{name}{k}" for k in range(60)] for name in "abcdef"]
+    text = [" ".join(x) for x in base]
+    near = [" ".join([*x[:30], "changed", *x[31:]]) for x in base]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, near[1]), (3, text[2]), (3, text[3]), (4, near[2]), (5, near[3]), (6, text[4]), (6, text[4]), (7, text[5])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(frame).collect()}
+    assert got == {None: None, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7}
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in order_minhash.keep_one(frame).collect())
+    one = min(text[1], near[1], key=lambda t: hashlib.sha256(t.encode()).digest())
+    assert kept == sorted([(0, text[0]), (0, one), (3, text[2]), (3, text[3]), (6, text[4]), (7, text[5])])
+
+
 def test_links_that_miss_the_bucket_head_are_found(spark):
     passage = " ".join(f"p{k}" for k in range(120))
     rows = [(k, passage + " " + " ".join(f"o{k}x{i}" for i in range(60))) for k in range(12)]
