@@ -4,8 +4,8 @@ Each item is weighted by BM25, divided by the score it gives itself, so one thre
 postings of a term are in blocks of items, each with the largest impact in it. A passage is a window of words; windows
 whose terms can't reach the threshold by their largest impacts, or in no block by its block maxima, are passed over for
 whole documents at a time; the rest run block-max WAND, which returns every item at or above the threshold. What it
-returns is verified: of the item's question, and of its answer, half of the words at least must be in five-word shingles
-that the document has as well.
+returns is verified: of the item's question, and of its answer, half of the words at least must be in shingles that the
+document has as well, of five words of the item or of the side (of all its words if it is shorter).
 Items are grouped by length, so that windows fit them, and split into shards of bounded size, so an index that is sent
 to the executors stays below a proven bound however many items there are; every shard is asked with every passage.
 """
@@ -180,13 +180,14 @@ class BlockMaxIndex:
         for item, score in sorted(best.items()):
             question, answer = self.sides[item]
             own = question + answer
-            size = min(SHINGLE, len(own))
-            if size not in text_shingles:
-                text_shingles[size] = shingles(words, size)
             covered = [False] * len(own)
-            for k in range(len(own) - size + 1):
-                if tuple(own[k : k + size]) in text_shingles[size]:
-                    covered[k : k + size] = [True] * size
+            for begin, part in ((0, own), (0, question), (len(question), answer)):
+                size = min(SHINGLE, len(part))
+                if size and size not in text_shingles:
+                    text_shingles[size] = shingles(words, size)
+                for k in range(len(part) - size + 1 if size else 0):
+                    if tuple(part[k : k + size]) in text_shingles[size]:
+                        covered[begin + k : begin + k + size] = [True] * size
             shares = [sum(part) / len(part) if part else 1.0 for part in (covered[: len(question)], covered[len(question) :])]
             if min(shares) >= OVERLAP:
                 out.append((self.keys[item], min(1.0, score), *shares))

@@ -140,6 +140,15 @@ def test_windows_lose_no_verbatim_item():
     assert index.leaks("") == [] and decontaminate.BlockMaxIndex([]).leaks("a b") == []
 
 
+@pytest.mark.parametrize("answer", ["Canberra", "north of Cooma", "by the old lake"])
+def test_a_short_answer_is_found_apart_from_its_question_and_beside_an_edit(answer):
+    question = "Which planned inland city became the seat of the federal parliament in the year 1927?"
+    index = decontaminate.BlockMaxIndex([(1, f"{question} {answer}"), (2, "Nothing of all these things is said here, is it? Never at all")])
+    for text in (f"{question} The correct choice is: {answer}", f"{question.replace('year', 'summer')} {answer}"):
+        assert [x[0] for x in index.leaks(f"some words before {text} and some after")] == [1]
+    assert index.leaks(f"some words before {question} and no reply") == []
+
+
 def test_question_and_answer():
     assert decontaminate.question_and_answer("How many? Four of them") == (["how", "many"], ["four", "of", "them"])
     assert decontaminate.question_and_answer("Add. Answer: four") == (["add", "answer"], ["four"])
