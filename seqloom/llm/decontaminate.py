@@ -8,6 +8,7 @@ returns is verified: of the item's question, and of its answer, half of the word
 document has as well, of five words of the item or of the side (of all its words if it is shorter).
 Items are grouped by length, so that windows fit them, and split into shards of bounded size, so an index that is sent
 to the executors stays below a proven bound however many items there are; every shard is asked with every passage.
+Shards weigh words by the statistics of all items of their length, so the scores are the same however many there are.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -54,17 +56,28 @@ def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
     return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
+class Statistics(NamedTuple):
+    """What BM25 and the windows take from all items of a level: their number, mean and greatest length, and in how many a word is."""
+
+    n: int
+    average: float
+    longest: int
+    df: dict[str, int]
+
+
 class BlockMaxIndex:
-    """BM25 postings of items, in blocks with their largest impacts."""
+    """BM25 postings of items, in blocks with their largest impacts; of a shard's items by the statistics of all."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], every: Statistics | None = None):
         parts = [(key, words, question_and_answer(text)) for key, text in items if (words := words_of(text))]
         parts.sort(key=lambda x: (len(x[1]), x[0]))  # items of like length share blocks, so block maxima are tight
         self.keys = [x[0] for x in parts]
         self.sides = [x[2] for x in parts]
-        self.longest = max((len(x[1]) for x in parts), default=1)
-        n, average = len(parts), sum(len(x[1]) for x in parts) / max(1, len(parts))
-        df = Counter(w for _, words, _ in parts for w in set(words))
+        if every is None:
+            lengths = [len(x[1]) for x in parts]
+            every = Statistics(len(parts), sum(lengths) / max(1, len(parts)), max(lengths, default=1), Counter(w for _, words, _ in parts for w in set(words)))
+        n, average, self.longest = every.n, every.average, every.longest
+        df = {w: every.df[w] for _, words, _ in parts for w in words}
         idf = {w: math.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
         self.term = {w: k for k, w in enumerate(sorted(df))}
         self.items: list[list[int]] = [[] for _ in self.term]
@@ -75,7 +88,7 @@ class BlockMaxIndex:
             for w, x in impact.items():
                 self.items[self.term[w]].append(place)
                 self.impacts[self.term[w]].append(x / whole)
-        self.blocks = -(-n // BLOCK_ITEMS)
+        self.blocks = -(-len(parts) // BLOCK_ITEMS)
         self.most = np.array([0.0, *(max(x) for x in self.impacts)])  # 0: a word that no item has
         self.block_most: list[dict[int, float]] = []
         for places, impacts in zip(self.items, self.impacts, strict=True):
@@ -108,12 +121,13 @@ class BlockMaxIndex:
                 pivot += 1
             block = item // BLOCK_ITEMS
             if sum(self.block_most[c[1]].get(block, 0.0) for c in cursors[: pivot + 1]) >= slack:
-                score = 0.0
+                values = []
                 for c in cursors[: pivot + 1]:
                     self.advance(c, item)
                     if c[0] < len(items[c[1]]) and items[c[1]][c[0]] == item:
-                        score += impacts[c[1]][c[0]]
+                        values.append(impacts[c[1]][c[0]])
                         c[0] += 1
+                score = math.fsum(values)  # the same in whatever order
                 if score >= slack:
                     found.append((item, score))
             else:  # no item of this block can do; the next one to look at is in a later block or where another list begins
@@ -209,9 +223,37 @@ def indexes(benchmark: DataFrame):
         placed = sized.withColumn("level", level).withColumn("part", F.lit(0)).withColumn("piece", F.lit(0))
     else:
         placed = sized.withColumn("level", level).withColumn("part", part).withColumn("piece", F.floor(run / SHARD_WORDS))
+    every, words = (None, None) if few <= SHARD_WORDS else statistics(placed)
     for key in placed.select("level", "part", "piece").distinct().orderBy("level", "part", "piece").collect():
-        mine = placed.where((F.col("level") == key["level"]) & (F.col("part") == key["part"]) & (F.col("piece") == key["piece"]))
-        yield BlockMaxIndex(sorted((r["item_id"], r["text"]) for r in mine.select("item_id", "text").distinct().collect()))
+        here = (F.col("level") == key["level"]) & (F.col("part") == key["part"]) & (F.col("piece") == key["piece"])
+        mine = sorted((r["item_id"], r["text"]) for r in placed.where(here).select("item_id", "text").distinct().collect())
+        if every is None:
+            yield BlockMaxIndex(mine)
+        elif key["level"] in every:
+            yield BlockMaxIndex(mine, Statistics(*every[key["level"]], {r["word"]: r["df"] for r in words.where(here).select("word", "df").collect()}))
+
+
+def statistics(placed: DataFrame) -> tuple[dict[int, tuple[int, float, int]], DataFrame]:
+    """For each level of placed (level, part, piece, item_id, text) its items, their mean and greatest length; and the words
+    of each shard with the number of the level's items that have them (level, part, piece, word, df)."""
+    from .common import staged
+
+    names = ("level", "part", "piece")
+    schema = pa.schema([*((n, pa.int64()) for n in names), ("size", pa.int64()), ("words", pa.list_(pa.string()))])
+
+    def run(batches):
+        for batch in batches:
+            found = [words_of(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
+            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(map(len, found), pa.int64()), pa.array([sorted(set(x)) for x in found], pa.list_(pa.string()))], schema=schema)
+
+    single = placed.select(*(F.col(n).cast("long").alias(n) for n in names), "item_id", "text").distinct()
+    items = staged(single.mapInArrow(run, "level long, part long, piece long, size long, words array<string>").where("size > 0"), "items")
+    sums = items.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.max("size").alias("longest")).collect()
+    held = items.select(*names, F.explode("words").alias("word")).groupBy(*names, "word").agg(F.count(F.lit(1)).alias("own"))
+    held = staged(held, "shard-words")
+    df = held.groupBy("level", "word").agg(F.sum("own").alias("df"))
+    return {r["level"]: (r["n"], r["size"] / r["n"], r["longest"]) for r in sums}, staged(held.join(df, ["level", "word"]), "item-words")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -57,6 +57,23 @@ def test_decontamination_by_shards_finds_the_same(spark, small, monkeypatch):
     assert [(r["doc_id"], r["item_id"]) for r in QUERIES["op2_decontamination"](spark, small).collect()] == [(91, 1)]
 
 
+def test_shards_dont_change_a_score(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(90)]
+    items = [(k, " ".join(rng.choice(words, int(rng.choice([9, 25, 70]))))) for k in range(60)]
+    docs = []
+    for k, text in items:  # every other word of a passage is changed from some place on, so scores are partial
+        own = text.split()
+        cut = len(own) * (6 + k % 4) // 10
+        docs.append((k, " ".join([*rng.choice(words, 20), *own[:cut], *(w if j % 2 else "other" for j, w in enumerate(own[cut:])), *rng.choice(words, 20)])))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, items[0]], "item_id long, text string")
+    one = sorted(map(tuple, decontaminate.leaks(*frames).collect()))
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 1500)
+    monkeypatch.setattr(F, "xxhash64", lambda *c, hashed=F.xxhash64: hashed(*c).bitwiseAND(F.lit(3)))  # few shards, to be quick
+    assert sum(1 for _ in decontaminate.indexes(frames[1])) > 3
+    assert len(one) > 10 and min(x[2] for x in one) < 1 and sorted(map(tuple, decontaminate.leaks(*frames).collect())) == one
+
+
 def test_mixing(spark, small, docs):
     got = QUERIES["op3_mixing"](spark, small).collect()
     assert len(got) == len(docs)
