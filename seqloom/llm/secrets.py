@@ -1,9 +1,10 @@
 """Secret scan through nested encodings.
 
 A worklist starts with the text itself. Each layer is scanned with all patterns; then its URL and Unicode escapes are
-undone in place (one new layer), and each run of base64 that decodes to text or to a gzip or zlib stream becomes a layer
-of its own. That repeats until nothing new comes up; layers already seen are left out, so cycles end. Every layer has
-a map from its characters to the code points of the text, so each find is told as a span of the text.
+undone in place (one new layer), and what each run of base64 decodes to, wrapped in lines or not, becomes layers of its
+own, as do gzip and zlib streams in it or in escaped bytes. Bytes that aren't UTF-8 are read as Latin-1. That repeats until
+nothing new comes up; layers already seen are left out, so cycles end. Every layer has a map from its characters to the
+code points of the text, so each find is told as a span of the text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import binascii
 import hashlib
 import re
 import zlib
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,19 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|\\u[0-9A-Fa-f]{4}(?:\\u[0-9A-Fa-f]{4})*|\\x[0-9A-Fa-f]{2}(?:\\x[0-9A-Fa-f]{2})*|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Lines of base64 that follow each other.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+LEAST_BASE64 = 16
+#: Bytes written with escapes, from the header of a gzip or zlib stream on; bytes that are printable may stand for themselves.
+PERCENT = re.compile(r"(?:%1[fF]%8[bB]|(?:x|%78)%(?:01|5[eE]|9[cC]|[dD][aA]))(?:%[0-9A-Fa-f]{2}|[!#$&-~])*+")
+QUOTED = re.compile(r"(?:\\x1[fF]\\x8[bB]|(?:x|\\x78)(?:\\x01|\^|\\x5[eE]|\\x9[cC]|\\x[dD][aA]))(?:\\x[0-9A-Fa-f]{2}|\\[\\'\"nrtabfv0]|[\x20-\[\]-~])*+")
+PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})()")
+QUOTED_BYTE = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|([\\'\"nrtabfv0]))")
+PLAIN = dict(zip("nrtabfv0", "\n\r\t\a\b\f\v\0", strict=True))
+GZIP = b"\x1f\x8b"
+#: Bytes that are unpacked at a time; they give about a thousand times as many at most.
+STEP = 1 << 10
 #: A layer of more characters than this isn't unpacked from a compressed stream; such streams are counted instead.
 LAYER_CHARS = 1 << 26
 
@@ -46,46 +62,92 @@ def undone(match: str) -> str | None:
     """The characters of a run of escapes; None if it stands for none."""
     try:
         if match[0] == "%":
-            return bytes.fromhex(match.replace("%", "")).decode("utf-8")
+            return as_text(bytes.fromhex(match.replace("%", "")))
         if match[0] == "&":
             n = int(match[3:-1], 16) if match[2] in "xX" else int(match[2:-1])
             return chr(n) if n and n < 0x110000 and not 0xD800 <= n < 0xE000 else None
         if match[1] == "x":
-            return bytes.fromhex(match.replace("\\x", "")).decode("utf-8")
+            return as_text(bytes.fromhex(match.replace("\\x", "")))
         units = bytes.fromhex(match.replace("\\u", ""))
-        return units.decode("utf-16-be")
+        return units.decode("utf-16-be", "surrogatepass")
     except (UnicodeDecodeError, ValueError):
         return None
 
 
-def readable(data: bytes) -> str | None:
+def is_utf8(data: bytes) -> bool:
     try:
-        text = data.decode("utf-8")
+        data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    plain = sum(c.isprintable() or c in "\n\r\t" for c in text)
-    return text if text and plain == len(text) else None
-
-
-def unpacked(data: bytes, most: int) -> tuple[str | None, bool]:
-    """Text of a gzip or zlib stream or of plain bytes, and whether a stream was too large; read in steps."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and int.from_bytes(data[:2], "big") % 31 == 0):
-        stream, parts, size = zlib.decompressobj(47), [], 0
-        try:
-            while data:
-                part = stream.decompress(data, 1 << 16)
-                parts.append(part)
-                size += len(part)
-                if size > most:
-                    return None, True
-                data = stream.unconsumed_tail
-                if stream.eof:
-                    break
-            parts.append(stream.flush())
-        except zlib.error:
-            return None, False
-        data = b"".join(parts)
-    return readable(data), False
+        return False
+    return True
+
+
+def as_text(data: bytes) -> str:
+    return data.decode("utf-8" if is_utf8(data) else "latin-1")
+
+
+def has_header(data: bytes, at: int) -> bool:
+    return data.startswith(GZIP, at) or (len(data) > at + 2 and data[at] == 0x78 and (0x7800 + data[at + 1]) % 31 == 0)
+
+
+def unpacked(data: bytes, most: int, tally: Counter, rest: bool = True) -> Iterator[tuple[bytes, int]]:
+    """Contents of the gzip and zlib streams in data, those that follow each other together, and the bytes around them; and where each ends.
+
+    rest: whether bytes that are in no stream count. Streams that were too large are counted in tally.
+    """
+    at = 0
+    while at < len(data):
+        begin, held, large = at, bytearray(), False
+        while has_header(data, at) and not large:
+            stream, to = zlib.decompressobj(47), at
+            try:
+                while to < len(data) and not stream.eof and not large:
+                    held += stream.decompress(data[to : to + STEP])
+                    to = min(to + STEP, len(data))
+                    large = len(held) > most
+                held += stream.flush()
+            except zlib.error:
+                break
+            at = to - len(stream.unused_data)
+        if large:
+            tally["large"] += 1
+            return
+        if held:
+            yield bytes(held), at
+        if at == begin or at < len(data):  # what is no stream, up to the next one
+            to = data.find(GZIP, at + 1)
+            to = len(data) if to < 0 else to
+            if rest and data[at:to].strip(b"\0"):
+                yield data[at:to], to
+            at = to
+
+
+def unquoted(run: str, escape: re.Pattern, plus: str = "+") -> tuple[bytes, list[int]]:
+    """The bytes of a run of escapes and characters that stand for themselves, and where in the run each ends."""
+    out, ends, at = bytearray(), [], 0
+    for m in escape.finditer(run):
+        out += run[at : m.start()].replace("+", plus).encode("latin-1")
+        ends += range(at + 1, m.start() + 1)
+        out.append(int(m[1], 16) if m[1] else ord(PLAIN.get(m[2], m[2])))
+        ends.append(m.end())
+        at = m.end()
+    return bytes(out + run[at:].replace("+", plus).encode("latin-1")), [*ends, *range(at + 1, len(run) + 1)]
+
+
+def line_blocks(lengths: list[int]) -> list[tuple[int, int]]:
+    """Which of these lines to join: all of them, and each sequence of equally long ones with a shorter last one."""
+    out, n = {(0, len(lengths))}, len(lengths)
+    for i in range(n):
+        if i and lengths[i] == lengths[i - 1]:
+            continue
+        j = i + 1
+        while j < n and lengths[j] == lengths[i]:
+            j += 1
+        if j < n and lengths[j] < lengths[i]:
+            j += 1
+        if j > i + 1:
+            out.add((i, j))
+    return sorted(x for x in out if sum(lengths[slice(*x)]) >= LEAST_BASE64)
 
 
 def from_base64(run: str) -> bytes | None:
@@ -99,14 +161,21 @@ def from_base64(run: str) -> bytes | None:
 
 
 class Layer:
-    """Text and, for each of its characters, where its source starts and ends in the root text; None for the root."""
+    """Text and where its characters come from in the root text: as they stand (the root), all from one span (within), or
+    a start and an end for each of them."""
 
-    __slots__ = ("text", "starts", "ends")
+    __slots__ = ("text", "starts", "ends", "within", "odd")
 
-    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str | bytes, starts: np.ndarray | None = None, ends: np.ndarray | None = None, within: tuple[int, int] | None = None):
+        self.odd = isinstance(text, bytes) and not is_utf8(text)  # such bytes count as a layer if something is found in them
+        self.text, self.starts, self.ends, self.within = as_text(text) if isinstance(text, bytes) else text, starts, ends, within
+
+    def root(self) -> bool:
+        return self.starts is None and self.within is None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
+        if self.within is not None:
+            return self.within
         return (a, b) if self.starts is None else (int(self.starts[a]), int(self.ends[b - 1]))
 
     def unescaped(self) -> Layer | None:
@@ -114,55 +183,82 @@ class Layer:
 
         def plain(a: int, b: int) -> None:
             pieces.append(self.text[a:b])
-            starts.append(np.arange(a, b) if self.starts is None else self.starts[a:b])
-            ends.append(np.arange(a + 1, b + 1) if self.ends is None else self.ends[a:b])
+            if self.within is None:
+                starts.append(np.arange(a, b) if self.starts is None else self.starts[a:b])
+                ends.append(np.arange(a + 1, b + 1) if self.ends is None else self.ends[a:b])
 
         for m in ESCAPE.finditer(self.text):
             if (new := undone(m[0])) is None:
                 continue
             plain(at, m.start())
-            a, b = self.span(m.start(), m.end())
             pieces.append(new)
-            starts.append(np.full(len(new), a))
-            ends.append(np.full(len(new), b))
+            if self.within is None:
+                a, b = self.span(m.start(), m.end())
+                starts.append(np.full(len(new), a))
+                ends.append(np.full(len(new), b))
             at = m.end()
         if not at:
             return None
         plain(at, len(self.text))
+        if self.within is not None:
+            return Layer("".join(pieces), within=self.within)
         return Layer("".join(pieces), np.concatenate(starts), np.concatenate(ends))
 
-    def decoded(self, most: int) -> tuple[list[Layer], int]:
-        """Layers of the base64 runs, and how many streams were too large."""
-        out, large = [], 0
+    def inner(self, most: int, tally: Counter) -> Iterator[Layer]:
+        """The layers in this one; streams that were too large are counted in tally."""
+        if (new := self.unescaped()) is not None and new.text:
+            yield new
         for m in BASE64.finditer(self.text):
-            data = from_base64(m[0])
-            text, too_large = unpacked(data, most) if data else (None, False)
-            large += too_large
-            if text:
-                a, b = self.span(m.start(), m.end())
-                out.append(Layer(text, np.full(len(text), a), np.full(len(text), b)))
-        return out, large
+            if data := from_base64(m[0]):
+                yield from (Layer(t, within=self.span(m.start(), m.end())) for t, _ in unpacked(data, most, tally))
+        for m in WRAPPED.finditer(self.text):
+            if m.end() - m.start() >= LEAST_BASE64:
+                lines = [(m.start() + x.start(), m.start() + x.end()) for x in RUN.finditer(m[0])]
+                for i, j in line_blocks([b - a for a, b in lines]):
+                    yield from self.joined(lines[i:j], most, tally)
+        for sign, pattern, escape in (("%", PERCENT, PERCENT_BYTE), ("\\x", QUOTED, QUOTED_BYTE)):
+            for m in pattern.finditer(self.text) if sign in self.text else ():
+                for plus in "+ " if sign == "%" and "+" in m[0] else "+":  # a plus sign may stand for a space
+                    data, ends = unquoted(m[0], escape, plus)
+                    yield from (Layer(t, within=self.span(m.start(), m.start() + ends[to - 1])) for t, to in unpacked(data, most, tally, rest=False))
+
+    def joined(self, lines: list[tuple[int, int]], most: int, tally: Counter) -> Iterator[Layer]:
+        """The layers of base64 wrapped in lines. Without a stream in it, each character comes from the lines that hold its bits."""
+        data = from_base64("".join(self.text[a:b] for a, b in lines))
+        if not data:
+            return
+        if has_header(data, 0) or GZIP in data:
+            yield from (Layer(t, within=self.span(lines[0][0], lines[-1][1])) for t, _ in unpacked(data, most, tally))
+            return
+        text = as_text(data)
+        first = np.frombuffer(data, np.uint8)
+        first = np.flatnonzero((first & 0xC0) != 0x80) if len(text) < len(data) else np.arange(len(data))
+        last = np.r_[first[1:], len(data)] - 1
+        ends = np.cumsum([b - a for a, b in lines])
+        spans = np.array([self.span(a, b) for a, b in lines])
+        yield Layer(data, spans[np.searchsorted(ends, first * 8 // 6, "right"), 0], spans[np.searchsorted(ends, (last * 8 + 7) // 6, "right"), 1])
 
 
 def find(text: str, most: int = LAYER_CHARS) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
     """Finds in the text itself, finds in all layers as spans of the text, number of layers, streams that were too large."""
     base = sorted(scan(text))
-    every, seen, work, layers, large = set(base), set(), [Layer(text)], 0, 0
-    while work:
-        layer = work.pop()
-        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), None if layer.starts is None else (int(layer.starts[0]), int(layer.ends[-1])))
+    every, seen, layers, tally = set(base), set(), 0, Counter()
+    work: list[Iterator[Layer]] = [iter((Layer(text),))]
+    while work:  # layers are made as they are taken, so few are in memory at once
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        if not layer.text:
+            continue
+        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), None if layer.root() else (*layer.span(0, 1), *layer.span(len(layer.text) - 1, len(layer.text))))
         if mark in seen:
             continue
         seen.add(mark)
-        layers += 1
-        if layer.starts is not None:
-            every.update((*layer.span(a, b), k) for a, b, k in scan(layer.text))
-        if (new := layer.unescaped()) is not None and new.text:
-            work.append(new)
-        more, count = layer.decoded(most)
-        work += more
-        large += count
-    return base, sorted(every), layers, large
+        finds = base if layer.root() else [(*layer.span(a, b), k) for a, b, k in scan(layer.text)]
+        every.update(finds)
+        layers += bool(finds) or not layer.odd
+        work.append(layer.inner(most, tally))
+    return base, sorted(every), max(1, layers), tally["large"]
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

@@ -182,6 +182,47 @@ def test_secrets_in_nested_encodings_are_told_as_spans_of_the_text(wrap):
     assert len(finds) == 1 and 10 <= finds[0][0] < finds[0][1] <= 10 + len(coded)
 
 
+def wrapped(data, width=76):
+    coded = base64.b64encode(data).decode()
+    return "\n".join(coded[k : k + width] for k in range(0, len(coded), width))
+
+
+SECRET = b"my password = hunter22 and so on"
+FILL = bytes(random.Random(4).choices(b"abcdefghijklmnop \n", k=400))
+
+
+@pytest.mark.parametrize(
+    "coded",
+    [
+        *(base64.b64encode(x.encode() + SECRET).decode() for x in "\u00a0\u200b\u200d\ufeff\u00ad\0\f"),
+        base64.b64encode(gzip.compress("prix\u00a0: ".encode() + SECRET, mtime=0)).decode(),
+        base64.b64encode("été ".encode("latin-1") + SECRET).decode(),
+        wrapped(FILL[:45] + SECRET),
+        wrapped(gzip.compress(FILL + SECRET, mtime=0)),
+        "SomeNameOnALineOfItsOwn\n" + wrapped(gzip.compress(FILL + SECRET, mtime=0)) + "\nNext line",
+        base64.b64encode(gzip.compress(b"one", mtime=0) + gzip.compress(SECRET, mtime=0)).decode(),
+        base64.b64encode(zlib.compress(b"one") + SECRET).decode(),
+        base64.b64encode(b"x^ is no stream: " + SECRET).decode(),
+        "".join(f"%{x:02x}" for x in gzip.compress(SECRET, mtime=0)),
+        "".join(f"\\x{x:02x}" for x in zlib.compress(SECRET)),
+        urllib.parse.quote(gzip.compress(FILL + SECRET, mtime=0), safe=""),
+        urllib.parse.quote_plus(zlib.compress(FILL + SECRET)),
+        repr(gzip.compress(FILL + SECRET, mtime=0)),
+        "".join(f"%{x:02x}" for x in b"\xe9t\xe9 " + SECRET),
+        "".join(f"\\u{ord(x):04x}" for x in "\ud800 " + SECRET.decode()),
+    ],
+)
+def test_no_layer_is_thrown_away(coded):
+    text = f"Seite äöü {coded} end"
+    finds = {(a, b) for a, b, k in secrets.find(text)[1] if k == 0}
+    assert finds and all(10 <= a < b <= 10 + len(coded) for a, b in finds)
+
+
+def test_a_find_in_wrapped_base64_is_told_as_the_lines_that_hold_it():
+    lines = wrapped(b"." * 57 + SECRET + b"." * 100).split("\n")
+    assert secrets.find("\n".join(lines))[1] == [(77, 153, 0)]
+
+
 def test_a_secret_that_an_escape_cuts_is_found_where_it_stands():
     text = "see token%3Dabcdefgh now"
     assert secrets.written(secrets.find(text)[1]) == "assign:4:20"
