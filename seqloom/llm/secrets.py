@@ -45,8 +45,10 @@ PLAIN = dict(zip("nrtabfv0", "\n\r\t\a\b\f\v\0", strict=True))
 GZIP = b"\x1f\x8b"
 #: Bytes that are unpacked at a time; they give about a thousand times as many at most.
 STEP = 1 << 10
-#: A layer of more characters than this isn't unpacked from a compressed stream; such streams are counted instead.
+#: What a compressed stream unpacks to beyond so many bytes is scanned in pieces, each with the last OVERLAP bytes of the one before;
+#: all finds of a stream have one span, so a find that lies whole in a piece is enough.
 LAYER_CHARS = 1 << 26
+OVERLAP = 1 << 20
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -93,25 +95,26 @@ def has_header(data: bytes, at: int) -> bool:
 def unpacked(data: bytes, most: int, tally: Counter, rest: bool = True) -> Iterator[tuple[bytes, int]]:
     """Contents of the gzip and zlib streams in data, those that follow each other together, and the bytes around them; and where each ends.
 
-    rest: whether bytes that are in no stream count. Streams that were too large are counted in tally.
+    rest: whether bytes that are in no stream count. What is longer than `most` comes in overlapping pieces and is counted in tally.
     """
     at = 0
     while at < len(data):
         begin, held, large = at, bytearray(), False
-        while has_header(data, at) and not large:
+        while has_header(data, at):
             stream, to = zlib.decompressobj(47), at
             try:
-                while to < len(data) and not stream.eof and not large:
+                while to < len(data) and not stream.eof:
                     held += stream.decompress(data[to : to + STEP])
                     to = min(to + STEP, len(data))
-                    large = len(held) > most
+                    if len(held) > most:
+                        tally["large"] += not large
+                        large = True
+                        yield bytes(held), to
+                        del held[: -min(OVERLAP, most // 2)]
                 held += stream.flush()
             except zlib.error:
                 break
             at = to - len(stream.unused_data)
-        if large:
-            tally["large"] += 1
-            return
         if held:
             yield bytes(held), at
         if at == begin or at < len(data):  # what is no stream, up to the next one
@@ -205,7 +208,7 @@ class Layer:
         return Layer("".join(pieces), np.concatenate(starts), np.concatenate(ends))
 
     def inner(self, most: int, tally: Counter) -> Iterator[Layer]:
-        """The layers in this one; streams that were too large are counted in tally."""
+        """The layers in this one; streams that come in pieces are counted in tally."""
         if (new := self.unescaped()) is not None and new.text:
             yield new
         for m in BASE64.finditer(self.text):
@@ -240,7 +243,7 @@ class Layer:
 
 
 def find(text: str, most: int = LAYER_CHARS) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
-    """Finds in the text itself, finds in all layers as spans of the text, number of layers, streams that were too large."""
+    """Finds in the text itself, finds in all layers as spans of the text, number of layers, streams scanned in pieces."""
     base = sorted(scan(text))
     every, seen, layers, tally = set(base), set(), 0, Counter()
     work: list[Iterator[Layer]] = [iter((Layer(text),))]
@@ -285,6 +288,6 @@ def op5_secrets(spark, sf_dir: str) -> DataFrame:
 
     n_assign, n_access and n_hex count the finds in the text as it stands; spans has those and the decoded ones. A null
     text counts as empty: no finds, the digest of an empty list. Repeated rows each give a row; an empty table gives
-    none. Other columns are never read. A compressed layer of more than LAYER_CHARS is left packed and counted in n_oversize.
+    none. Other columns are never read. A stream that unpacks to more than LAYER_CHARS is scanned in pieces and counted in n_oversize.
     """
     return scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

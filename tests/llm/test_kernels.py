@@ -234,6 +234,14 @@ def test_large_streams_are_counted_and_not_unpacked():
     assert secrets.find("") == ([], [], 1, 0)
 
 
+@pytest.mark.parametrize("at", [0, 40_000, 99_990, 199_000])
+def test_large_streams_are_scanned_in_pieces(at):
+    filler = bytes(random.Random(at).choices(b"ghijklmnop ", k=200_000))
+    text = base64.b64encode(gzip.compress(filler[:at] + b" " + base64.b64encode(SECRET) + b" " + filler[at:], mtime=0)).decode()
+    _, every, _, large = secrets.find(text, most=5000)
+    assert every == [(0, len(text), 0)] and large == 1
+
+
 def test_dual_coordinate_descent_separates_and_matches_a_gradient_check():
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 200)
