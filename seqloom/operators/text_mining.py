@@ -49,16 +49,24 @@ def knn_edges(points: DataFrame, k: int = 10, group: str = "label") -> DataFrame
     return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(group, "id", "other", "place", "d2")
 
 
-def text_neighbours(weights: DataFrame, k: int = 10) -> DataFrame:
-    """og, id, other, place: nearest records of a family by TF-IDF rows; all rows have length one, so by their products.
+def text_neighbours(weights: DataFrame, members: DataFrame, k: int = 10) -> DataFrame:
+    """og, id, other, dot, d2, place: the nearest records of a family by TF-IDF rows, whose length is one, or zero without a term.
 
-    Only pairs that share a term can have a product; others follow in order of id to fill up k.
+    Only pairs that share a term can have a product; others follow by their distance (d2, squared), in order of id, to
+    fill up k. members: og, id of all records; k + 1 of each family, and of those without a term, are enough to fill up.
     """
     a = weights.select("og", "term", "id", F.col("weight").alias("w"))
     b = weights.select("og", "term", F.col("id").alias("other"), F.col("weight").alias("v"))
     dots = a.join(b, ["og", "term"]).where("id != other").groupBy("og", "id", "other").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    order = Window.partitionBy("og", "id").orderBy(F.desc(F.round("dot", 9)), "other")
-    return dots.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    marks = weights.select("og", "id").distinct().withColumn("length", F.lit(1.0))
+    every = members.select("og", "id").distinct().join(marks, ["og", "id"], "left").fillna(0.0, ["length"])
+    first = lambda rows: rows.withColumn("_n", F.row_number().over(Window.partitionBy("og").orderBy("id"))).where(F.col("_n") <= k + 1).drop("_n")
+    fill = first(every).union(first(every.where("length = 0"))).distinct().select("og", F.col("id").alias("other"), F.col("length").alias("other_length"))
+    rest = every.join(fill, "og").where("id != other").join(dots, ["og", "id", "other"], "left_anti")
+    far = rest.select("og", "id", "other", F.lit(0.0).alias("dot"), (F.col("length") + F.col("other_length")).alias("d2"))
+    both = dots.withColumn("d2", F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("dot"))).unionByName(far)
+    order = Window.partitionBy("og", "id").orderBy(F.round("d2", 9), "other")
+    return both.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
 def ward(rows: np.ndarray, threshold: float) -> np.ndarray:

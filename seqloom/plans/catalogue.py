@@ -386,6 +386,12 @@ def kmer_tfidf(spark, sf_dir):
     return rounded(text_mining.tfidf(substrate.families(spark, sf_dir)), "weight")
 
 
+@query()
+def kmer_run_tfidf(spark, sf_dir):
+    """TF-IDF of the runs of one to five 5-mers of every family member; kmer_tfidf and its SQL have single 5-mers."""
+    return rounded(text_mining.tfidf(substrate.families(spark, sf_dir), longest=5), "weight")
+
+
 _NEAR = (
     "p AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings), big AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM p) WHERE n > {k}), "
     "d AS (SELECT a.label, a.id, b.id AS other, list_sum(list_transform(range(1, 65), lambda i: (a.vec[i] - b.vec[i]) * (a.vec[i] - b.vec[i]))) AS d2 FROM big a JOIN big b ON a.label = b.label AND a.id <> b.id), "

@@ -144,7 +144,7 @@ def contam_by_kmers(queries: DataFrame, references: DataFrame, lineages: DataFra
     check("contam", options)
     both = records.with_family_data(references.select("id", "og", "seq"), queries.select("id", "og", "seq")).where(F.length("seq") >= options.kmer)
     weights = text_mining.tfidf(both, options.kmer, options.ngrams, options.least_df)
-    edges = text_mining.text_neighbours(weights, options.neighbours)
+    edges = text_mining.text_neighbours(weights, both, options.neighbours)
     clusters = text_mining.clusters_of_graph(edges, both, options.cluster_threshold)
     unknown = {x: F.coalesce(x, F.lit("Unknown")) for x in taxonomy.LEVELS}
     members = clusters.withColumn("cluster", F.concat_ws("#", "og", F.col("cluster").cast("string"))).withColumn("taxon", names.taxon_of(F.col("id"))).join(F.broadcast(lineages), "taxon", "left").withColumns(unknown)
@@ -215,7 +215,7 @@ def filter_families(data: DataFrame, options: FilterFamilies, taxa: DataFrame |
             scored = families.zscore_outliers(medians, options.threshold)
         first = scored.where("outlier").select("og", "id")
     if options.kmer:
-        near = text_mining.text_neighbours(text_mining.tfidf(sized, longest=4), 20).withColumn("d", F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("dot"))))
+        near = text_mining.text_neighbours(text_mining.tfidf(sized, longest=4), sized, 20).withColumn("d", F.sqrt("d2"))
         second = families.lof(near, "og").where("outlier").select("og", "id")
     out = {"kept": families.combine_filters(sized, first, second), "sized": sized}
     return out | ({"by_similarity": first} if first is not None else {}) | ({"by_kmers": second} if second is not None else {})

@@ -164,6 +164,37 @@ def test_local_outlier_factor(spark):
     assert got[30][1] and not got[0][1]
 
 
+def test_runs_of_up_to_five_kmers_by_brute_force(spark, data):
+    from collections import Counter, defaultdict
+
+    from seqloom.plans import catalogue, substrate
+
+    families = defaultdict(dict)
+    for r in substrate.families(spark, data).collect():
+        kmers = [r["seq"][i : i + 5] for i in range(len(r["seq"]) - 4)]
+        families[r["og"]][r["id"]] = Counter(" ".join(kmers[i : i + n]) for n in range(1, 6) for i in range(len(kmers) - n + 1))
+    want = {}
+    for og, own in families.items():
+        df = Counter(t for terms in own.values() for t in terms)
+        for key, terms in own.items():
+            raw = {t: tf * (np.log((1 + len(own)) / (1 + df[t])) + 1) for t, tf in terms.items() if df[t] >= 5}
+            norm = np.sqrt(sum(x * x for x in raw.values()))
+            want |= {(og, key, t): x / norm for t, x in raw.items()}
+    got = {(r["og"], r["id"], r["term"]): r["weight"] for r in catalogue.QUERIES["kmer_run_tfidf"](spark, data).collect()}
+    assert got.keys() == want.keys() and any(" " in k[2] for k in got)
+    assert all(abs(got[k] - want[k]) < 2e-6 for k in got)
+
+
+def test_text_neighbours_fill_up(spark):
+    """The nearest by the distances of all rows, those without a shared term or without any term as well."""
+    vectors = {1: {"x": 1.0}, 2: {"x": 0.6, "y": 0.8}, 3: {"y": 1.0}, 4: {"z": 1.0}, 5: {}, 6: {}, 7: {"z": 1.0}, 8: {"u": 1.0}}
+    weights = spark.createDataFrame([("f", k, t, w) for k, v in vectors.items() for t, w in v.items()], "og string, id long, term string, weight double")
+    members = spark.createDataFrame([("f", k) for k in vectors], "og string, id long")
+    got = sorted((r["id"], r["place"], r["other"]) for r in text_mining.text_neighbours(weights, members, 4).collect())
+    d2 = lambda a, b: round(sum((vectors[a].get(t, 0) - vectors[b].get(t, 0)) ** 2 for t in "xyzu"), 9)
+    assert got == [(a, n, b) for a in vectors for n, b in enumerate(sorted((b for b in vectors if b != a), key=lambda b: (d2(a, b), b))[:4], 1)]
+
+
 def test_tfidf_of_runs(spark):
     frame = spark.createDataFrame([("f", k, "ABCDEFGH" + "XYZ"[k % 3] * 6) for k in range(6)], "og string, id long, seq string")
     got = text_mining.tfidf(frame, longest=2, least_df=5).collect()
