@@ -1,20 +1,23 @@
 """Near-duplicate documents by Order MinHash over word k-mers, verified by banded alignment.
 
-A text is its words in lower case; its k-mers (five words) carry the number of their occurrence. Each of SKETCHES
-sketches keeps the PICKS k-mers least under its own hash, in the order of the text, so two texts share a sketch when
-those k-mers agree and stand in the same order. Distinct texts that share a sketch are compared in three steps:
+A text is its words in lower case; its k-mers carry the number of their occurrence. Each sketch keeps the four k-mers
+least under its own hash, in the order of the text, so two texts share a sketch when those k-mers agree and stand in
+the same order. k is two words: where a fifth of the words differ, a third of the k-mers of five words survive and half
+of those of two, so many short ones in order find such pairs and seldom meet where texts only share a passage; short
+texts have sketches of fewer k-mers as well (FAMILIES). Distinct texts that share a sketch are compared in three steps:
 
-1. every text of a sketch's bucket is aligned with the bucket's least id (a star, not all pairs);
+1. every text of a sketch's bucket is aligned with the bucket's head, the text that meets most others (a star, not all pairs);
 2. the aligned pairs give components;
-3. in buckets whose texts are in more than one component, texts of different components still have to meet, so a link
-   is never lost because it wasn't to the least id (within a component nothing is left to find). They meet through rare
+3. in buckets whose texts, but for the head, are in more than one component, texts of different components still have to meet, so a link
+   is never lost because it wasn't to the head (within a component nothing is left to find). They meet through rare
    words: of two texts in which at most a fifth of the words differ, the rarest fifth (and one word) of each must share
    a word, in whatever order words are ranked. That loses nothing, and where many texts share a passage, its words
-   are common and so rank last. A text that is linked to a head stands back behind it: heads are aligned, and by
-   the triangle inequality only texts whose heads are near enough, given how far each is from its head, follow, unless
-   the words that only one of them has already cost too many edits.
+   are common and so rank last. Two texts come together once, by the least rare word that they share, unless the words
+   that only one of them has already cost too many edits. Of all texts of a component that a text meets it is aligned
+   with the likeliest first; what that doesn't join is aligned in full.
 
-Two texts are linked if their edit distance, in words, is at most a fifth of the longer one's words (similarity 0.8).
+Two texts are linked if their edit distance, in words, is at most a fifth of the longer one's words (similarity 0.8);
+texts whose shingles of five words overlap by 0.8 or more, in order, are among them.
 Exact copies are one text from the start. The class of a document is the least doc_id that links lead to.
 """
 
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,8 @@ from .common import blocks, staged
 from .components import components
 
 WORD = re.compile(r"\w+")
-K, PICKS, SKETCHES = 5, 3, 40
+#: Words of a k-mer, k-mers of a sketch, number of sketches, and how many words a text that has them falls short of (None: any text).
+FAMILIES = ((2, 4, 60, None), (2, 3, 40, 64), (2, 2, 40, 16))
 SIMILARITY = 0.8
 NO_ID = -(1 << 63)
 #: Bytes of a text's SHA-256 that tell it from other texts.
@@ -44,7 +49,11 @@ BAG = 128
 #: Word counts, for ranking only, are kept in so many cells; words that meet in one are ranked together.
 RANK_CELLS = 1 << 20
 #: Words times sketches that are hashed at a time.
-CELLS = 4_000_000
+CELLS = 1_000_000
+#: Rare words up to so many are kept as a list with each of them, so a pair comes up once; of longer texts it may come up again.
+LISTED = 200
+#: The first band of an alignment, in words.
+NARROW = 256
 
 
 def words_of(text: str) -> list[str]:
@@ -67,34 +76,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Sketcher:
     """sketch(text): the keys of a text's sketches; none for a text without words."""
 
-    def __init__(self, k: int = K, picks: int = PICKS, sketches: int = SKETCHES):
-        self.k, self.picks, self.sketches = k, picks, sketches
+    def __init__(self, families: tuple = FAMILIES):
+        self.families = families
         rng = np.random.default_rng(20240229)
-        self.factors = rng.integers(0, 1 << 63, sketches, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.offsets = rng.integers(0, 1 << 63, sketches, np.uint64)
-        self.places = rng.integers(0, 1 << 63, max(k, picks) + 1, np.uint64) * np.uint64(2) + np.uint64(1)
+        odd = lambda n: rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.factors = [odd(sketches) for _, _, sketches, _ in families]
+        self.starts = [odd(sketches) for _, _, sketches, _ in families]
+        self.places = odd(1 + max(max(k, picks) for k, picks, _, _ in families))
         self.words = WordHashes()
 
     def __getstate__(self):
-        return {"k": self.k, "picks": self.picks, "sketches": self.sketches}
+        return {"families": self.families}
 
     def __setstate__(self, state):
         self.__init__(**state)
 
-    def kmers(self, words: list[str]) -> np.ndarray:
+    def kmers(self, hashes: np.ndarray, k: int) -> np.ndarray:
         """Hashes of the k-mers in order, each with the number of its occurrence."""
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        n, k = max(1, len(h) - self.k + 1), min(self.k, len(h))
+        n, k = max(1, len(hashes) - k + 1), min(k, len(hashes))
         grams = np.zeros(n, np.uint64)
         for i in range(k):
-            grams += h[i : i + n] * self.places[i]
+            grams += hashes[i : i + n] * self.places[i]
         grams = mixed(grams)
         order = np.argsort(grams, kind="stable")
-        sorted_grams = grams[order]
-        if (sorted_grams[1:] == sorted_grams[:-1]).any():
-            first = np.r_[True, sorted_grams[1:] != sorted_grams[:-1]]
+        ordered = grams[order]
+        if (ordered[1:] == ordered[:-1]).any():
+            first = np.r_[True, ordered[1:] != ordered[:-1]]
             begin = np.flatnonzero(first)
             times = np.empty(n, np.uint64)
             times[order] = np.arange(n) - begin[np.cumsum(first) - 1]
@@ -105,83 +112,102 @@ class Sketcher:
         words = words_of(text)
         if not words:
             return []
-        grams = self.kmers(words)
-        n, picks = len(grams), min(self.picks, len(grams))
-        # Few values are below the limit; a row with too few of them is sorted in full.
-        limit = np.uint64(min(1.0, 24 / n) * 0.999999 * 2**64) if n > 48 else np.uint64(2**64 - 1)
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        hashes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
         keys: list[np.ndarray] = []
-        step = max(1, CELLS // n)
-        for at in range(0, self.sketches, step):
-            factors, offsets = self.factors[at : at + step], self.offsets[at : at + step]
-            values = grams[None, :] * factors[:, None] + offsets[:, None]
-            rows, cols = np.nonzero(values <= limit)
-            counts = np.bincount(rows, minlength=len(factors))
-            if (counts < picks).any():
-                chosen = np.sort(np.argsort(values, 1, kind="stable")[:, :picks], 1)
-            else:
-                order = np.lexsort((cols, values[rows, cols], rows))
-                begin = np.r_[0, np.cumsum(counts)[:-1]]
-                chosen = np.sort(cols[order][begin[:, None] + np.arange(picks)], 1)
-            key = np.arange(at, at + len(factors)).astype(np.uint64) * self.places[-1]
-            for i in range(picks):
-                key = mixed(key + grams[chosen[:, i]] * self.places[i])
-            keys.append(key)
+        for (k, picks, sketches, below), factors, starts in zip(self.families, self.factors, self.starts, strict=True):
+            if below is not None and len(words) >= below:
+                continue
+            grams = self.kmers(hashes, k)
+            step = max(1, CELLS // len(grams))
+            for at in range(0, sketches, step):
+                key = starts[at : at + step].copy()
+                for i, place in enumerate(self.least(grams, factors[at : at + step], min(picks, len(grams)))):
+                    key = mixed(key + grams[place] * self.places[i])
+                keys.append(key)
         return np.concatenate(keys).view(np.int64).tolist()
 
+    @staticmethod
+    def least(grams: np.ndarray, factors: np.ndarray, picks: int) -> np.ndarray:
+        """For each factor the places of the k-mers whose hash times the factor is least, as rows in the order of the text."""
+        values = np.multiply.outer(factors, grams)
+        rows, found = np.arange(len(factors)), []
+        for _ in range(picks):
+            found.append(values.argmin(1))
+            values[rows, found[-1]] = np.uint64(2**64 - 1)
+        return np.sort(np.array(found), 0)
+
 
-def labelled_words(hashes: WordHashes, words: list[str]) -> np.ndarray:
-    """Hashes of the words, each with the number of its occurrence, so equal multisets have equal sets."""
+def labelled_words(hashes: WordHashes, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, each with the number of its occurrence, so equal multisets have equal sets; and hashes of the
+    words with a class of that number, the classes being wider the more often a word has come up."""
     if len(hashes) > CACHED_WORDS:
         hashes.clear()
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     order = np.argsort(h, kind="stable")
     first = np.r_[True, h[order][1:] != h[order][:-1]]
-    times = np.empty(len(h), np.uint64)
+    times = np.empty(len(h), np.int64)
     times[order] = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
-    return mixed(h + times * np.uint64(0xD6E8FEB86659FD93))
+    classes = np.where(times < 8, times, 8 + np.floor(8 * np.log2(np.maximum(times, 8) / 8)).astype(np.int64))
+    return tuple(mixed(h + n.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) for n in (times, classes))
 
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """How often words come up in texts (id, text), by cell; RANK_CELLS numbers at most reach the driver."""
-    schema = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+def word_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How often words come up in texts (id, text, component), and whether in more than one component, by cell.
+
+    RANK_CELLS rows at most reach the driver.
+    """
+    schema = pa.schema([(n, pa.int64()) for n in ("cell", "n", "lo", "hi")])
 
     def run(batches):
         total, hashes = np.zeros(RANK_CELLS, np.int64), WordHashes()
-        for _, some in blocks(batches):
-            for text in some:
-                if words := words_of(text):
-                    total += np.bincount((labelled_words(hashes, words) % np.uint64(RANK_CELLS)).astype(np.int64), minlength=RANK_CELLS)
+        lo, hi = np.full(RANK_CELLS, np.iinfo(np.int64).max), np.full(RANK_CELLS, np.iinfo(np.int64).min)
+        for batch in batches:
+            for text, component in zip(batch["text"], batch["component"].to_pylist(), strict=True):
+                if words := words_of(text.as_py()):
+                    cells, n = np.unique(labelled_words(hashes, words)[0] % np.uint64(RANK_CELLS), return_counts=True)
+                    cells = cells.astype(np.int64)
+                    total[cells] += n
+                    lo[cells], hi[cells] = np.minimum(lo[cells], component), np.maximum(hi[cells], component)
         cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells]), pa.array(lo[cells]), pa.array(hi[cells])], schema=schema)
 
-    found = texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(RANK_CELLS, np.int64)
-    out[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return out
+    rows = texts.mapInArrow(run, "cell long, n long, lo long, hi long")
+    found = rows.groupBy("cell").agg(F.sum("n").alias("n"), (F.min("lo") != F.max("hi")).alias("met")).toArrow()
+    counts, met = np.zeros(RANK_CELLS, np.int64), np.zeros(RANK_CELLS, bool)
+    counts[found["cell"].to_numpy()], met[found["cell"].to_numpy()] = found["n"].to_numpy(), found["met"].to_numpy(zero_copy_only=False)
+    return counts, met
 
 
 def rare_words(texts: DataFrame) -> DataFrame:
-    """id, size, the rarest fifth of the words (and one), and the bits that the words set in BAG longs, of texts (id, text)."""
-    counts = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("rare", pa.list_(pa.int64())), ("bag", pa.list_(pa.int64()))])
+    """id, component, size, the rarest fifth of the words (and one) and the bits that the words set in BAG longs, of texts
+    (id, text, component).
+
+    A word of a text is one occurrence; those that no other component has are left out of the rare ones, and those of one
+    class are one, so a word said hundreds of times gives a few of them.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
+    schema = pa.schema([("id", pa.int64()), ("component", pa.int64()), ("size", pa.int64()), ("rare", pa.list_(pa.int64())), ("bag", pa.list_(pa.int64()))])
 
     def run(batches):
-        hashes = WordHashes()
-        for ids, some in blocks(batches):
-            sizes, rare, bags = [], [], []
-            for text in some:
-                words = words_of(text)
-                sizes.append(len(words))
-                marks = labelled_words(hashes, words) if words else np.zeros(0, np.uint64)
-                rank = np.lexsort((marks, counts.value[(marks % np.uint64(RANK_CELLS)).astype(np.int64)]))
-                least = int(np.ceil(SIMILARITY * len(words) - 1e-9))  # words that a similar text has as well
-                rare.append(marks[rank[: len(words) - least + 1]].view(np.int64).tolist())
-                bits = np.zeros(BAG * 64, np.uint8)
-                bits[((marks >> np.uint64(40)) % np.uint64(BAG * 64)).astype(np.int64)] = 1
-                bags.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64())), pa.array(bags, pa.list_(pa.int64()))], schema=schema)
-
-    return texts.mapInArrow(run, "id long, size long, rare array<long>, bag array<long>")
+        hashes, (counts, met) = WordHashes(), sent.value
+        for batch in batches:
+            rows = zip(batch["id"].to_pylist(), batch["component"].to_pylist(), batch["text"], strict=True)
+            while some := list(islice(rows, 256)):
+                out = []
+                for key, component, text in some:
+                    words = words_of(text.as_py())
+                    marks, keys = labelled_words(hashes, words) if words else (np.zeros(0, np.uint64),) * 2
+                    cells = (marks % np.uint64(RANK_CELLS)).astype(np.int64)
+                    least = int(np.ceil(SIMILARITY * len(words) - 1e-9))  # words that a similar text has as well
+                    rank = np.lexsort((marks, counts[cells]))[: len(words) - least + 1]
+                    bits = np.zeros(BAG * 64, np.uint8)
+                    bits[((marks >> np.uint64(40)) % np.uint64(BAG * 64)).astype(np.int64)] = 1
+                    out.append((key, component, len(words), np.unique(keys[rank][met[cells[rank]]].view(np.int64)).tolist(), np.packbits(bits, bitorder="little").view("<i8").tolist()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return texts.mapInArrow(run, "id long, component long, size long, rare array<long>, bag array<long>")
 
 
 def least_distance(x: str, y: str):
@@ -190,47 +216,51 @@ def least_distance(x: str, y: str):
     return F.coalesce(F.greatest(over(x, y), over(y, x)), F.lit(0))
 
 
-def across(placed: DataFrame, texts: DataFrame, linked: DataFrame) -> DataFrame:
-    """Links (a, b) between texts of different components that share a bucket. placed: key, id, component; linked: a, b, d."""
+def across(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between texts of different components that share a bucket. placed: key, id, component, without the heads, which have met all."""
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    own = placed.join(open_keys, "key")
-    bit = "shiftleft(1L, cast(key & 63 as int))"
-    masks = [f"if(((key >> 6) & 3) = {k}, {bit}, 0L)" for k in range(4)]  # a bucket is one bit of four words
-    owners = own.groupBy("id").agg(F.min("component").alias("component"), *(F.bit_or(F.expr(m)).alias(f"m{k}") for k, m in enumerate(masks)))
-    homes = linked.groupBy(F.col("a").alias("id")).agg(F.min(F.struct("b", "d")).alias("h"))
-    owners = owners.join(homes, "id", "left").withColumns({"head": F.coalesce("h.b", "id"), "off": F.coalesce("h.d", F.lit(0))}).drop("h")
-    owners = staged(owners, "open-texts")
-    members = staged(owners.join(rare_words(staged(texts.join(owners.select("id"), "id"), "open-words")), "id"), "open-members")
-    words = members.select("head", "component", "off", "size", "m0", "m1", "m2", "m3", F.explode("rare").alias("word"))
-    spread = words.groupBy("word", "head", "component").agg(
-        F.min("size").alias("lo"), F.max("size").alias("hi"), F.max("off").alias("off"), *(F.bit_or(f"m{k}").alias(f"m{k}") for k in range(4))
-    )
-    spread = staged(spread, "rare-words")
-    shared = spread.groupBy("word").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("word")
-    bags = members.select(F.col("id").alias("head"), "bag")
-    met = staged(spread.join(shared, "word").join(bags, "head", "left"), "shared-words")
+    owners = staged(placed.join(open_keys, "key").select("id", "component").distinct(), "open-texts")
+    members = staged(rare_words(staged(texts.join(owners, "id"), "open-words")), "open-members")
+    words = members.select("id", "component", F.explode("rare").alias("word"))
+    shared = words.groupBy("word").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first != last").select("word")
+    met = staged(words.join(shared, "word").select("word", "id").join(members.withColumn("rare", F.when(F.size("rare") <= LISTED, F.col("rare"))), "id"), "shared-words")
     x, y = (met.select("word", *(F.col(c).alias(f"{c}_{side}") for c in met.columns if c != "word")) for side in "ab")
-    near = (F.col("hi_a") >= F.col("lo_b") * (SIMILARITY - 1e-9)) & (F.col("hi_b") >= F.col("lo_a") * (SIMILARITY - 1e-9))
-    bucket = F.expr(" or ".join(f"(m{k}_a & m{k}_b) != 0" for k in range(4)))
-    most = (F.floor((1 - SIMILARITY) * F.greatest("hi_a", "hi_b") + 1e-9) + F.col("off_a") + F.col("off_b")).cast("long")
-    pairs = x.join(y, "word").where((F.col("component_a") > F.col("component_b")) & near & bucket & (least_distance("bag_a", "bag_b") <= most))
-    heads = pairs.groupBy(F.col("head_a").alias("a"), F.col("head_b").alias("b")).agg(F.max(most).alias("most"))
-    close = staged(aligned(staged(heads, "head-pairs"), texts), "close-heads")
-    sizes = members.select("id", "head", "off", "size", "bag")
-    x, y = (sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in sizes.columns)) for side in "ab")
-    behind = close.join(x, F.col("a") == F.col("head_a")).join(y, F.col("b") == F.col("head_b"))
     longest = F.greatest("size_a", "size_b")
-    bound = (1 - SIMILARITY) * longest + 1e-9
-    may = (F.least("size_a", "size_b") >= longest * (SIMILARITY - 1e-9)) & (F.col("d") - F.col("off_a") - F.col("off_b") <= bound) & (least_distance("bag_a", "bag_b") <= bound)
-    follow = staged(behind.where(may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs-across")
-    return staged(aligned(follow, texts).select("a", "b"), "links-across")
-
-
-def distance(a: str, b: str, most: int | None = None) -> int | None:
-    """Edit distance of two texts in words, if it is at most a fifth of the longer one's words (or `most`), else None."""
+    most = F.floor((1 - SIMILARITY) * longest + 1e-9)
+    near = F.least("size_a", "size_b") >= longest * SIMILARITY - 1e-9
+    cost = least_distance("bag_a", "bag_b")
+    once = F.coalesce(F.array_min(F.array_intersect("rare_a", "rare_b")) == F.col("word"), F.lit(True))
+    pairs = x.join(y, "word").where((F.col("component_a") > F.col("component_b")) & near & once & (cost <= most))
+    pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "component_a", "component_b", cost.alias("cost"))
+    pairs = staged(pairs.distinct(), "pairs-across")
+    # The likeliest pair of each text and component first; what that joins needs no more.
+    first = pairs.groupBy("a", "component_b").agg(F.min_by("b", F.struct("cost", "b")).alias("b")).select("a", "b")
+    sure = staged(aligned(first, texts).select("a", "b"), "links-across")
+    of = pairs.select("a", "b", "component_a", "component_b")
+    joined = components(sure.join(of, ["a", "b"]).select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+    for side in "ab":
+        now = joined.select(F.col("node").alias(f"component_{side}"), F.col("component").alias(f"now_{side}"))
+        of = of.join(now, f"component_{side}", "left").withColumn(f"component_{side}", F.coalesce(f"now_{side}", f"component_{side}"))
+    left = of.where("component_a != component_b").select("a", "b").join(first, ["a", "b"], "left_anti")
+    return sure.union(staged(aligned(staged(left, "pairs-left"), texts).select("a", "b"), "links-across"))
+
+
+def distance(a: str, b: str) -> int | None:
+    """Edit distance of two texts in words, if it is at most a fifth of the longer one's words, else None.
+
+    The band is widened step by step, so texts that differ little cost little, however long they are.
+    """
     x, y = words_of(a), words_of(b)
     longest = max(len(x), len(y))
-    return distance_within(x, y, int((1 - SIMILARITY) * longest + 1e-9) if most is None else most) if longest else None
+    if not longest:
+        return None
+    most = int((1 - SIMILARITY) * longest + 1e-9)
+    band = NARROW
+    while band < most:
+        if (d := distance_within(x, y, band)) is not None:
+            return d
+        band *= 8
+    return distance_within(x, y, most)
 
 
 def similar(a: str, b: str) -> bool:
@@ -258,7 +288,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and their distance d, for the pairs (a, b) whose texts (id, text) are similar, or at most `most` apart where pairs say so."""
+    """a, b and their distance d, for the pairs (a, b) whose texts (id, text) are similar."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
@@ -266,13 +296,12 @@ def aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             hits = []
-            for a, b, most, x, y in zip(*batch.columns, strict=True):
-                if (d := distance(x.as_py(), y.as_py(), most.as_py())) is not None:
+            for a, b, x, y in zip(*batch.columns, strict=True):
+                if (d := distance(x.as_py(), y.as_py())) is not None:
                     hits.append((a.as_py(), b.as_py(), d))
             yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in range(3)], schema=schema)
 
-    most = pairs if "most" in pairs.columns else pairs.withColumn("most", F.lit(None).cast("long"))
-    both = most.join(left, "a").join(right, "b").select("a", "b", "most", "text_a", "text_b")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(run, "a long, b long, d long")
 
 
@@ -282,6 +311,17 @@ def with_digests(docs: DataFrame) -> DataFrame:
     return rows.withColumn("digest", digest_of(F.col("text")))
 
 
+def spokes(members: DataFrame) -> DataFrame:
+    """key, id and head of each text of a bucket but the head: the text that meets most others in all of its buckets, so the one in the middle.
+
+    members: key, id and the number n of texts of the bucket.
+    """
+    weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
+    weighed = members.select("key", "id").join(weights, "id")
+    heads = weighed.groupBy("key").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("head"))
+    return staged(members.join(heads, "key").where("id != head").select("key", "id", "head"), "spokes")
+
+
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sketches (id, digest, ...) of every row of docs, and for each distinct text its digest, the least id with it
     (first) and the least (id, digest) of its class (least).
@@ -295,17 +335,17 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # One row for each distinct text; several rows of one id and text are one.
     single = marks.join(firsts.select(F.col("first").alias("id"), "digest", "node"), ["id", "digest"]).select("node", F.explode(F.array_distinct("keys")).alias("key")).distinct()
     single = single.withColumnRenamed("node", "id")
-    heads = single.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "head")
-    members = staged(single.join(heads, "key"), "buckets")
-    stars = members.where("id != head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
+    repeated = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = staged(single.join(repeated, "key"), "buckets")
+    around = spokes(members)
+    stars = around.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
     needed = firsts.join(members.select(F.col("id").alias("node")).distinct(), "node").select(F.col("first").alias("id"), "digest", "node")
     found = rows.join(needed, ["id", "digest"]).groupBy("id", "digest").agg(F.min("node").alias("node"), F.min("text").alias("text"))
     texts = staged(found.select(F.col("node").alias("id"), "text"), "candidates")
-    linked = staged(aligned(stars, texts), "links")
-    links = linked.select("a", "b")
+    links = staged(aligned(stars, texts).select("a", "b"), "links")
     of = components(links)
-    placed = members.select("key", "id").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    whole = components(links.union(across(placed, texts, linked)))
+    placed = around.select("key", "id").join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    whole = components(links.union(across(placed, texts)))
     own = F.struct("first", "digest")
     tied = staged(firsts.join(whole, "node").select("node", "component", own.alias("own")), "linked-texts")
     named = tied.join(tied.groupBy("component").agg(F.min("own").alias("least")), "component").select("node", "least")
@@ -337,8 +377,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """The class of every document, near copies and exact copies together.
 
-    Null texts count as empty; all empty texts are copies of one another. Texts of fewer than five words have one k-mer,
-    all of their words. Rows repeated with one doc_id and text each give the same row. Different texts
-    under one doc_id, or without one, are linked each by itself; the class and copy of a row are its text's. An empty table gives none. Other columns are never read.
+    Null texts count as empty; all empty texts are copies of one another. Texts of fewer than two words have one k-mer.
+    Very long texts are sketched whole, some of their hashes at a time, and aligned in a band that grows with the edits
+    found, so the time is in proportion to length times edits. Rows repeated with one doc_id and text each give the same
+    row. Different texts under one doc_id, or without one, are linked each by itself; the class and copy of a row are
+    its text's, null where that text has no doc_id. Of heads that tie the least is taken. An empty table gives none.
+    Other columns are never read.
     """
     return classes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
