@@ -15,7 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from itertools import accumulate
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +94,8 @@ class CachedTokenizer:
                 alone.append(w)
             elif w.isalpha():
                 plain.append(w)
-            elif (core := w.rstrip(TAIL)).isalpha():
-                tailed.append((w, core))
+            elif (core := w.rstrip(TAIL)).isalpha() and (core.isascii() or normalize("NFC", core)[-1].isalpha()):
+                tailed.append((w, core))  # letters that NFC ends with a mark go with what follows them
             else:
                 alone.append(w)
         plain = list(dict.fromkeys(plain + [core for _, core in tailed if core not in cache]))
@@ -237,7 +237,7 @@ def op9_token_ids(spark, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to shards and read back.
 
     A null text counts as empty and so has the end id alone; repeated rows (also of one doc_id) are documents of their
-    own, in the order of their texts' hashes; rows without a doc_id come first, with a null doc_id; an empty table gives none. Other columns
-    are never read.
+    own, in the order of their texts' hashes; rows without a doc_id come first, with a null doc_id; an empty table gives
+    none. Very long texts are encoded whole, each as a block of its own. Other columns are never read.
     """
     return encode_corpus(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
