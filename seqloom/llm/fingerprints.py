@@ -34,9 +34,9 @@ def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE) -> DataF
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Share of the smaller sketch that both have; 0 if a sketch is empty."""
+    """Share of the smaller sketch that both have; equal sketches have 1, also empty ones, and an empty one else 0."""
     least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(F.lit(0.0))
+    return F.when(a == b, F.lit(1.0)).when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(F.lit(0.0))
 
 
 def as_text(sketch: Column) -> Column:
@@ -81,14 +81,13 @@ def fingerprint(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         "edited", F.expr("concat(substring(text, 1, n_chars - cast(floor(n_chars / 3) as int)), head)")
     )
     both = with_sketch(with_sketch(both, "text", "sketch", scale), "edited", "edited_sketch", scale)
-    same = F.col("text") == F.col("edited")
     return both.withColumn("copy", F.explode(F.expr("sequence(1, cast(copies as int))"))).select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         as_text(F.col("sketch")).alias("fingerprint"),
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        F.when(same, F.lit(1.0)).otherwise(containment(F.col("sketch"), F.col("edited_sketch"))).alias("near_edited"),
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
 
@@ -96,8 +95,9 @@ def fingerprint(docs: DataFrame, scale: int = SCALE) -> DataFrame:
 def op4_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts.
 
-    A null text counts as empty, and the sketch of a text without words is empty; likeness with an empty sketch is 0,
-    but 1 to an edited text that is the same. Documents of one doc_id follow each other by the hash of their texts;
+    A null text counts as empty, and the sketch of a text without words is empty, as may be that of a text of few words;
+    likeness is told by the sketches alone: 1 for equal ones, two empty ones too, and else 0 with an empty one. Very long
+    texts are sketched whole, as one row. Documents of one doc_id follow each other by the hash of their texts;
     rows repeated in full have one next document together and each give a row; rows without a doc_id come last. In a
     table of one document it is its own next. An empty table gives none. Other columns are never read.
     """
