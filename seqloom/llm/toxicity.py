@@ -3,7 +3,9 @@
 A text becomes the set of the prefixes of its words (and the words themselves, marked as whole). The loss is the
 logistic loss on labelled texts plus a penalty: for labelled texts that name an identity group, each term is swapped
 for another of its set, and the squared change of the margin is charged. Terms that go along with toxic labels only by
-chance so get no weight, and neutral mentions of a group are not held against a text.
+chance so get no weight, and neutral mentions of a group are not held against a text. Corpora name groups that no list
+has: further sets are learnt from the labelled texts, words that are about as usual as each other and say nothing of the
+label (neutral_sets), so that there are counterfactuals whatever the language.
 """
 
 from __future__ import annotations
@@ -60,16 +62,42 @@ def swapped(text: str, groups: tuple[tuple[str, ...], ...], at_most: int = 3) ->
     if not groups:
         return []
     place = {w: (g, i) for g in groups for i, w in enumerate(g)}
+    if place.keys().isdisjoint(WORD.findall(text.lower())):
+        return []
 
     def moved(step: int) -> str:
         def other(m: re.Match) -> str:
-            group, i = place[m[0].lower()]
+            if (found := place.get(m[0].lower())) is None:
+                return m[0]
+            group, i = found
             return group[(i + step) % len(group)]
 
-        return pattern.sub(other, text)
+        return WORD.sub(other, text)
+
+    return [moved(step) for step in range(1, at_most + 1)]
+
 
-    pattern = re.compile(rf"\b(?:{'|'.join(sorted(map(re.escape, place), key=len, reverse=True))})\b", re.I)
-    return [moved(step) for step in range(1, at_most + 1)] if pattern.search(text) else []
+def neutral_sets(texts: list[str], labels: np.ndarray, sets: int = 60, size: int = 4, least: float = 0.01, most: float = 0.25, evidence: float = 1.0) -> tuple[tuple[str, ...], ...]:
+    """Sets of words that may stand for each other: of those in `least` to `most` of the texts, whose share of label 1 is that of
+    all texts but for chance (log-likelihood ratio of `evidence` at most), the most usual ones, like beside like; ties by word.
+    """
+    index = linear.Index()
+    for t in texts:
+        index.add(set(WORD.findall(t.lower())))
+    names, rows = index.kept(index.frequent(max(3, int(least * len(texts)))))
+    ones, others = rows.gather(labels), rows.gather(1 - labels)
+    ratio = log_likelihood(ones, max(labels.sum(), 1.0), others, max((1 - labels).sum(), 1.0))
+    held = ones + others
+    fit = [k for k in np.flatnonzero((ratio <= evidence) & (held <= most * len(texts))).tolist() if len(names[k]) >= PREFIXES[0]]
+    fit = sorted(fit, key=lambda k: (-held[k], names[k]))[: sets * size]
+    words = [names[k] for k in fit]
+    return tuple(tuple(words[k : k + size]) for k in range(0, len(words) - size + 1, size))
+
+
+def swap_change(model: ToxicityModel, texts: list[str], groups: tuple[tuple[str, ...], ...]) -> tuple[int, float]:
+    """How many counterfactual pairs texts give (one for each text with a term), and the mean change of the margin by a swap."""
+    pairs = [(t, other) for t in texts for other in swapped(t, groups, 1)]
+    return len(pairs), float(np.mean([abs(model.margin(a) - model.margin(b)) for a, b in pairs])) if pairs else 0.0
 
 
 class ToxicityModel:
@@ -112,7 +140,11 @@ def log_likelihood(a: np.ndarray, n: float, b: np.ndarray, m: float) -> np.ndarr
 
 
 def fit_texts(texts: list[str], y: list[int], groups=IDENTITY_TERMS, penalty: float = 5.0, ridge: float = 1e-4, rounds: int = 300, share: float = 0.3, least: int = 3, weak: float = 9.0, strong: float = 30.0) -> ToxicityModel:
-    """Full-batch Adam steps; label 1 has that share of the loss. penalty: of squared changes of the margin."""
+    """Full-batch Adam steps; label 1 has that share of the loss. penalty: of squared changes of the margin.
+
+    groups: sets of terms that may stand for each other; without any there are no counterfactuals, else those of
+    neutral_sets count as well.
+    """
     texts, y = zip(*dict(zip(texts, y, strict=True)).items(), strict=True) if texts else ((), ())  # copies count once
     labels = np.array(y, float)
     if len(set(y)) < 2:
@@ -134,11 +166,18 @@ def fit_texts(texts: list[str], y: list[int], groups=IDENTITY_TERMS, penalty: fl
     del index
     place = {f: k for k, f in enumerate(names)}
 
-    def encoded(some: list[str]) -> linear.Rows:
-        return linear.Rows([np.array(sorted(place[f] for f in features(t) if f in place), np.int64) for t in some], len(place))
-
-    pairs = [(t, other) for t in texts for other in swapped(t, groups)]
-    was, now = encoded([t for t, _ in pairs]), encoded([t for _, t in pairs])
+    def known(text: str) -> set[int]:
+        return {place[f] for f in features(text) if f in place}
+
+    # Of a counterfactual pair only what the two texts don't share changes the margin.
+    learnt = neutral_sets(list(texts), labels) if groups else ()
+    pairs = []
+    for some, at_most in ((groups, 3), (learnt, 1)):
+        for t in texts:
+            if others := swapped(t, some, at_most):
+                mine = known(t)
+                pairs += [(np.array(sorted(mine - other)), np.array(sorted(other - mine))) for other in map(known, others)]
+    was, now = (linear.Rows([x[k] for x in pairs], len(place)) for k in range(2))
     weight = np.where(labels > 0, share / labels.sum(), (1 - share) / (1 - labels).sum())
     w, bias = np.zeros(len(names)), np.zeros(1)
     mean, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
@@ -195,8 +234,9 @@ def keep_harmless(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3)
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labelled rows whose id bucket modulo 4 isn't 2.
 
-    Null and empty texts get the score of a text without features; repeated rows each give a row; an empty table gives
-    none; without labels the score is about 0. Other columns are never read.
+    Null and empty texts get the score of a text without features; very long ones are scored whole, one at a time;
+    repeated rows each give a row, with or without a doc_id (one without has no label); equal texts tie in their scores;
+    an empty table gives none; without labels the score is about 0. Other columns are never read.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = score(docs, fit(docs, labelled(spark, sf_dir)))
