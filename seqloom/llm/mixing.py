@@ -173,7 +173,7 @@ def chance(doc_id: str, seed: int) -> Column:
 
 def fitted_cells(rows: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET) -> DataFrame:
     """source, lang, topic, weight and prob of the cells of rows (the dimensions, n_tokens)."""
-    cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
+    cells = staged(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "mixing-cells")  # so texts are read once for all sums
     return calibrate(cells, targets, budget).select(*DIMENSIONS, "weight", "prob")
 
 
@@ -188,20 +188,18 @@ def mix(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float =
 
 def keep_sampled(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
     """The sampled rows of docs, with all their columns."""
-    cells = fitted_cells(docs.select(*described(docs)), targets, budget).select(
-        *(F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS), F.col("prob").alias("_cell_prob")
-    )
-    here = [c.alias(f"_own_{d}") for c, d in zip(described(docs), DIMENSIONS, strict=False)]
-    rows = docs.select("*", *here)
-    match = [F.col(f"_own_{d}") == F.col(f"_cell_{d}") for d in DIMENSIONS]
-    return rows.join(cells, match).where(chance("doc_id", seed) < F.col("_cell_prob")).select(*docs.columns)
+    cells = fitted_cells(docs.select(*described(docs)), targets, budget).select(*DIMENSIONS, "prob")
+    # All columns of docs travel as one, so none can be taken for one of the operator's own.
+    rows = docs.select(F.struct("*").alias("row"), *described(docs)[: len(DIMENSIONS)])
+    return rows.join(cells, list(DIMENSIONS)).where(chance("row.doc_id", seed) < F.col("prob")).select("row.*")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """Sampling probability of every document at the default targets and a budget of half of all tokens.
 
     Null texts are empty: they have no tokens, weigh nothing and are kept. Null sources and languages are a value
-    of their own. Rows repeated with one doc_id share their fate if they share a cell. An empty table gives none.
-    Other columns are never read.
+    of their own. Rows repeated with one doc_id, and all rows without one, share their fate if they share a cell. Cells
+    tie in nothing: each has its own weight. Very long texts count with all their words, as one row. An empty table
+    gives none. Other columns are never read.
     """
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang"))
