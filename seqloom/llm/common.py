@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is empty (tests on one machine) is a temporary folder taken and kept in the session.
+    Only where that setting is empty and the master is this machine (tests) is a temporary folder taken and kept in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.seqloom.scratch", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.seqloom.scratch", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -61,25 +63,38 @@ def blocks(batches: Iterator[pa.RecordBatch], chars: int = 400_000) -> Iterator[
         yield ids, texts
 
 
+#: bounded_sample counts hashes in 2^CELL_BITS ranges; with n rows of a value, n / 2^CELL_BITS more than wanted are ranked.
+CELL_BITS = 16
+
+
 def id_bucket(col: str, n: int) -> Column:
     """crc32 of an id written as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % n
 
 
 def bounded_sample(rows: DataFrame, texts: DataFrame, key: str, by: str, per_class: int) -> list[tuple]:
-    """(by, text) of at most per_class rows for each value of by: those whose hashed key is least, so the same at any partitioning.
+    """(by, key, text) of per_class rows for each value of by at most: those whose hashed key is least, so the same at any partitioning.
 
-    Only keys take part in the ranking (each task keeps per_class of them before the shuffle), and the texts of
-    the chosen ones alone reach the driver.
+    Rows without a key or a value don't count, repeated ones count once. Hashes are first counted in 2^CELL_BITS ranges for each
+    value of by, which tells the range that holds the last one wanted; only rows up to it are ranked, so no task gets
+    all rows of a value. The texts of the chosen ones alone reach the driver.
     """
     from pyspark.sql import Window
 
-    ranked = rows.select(F.col(key).alias("k"), F.col(by).alias("y")).where("k is not null and y is not null").distinct()
-    order = Window.partitionBy("y").orderBy(F.xxhash64("k"), "k")
-    chosen = ranked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class).select("k", "y").collect()
-    if not chosen:
+    keyed = rows.select(F.col(key).alias("k"), F.col(by).alias("y")).where("k is not null and y is not null").distinct().withColumn("h", F.xxhash64("k"))
+    cell = F.shiftright("h", 64 - CELL_BITS)
+    # A row for each value of by and range: 2^CELL_BITS of them for a value at most, whatever the rows are.
+    upto = Window.partitionBy("y").orderBy("cell")
+    counted = keyed.groupBy("y", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    last = {r["y"]: r["last"] for r in counted.where(F.col("before") < per_class).groupBy("y").agg(F.max("cell").alias("last")).collect()}
+    if not last:
         return []
+    near = F.lit(False)
+    for y, at in last.items():
+        near = near | ((F.col("y") == F.lit(y)) & (cell <= at))
+    order = Window.partitionBy("y").orderBy("h", "k")
+    chosen = keyed.where(near).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class).select("k", "y").collect()
     spark = rows.sparkSession
-    small = spark.createDataFrame([tuple(x) for x in chosen], schema=ranked.schema)
+    small = spark.createDataFrame([tuple(x) for x in chosen], schema=keyed.select("k", "y").schema)
     found = texts.select(F.col(key).alias("k"), "text").where("text is not null").join(F.broadcast(small), "k")
     return sorted((r["y"], r["k"], r["text"]) for r in found.select("y", "k", "text").collect())
