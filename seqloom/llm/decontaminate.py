@@ -296,8 +296,9 @@ def op2_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document and test item it holds.
 
     Null and empty texts hold nothing and items without words are in no document; an item listed twice with one text
-    counts once; repeated documents each give their rows; with an empty table on either side there are no rows. Other
-    columns are never read.
+    counts once; repeated documents, and those without a doc_id, each give their rows; items that tie in a document all
+    have a row. Very long texts are asked whole, window by window. With an empty table on either side there are no rows.
+    Other columns are never read.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))

@@ -8,7 +8,6 @@ labelled texts. Forward passes run over all new words of a batch at once in nump
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 
@@ -85,15 +84,14 @@ class PieceModel:
         return alpha
 
     def long_word(self, word: str) -> np.ndarray:
-        """The same sum for a word of any length, with the running values rescaled at each letter."""
-        get, table, total = self.index.get, self.table, 0.0
+        """The same sum for a word of any length, with the running values of each language rescaled at each letter."""
+        get, table, total = self.index.get, self.table, np.zeros(len(self.langs))
         recent = [np.ones(len(self.langs))]  # of the last positions, latest last
         for j in range(1, len(word) + 1):
             here = sum(recent[-size] * table[get(word[j - size : j], 1 if size == 1 else 0)] for size in range(1, min(j, self.most) + 1))
-            top = here.max()
-            recent = [x / top for x in recent[-self.most :]] + [here / top]
-            total += math.log(top)
-        return np.log(recent[-1]) + total
+            recent = [x / here for x in recent[-self.most :]] + [np.ones(len(self.langs))]
+            total += np.log(here)
+        return total
 
     def learn_words(self, words: list[str]) -> None:
         """Puts the log-probabilities of new words into the cache."""
@@ -207,8 +205,10 @@ def identify(docs: DataFrame, model: PieceModel) -> DataFrame:
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the rows whose id bucket modulo 4 isn't 2.
 
-    Null, empty or letterless texts give `und` with score 0; repeated rows each give a row; an empty table gives none.
-    With no labelled row at all every text is `und`. Other columns of the table are never read.
+    Null, empty or letterless texts give `und` with score 0; very long ones are scored whole, as a block of their own, and
+    very long words with rescaling; of languages that tie the first in the alphabet is taken. Repeated rows each give a
+    row, and rows without a doc_id are never learnt from. An empty table gives none; with no labelled row at all every
+    text is `und`. Other columns of the table are never read.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     model = fit(docs.where(id_bucket("doc_id", 4) != 2))

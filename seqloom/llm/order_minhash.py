@@ -371,7 +371,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = marks.join(kept, (marks["id"] == kept["_kept_id"]) & (marks["digest"] == kept["_kept_digest"]), "left_semi").groupBy("id", "digest").count().where("count > 1")
     if again.isEmpty():
         return found
-    return found.withColumn("_kept_digest", digest_of(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_kept_digest"]).select(*docs.columns)
+    rows = found.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), digest_of(F.coalesce("text", F.lit(""))).alias("digest"))
+    return rows.dropDuplicates(["id", "digest"]).select("row.*")
 
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ is fitted to the scaled rows by dual coordinate descent, and its margin becomes
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -81,7 +82,7 @@ class QualityModel:
 
     def score(self, text: str | None) -> float:
         get = self.weights.get
-        margin = self.bias + sum(get(f, 0.0) for f in self.maker.features(text or ""))
+        margin = self.bias + math.fsum(get(f, 0.0) for f in self.maker.features(text or ""))  # the same in whatever order
         return linear.sigmoid(self.scale[0] * margin + self.scale[1])
 
 
@@ -150,8 +151,9 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labelled rows whose id bucket modulo 5 isn't 0.
 
-    Null and empty texts get the score of a text without features; repeated rows each give a row; an empty table gives
-    none; without labels the score is 0.5. Other columns are never read.
+    Null and empty texts get the score of a text without features; very long ones are scored whole, one at a time;
+    repeated rows each give a row, with or without a doc_id (one without has no label); equal texts tie in their scores;
+    an empty table gives none; without labels the score is 0.5. Other columns are never read.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")

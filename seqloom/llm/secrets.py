@@ -287,7 +287,8 @@ def op5_secrets(spark, sf_dir: str) -> DataFrame:
     """Secrets of every document, in its text and in what is encoded in it.
 
     n_assign, n_access and n_hex count the finds in the text as it stands; spans has those and the decoded ones. A null
-    text counts as empty: no finds, the digest of an empty list. Repeated rows each give a row; an empty table gives
-    none. Other columns are never read. A stream that unpacks to more than LAYER_CHARS is scanned in pieces and counted in n_oversize.
+    text counts as empty: no finds, the digest of an empty list. Repeated rows, and those without a doc_id, each give a
+    row; finds that tie in their start are listed by kind and end. Very long texts are scanned whole, one at a time. An
+    empty table gives none. Other columns are never read. A stream that unpacks to more than LAYER_CHARS is scanned in pieces and counted in n_oversize.
     """
     return scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
