@@ -11,7 +11,7 @@ DOCS = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
         # columns whose names the operators use themselves
-        *(T.StructField(n, T.StringType()) for n in ("id", "key", "tie", "score", "prob", "component", "digest", "topic", "weight", "copies", "n_tokens")),
+        *(T.StructField(n, T.StringType()) for n in ("id", "key", "tie", "score", "prob", "component", "digest", "topic", "weight", "copies", "n_tokens", "row", "own", "_own_source", "_cell_lang", "_kept_digest")),
     ]
 )
 EN = "the of and to in that it was for on with as his they be at one have this from".split()
@@ -40,7 +40,7 @@ def rows():
     out += [(91, "what is the colour of the tall ship? It is a pale sea green 77 " + out[3][1], "en", "s1")]
     out += [(92 + k, f"you are an idiot and a scum {k} really", "en", "s1") for k in range(6)]
     out += [(None, "a row without an id", "en", "s1")]
-    return [(*r, None if r[1] is None else len(r[1]), *["clash"] * 11) for r in out]
+    return [(*r, None if r[1] is None else len(r[1]), *["clash"] * 16) for r in out]
 
 
 @pytest.fixture(scope="session")
