@@ -17,6 +17,25 @@ GENETIC_CODES = {
     29: "FFLLSSSSYYYYCC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
     30: "FFLLSSSSYYEECC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
 }
+#: The other public codes, as codons that differ from code 1.
+CODE_CHANGES = {
+    2: {"AGA": "*", "AGG": "*", "ATA": "M", "TGA": "W"},
+    3: {"ATA": "M", "CTT": "T", "CTC": "T", "CTA": "T", "CTG": "T", "TGA": "W"},
+    5: {"AGA": "S", "AGG": "S", "ATA": "M", "TGA": "W"},
+    9: {"AAA": "N", "AGA": "S", "AGG": "S", "TGA": "W"},
+    13: {"AGA": "G", "AGG": "G", "ATA": "M", "TGA": "W"},
+    14: {"AAA": "N", "AGA": "S", "AGG": "S", "TAA": "Y", "TGA": "W"},
+    15: {"TAG": "Q"},
+    16: {"TAG": "L"},
+    21: {"AAA": "N", "AGA": "S", "AGG": "S", "ATA": "M", "TGA": "W"},
+    22: {"TCA": "*", "TAG": "L"},
+    23: {"TTA": "*"},
+    24: {"AGA": "S", "AGG": "K", "TGA": "W"},
+    27: {"TAA": "Q", "TAG": "Q", "TGA": "W"},
+    28: {"TAA": "Q", "TAG": "Q", "TGA": "W"},
+    31: {"TAA": "E", "TAG": "E", "TGA": "W"},
+    33: {"AGA": "S", "AGG": "K", "TAA": "Y", "TGA": "W"},
+}
 #: First two letters of codons whose third letter never matters.
 FOURFOLD = ("TC", "CT", "CC", "CG", "AC", "GT", "GC", "GG")
 #: Codes in which TA is such a pair as well, as the statistics take it.
@@ -24,11 +43,12 @@ FOURFOLD_TA = (6, 29)
 #: Stop codons that count for each code; other codes count as code 1.
 STOPS = {1: ("TGA", "TAA", "TAG"), 4: ("TAA", "TAG"), 10: ("TAA", "TAG"), 25: ("TAA", "TAG"), 6: ("TGA",), 29: ("TGA",), 30: ("TGA",)}
 CODONS = [a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"]
+CODES = (*GENETIC_CODES, *CODE_CHANGES)
 
 
 def code_table(code: int = 1) -> dict[str, str]:
     """Codon -> amino acid."""
-    return dict(zip(CODONS, GENETIC_CODES[code], strict=True))
+    return dict(zip(CODONS, GENETIC_CODES[1 if code in CODE_CHANGES else code], strict=True)) | CODE_CHANGES.get(code, {})
 
 
 def count_of(seq: Column, letters: str) -> Column:

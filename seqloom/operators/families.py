@@ -6,6 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .text_mining import knn_edges
+
 
 def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre: str = "median", least: int = 4) -> DataFrame:
     """Records near their family's median or mean length; families with fewer than `least` records before or after go."""
@@ -17,29 +19,49 @@ def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre
     return kept.join(left, "og", "left_semi")
 
 
+#: Texts of a family are dealt to blocks of about so many; two blocks at a time meet in one task.
+BLOCK = 300
+
+
+def text_pairs(texts: DataFrame) -> DataFrame:
+    """og, a, b (each a struct of the other columns of texts) and the edit distance d of each two distinct texts of a family, a < b by seq.
+
+    texts: og, seq and other columns, a row for each distinct text. Each pair of blocks of a family is a key of its own,
+    so a large family is the work of many tasks; a text goes to as many keys as its family has blocks.
+    """
+    sizes = texts.groupBy("og").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    block = F.pmod(F.xxhash64("seq"), F.col("_blocks")).cast("int")
+    rows = texts.join(sizes, "og").select("og", block.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"), F.struct(*(c for c in texts.columns if c != "og")).alias("t"))
+    rows = rows.select("og", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "t")
+    a = rows.where("_own = _lo").select("og", "_lo", "_hi", F.col("t").alias("x"))
+    b = rows.where("_own = _hi").select("og", "_lo", "_hi", F.col("t").alias("y"))
+    met = a.join(b, ["og", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x.seq") < F.col("y.seq")))
+    first = F.col("x.seq") < F.col("y.seq")
+    return met.select("og", F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"), F.levenshtein("x.seq", "y.seq").alias("d"))
+
+
 def distances(records: DataFrame) -> DataFrame:
     """og, a, b, d: edit distance of each two distinct texts of a family (a < b by text).
 
     Equal sequences are one text here: the distances of records are those of their texts, so a family with many copies
     costs what its distinct texts cost.
     """
-    texts = records.select("og", "seq").distinct()
-    a, b = texts.select("og", F.col("seq").alias("a")), texts.select("og", F.col("seq").alias("b"))
-    return a.join(b, "og").where("a < b").select("og", "a", "b", F.levenshtein("a", "b").alias("d"))
+    return text_pairs(records.select("og", "seq").distinct()).select("og", F.col("a.seq").alias("a"), F.col("b.seq").alias("b"), "d")
 
 
 def row_medians(records: DataFrame) -> DataFrame:
     """og, id, median: each record's median distance to all records of its family, with the zero to itself.
 
-    Distances between texts are weighted by how many records have the text; the median comes from these counts.
+    Distances between texts are counted by how many records have the text, where the pairs are made; the median comes
+    from these counts.
     """
-    counts = records.groupBy("og", "seq").agg(F.count(F.lit(1)).alias("copies"))
-    pairs = distances(records)
-    both = pairs.select("og", F.col("a").alias("seq"), F.col("b").alias("other"), "d").unionByName(pairs.select("og", F.col("b").alias("seq"), F.col("a").alias("other"), "d"))
-    own = counts.select("og", "seq", F.col("seq").alias("other"), F.lit(0).alias("d"))
-    weighted = both.unionByName(own).join(counts.withColumnRenamed("seq", "other"), ["og", "other"])
-    medians = weighted.groupBy("og", "seq").agg(F.percentile("d", F.lit(0.5), F.col("copies")).alias("median"))
-    return records.select("og", "id", "seq").join(medians, ["og", "seq"]).select("og", "id", "median")
+    texts = records.groupBy("og", "seq").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("rep"))
+    side = lambda own, other: F.struct(F.col(f"{own}.rep").alias("rep"), F.col("d"), F.col(f"{other}.copies").alias("copies"))
+    both = text_pairs(texts).select("og", F.explode(F.array(side("a", "b"), side("b", "a"))).alias("p")).select("og", "p.*")
+    own = texts.select("og", "rep", F.lit(0).alias("d"), "copies")
+    counts = both.unionByName(own).groupBy("og", "rep", "d").agg(F.sum("copies").alias("copies"))
+    medians = counts.groupBy("og", "rep").agg(F.percentile("d", F.lit(0.5), F.col("copies")).alias("median"))
+    return records.select("og", "id", "seq").join(texts.join(medians, ["og", "rep"]).select("og", "seq", "median"), ["og", "seq"]).select("og", "id", "median")
 
 
 def zscore_outliers(medians: DataFrame, threshold: float = 3.0) -> DataFrame:
@@ -90,16 +112,26 @@ def lof(neighbours: DataFrame, group: str = "label", cut: float = 1.5) -> DataFr
 
 
 def lof_neighbours(points: DataFrame, edges, group: str = "label") -> DataFrame:
-    """Nearest neighbours for lof: 20, or half of a group below 20 records (two at least). edges: a function (points, k) -> edge table with d2."""
-    sizes = points.groupBy(group).agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.when(F.col("n") >= 20, 20).otherwise(F.greatest(F.lit(2), F.floor(F.col("n") / 2))).cast("int"))
+    """Nearest neighbours for lof: 20, or half of a group below 20 records (two at least), and never more than the others there are.
+
+    edges: a function (points, k, group) -> edge table with d2.
+    """
+    rule = F.when(F.col("n") >= 20, 20).otherwise(F.greatest(F.lit(2), F.floor(F.col("n") / 2)))
+    sizes = points.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("k", F.least(rule, F.col("n") - 1).cast("int"))
     found = None
-    for k in sorted(r["k"] for r in sizes.select("k").distinct().collect()):  # at most 10 sizes: 2 to 9, and 20
+    for k in sorted(r["k"] for r in sizes.select("k").distinct().collect()):  # at most 11 sizes: 1 to 9, 19 and 20
         mine = points.join(sizes.where(F.col("k") == k).select(group), group, "left_semi")
         one = edges(mine, k, group).withColumn("d", F.sqrt("d2"))
         found = one if found is None else found.unionByName(one)
     return found
 
 
+def lof_of_scores(scored: DataFrame, score: str = "z", group: str = "og", cut: float = 1.5) -> DataFrame:
+    """group, id, lof and outlier of one-dimensional scores, scaled by each group's median and interquartile range."""
+    points = robust_scale(scored, score, group).select(group, "id", F.array("scaled").alias("vec"))
+    return lof(lof_neighbours(points, knn_edges, group), group, cut)
+
+
 def robust_scale(table: DataFrame, value: str, group: str) -> DataFrame:
     """(value - median) / interquartile range of its group; the range counts as one where it is zero."""
     stats = table.groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))

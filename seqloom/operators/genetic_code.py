@@ -29,6 +29,7 @@ def aligned_codons(records: DataFrame, alignments: DataFrame) -> DataFrame:
 def codon_consensus(pairs: DataFrame, least_share: float = 0.33, rare: float = 1e-4) -> DataFrame:
     """A row for each of the 64 codons with data enough: what it usually stands against, how often, and whether that is standard.
 
+    aa_frequency: how often it stands against its commonest amino acid; aa_count: how often it comes up; total_codons: all codons that do.
     Codons without data are "?" and "Uncertain", stop codons among them "STOP" and "Same". A share below least_share puts the amino acid in lower
     case. A codon with at most the `rare` share of all is left out, or is a standard stop if it is one. Ties go to the
     first amino acid in the alphabet. Codons with other letters than the four count for nothing.
@@ -53,9 +54,9 @@ def codon_consensus(pairs: DataFrame, least_share: float = 0.33, rare: float = 1
             F.when(stop, "STOP").otherwise(F.col("standard")).alias("standard_aa"),
             F.when(stop & ((total == 0) | few), "STOP").when(total == 0, "?").otherwise(letter).alias("predicted_aa"),
             F.when(stop & ((total == 0) | few), "Same").when(total == 0, "Uncertain").when(F.col("aa") != F.col("standard"), "Reassigned").otherwise("Same").alias("verdict"),
-            F.when(total > 0, share).otherwise(0.0).alias("aa_frequency"),
-            F.coalesce("n", F.lit(0)).alias("aa_count"),
-            total.alias("total_codons"),
+            F.when(stop & few, total).otherwise(F.coalesce("n", F.lit(0))).alias("aa_frequency"),
+            total.alias("aa_count"),
+            F.col("all_codons").alias("total_codons"),
         )
         .orderBy("standard_aa", "codon")
     )

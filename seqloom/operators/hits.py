@@ -7,9 +7,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import names, sequences
 
 
-def keep_hits(hits: DataFrame, evalue: float = 1e-10, identity: float = 0.0, most: int | None = None) -> DataFrame:
-    """Hits within the thresholds, and of those so many of each query with the best scores (ties by subject, then order)."""
+def with_cover(hits: DataFrame, queries: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Hits with the percentage of the query and of the subject that they cover. queries, subjects: id and length."""
+    q = queries.select(F.col("id").alias("qseqid"), F.col("length").alias("_qlen"))
+    s = subjects.select(F.col("id").alias("sseqid"), F.col("length").alias("_slen"))
+    share = lambda a, b, n: 100.0 * (F.abs(F.col(b) - F.col(a)) + 1) / F.col(n)
+    joined = hits.join(q, "qseqid").join(s, "sseqid")
+    return joined.withColumns({"query_cover": share("qstart", "qend", "_qlen"), "subject_cover": share("sstart", "send", "_slen")}).drop("_qlen", "_slen")
+
+
+def keep_hits(hits: DataFrame, evalue: float = 1e-10, identity: float = 0.0, most: int | None = None, subject_cover: float = 0.0, query_cover: float = 0.0) -> DataFrame:
+    """Hits within the thresholds, and of those so many of each query with the best scores (ties by subject, then order).
+
+    A threshold of coverage above zero needs the column of with_cover.
+    """
     kept = hits.where((F.col("evalue") <= evalue) & (F.col("pident") >= identity))
+    for name, least in (("subject_cover", subject_cover), ("query_cover", query_cover)):
+        if least > 0:
+            kept = kept.where(F.col(name) >= least)
     if most is None:
         return kept
     order = Window.partitionBy("qseqid").orderBy(F.desc("bitscore"), "sseqid", "ord")

@@ -33,8 +33,8 @@ def stop_rates(records: DataFrame, code: int = 1) -> DataFrame:
 
 
 def looks_like_transcripts(records: DataFrame, code: int = 1, least: float = 1.5) -> bool:
-    """Whether some stop codon's rate, rounded to three places, reaches the threshold, so records aren't coding sequences."""
-    return bool(stop_rates(records, code).agg(F.max(F.round("per_1k", 3) >= least)).first()[0])
+    """Whether some stop codon's rate, rounded to three places, reaches the threshold, so records aren't coding sequences; records without a codon don't."""
+    return stop_rates(records, code).agg(F.coalesce(F.max(F.round("per_1k", 3) >= least), F.lit(False))).first()[0]
 
 
 def codon_counts(records: DataFrame) -> DataFrame:

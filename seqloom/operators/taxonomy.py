@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.staging import staged
+
 #: Ranks that stay in a lineage.
 RANKS = ("superkingdom", "kingdom", "clade", "phylum", "class", "order", "family", "genus")
 #: The major group and clade of lineages that have none of the large groups.
@@ -33,8 +35,8 @@ def reduce_lineage(q: Column) -> Column:
         return F.struct(*((x if isinstance(x, Column) else F.lit(x)).alias(n) for n, x in zip(LEVELS, levels, strict=True)))
 
     unknown = row(*["Unknown"] * 4)
-    placed = F.create_map(*(F.lit(x) for k, v in PLACED.items() for x in (k, "\t".join(v))))
-    where = F.split(F.try_element_at(placed, at(1)), "\t")
+    placed = F.create_map(*(x for k, v in PLACED.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    where = F.try_element_at(placed, at(1))
     full = row(at(0), at(1), at(2), at(3))
     eukaryote = (
         F.when(F.array_contains(q, "Opisthokonta"), F.when(at(2) == "Metazoa", row(at(0), at(1), at(2), F.coalesce(at(5), last))).when(size > 3, full).otherwise(unknown))
@@ -59,16 +61,18 @@ def is_prokaryote(lineage: Column) -> Column:
 
 def lineages(nodes: DataFrame) -> DataFrame:
     """tax_id, name, lineage (names of the kept ranks, root first) of every node of nodes (tax_id, parent_id, rank, name); a root has no parent."""
-    spark = nodes.sparkSession
-    nodes.createOrReplaceTempView("_seqloom_tax_nodes")
-    closure = spark.sql("""
-        WITH RECURSIVE up(tax_id, at_id, depth) AS (
-          SELECT tax_id, tax_id, 0 FROM _seqloom_tax_nodes
-          UNION ALL
-          SELECT up.tax_id, n.parent_id, up.depth + 1 FROM up JOIN _seqloom_tax_nodes n ON n.tax_id = up.at_id WHERE n.parent_id IS NOT NULL
-        ) SELECT up.tax_id, up.depth, n.rank, n.name AS anc FROM up JOIN _seqloom_tax_nodes n ON n.tax_id = up.at_id""")
-    kept = closure.where(F.col("rank").isin(*RANKS)).groupBy("tax_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("d"), "anc"))).alias("l"))
-    return nodes.select("tax_id", "name").join(kept, "tax_id", "left").select("tax_id", "name", F.transform("l", lambda x: x["anc"]).alias("lineage"))
+    own = F.when(F.col("rank").isin(*RANKS), F.array("name")).otherwise(F.array().cast("array<string>"))
+    now = nodes.select("tax_id", "name", F.col("parent_id").alias("up"), own.alias("lineage"))
+    for r in range(64):  # the ways are joined end to end: as many rounds as the binary logarithm of the greatest depth
+        now = staged(now, "lineages")
+        if r > 12 and 2**r > now.count():
+            raise ValueError("a node is its own ancestor")
+        if now.where("up is not null").isEmpty():
+            return now.select("tax_id", "name", F.when(F.size("lineage") > 0, F.col("lineage")).alias("lineage"))
+        over = now.select(F.col("tax_id").alias("up"), F.col("up").alias("_up"), F.col("lineage").alias("_lineage"))
+        joined = now.where("up is not null").join(over, "up", "left")
+        joined = joined.select("tax_id", "name", F.col("_up").alias("up"), F.concat(F.coalesce("_lineage", F.array().cast("array<string>")), "lineage").alias("lineage"))
+        now = joined.unionByName(now.where("up is null"))
 
 
 def look_up(taxa: DataFrame, known: DataFrame) -> DataFrame:

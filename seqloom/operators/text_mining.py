@@ -121,13 +121,15 @@ def cluster_votes(members: DataFrame, threshold: float = 0.6, levels=("domain",
 def by_catch(members: DataFrame, query_taxon: str, threshold: float = 0.6, levels=("domain", "supergroup", "major", "minor")) -> DataFrame:
     """Rows (query, labels of the other member, other member) of clusters with both the query taxon and others.
 
-    A level of a row keeps its label only if some label of that level wins the cluster's vote among the others.
+    Only members of the supergroup that wins the cluster's vote among the others come up, so a cluster without one gives
+    no row. Major and minor keep their labels only if some label of that level wins its vote.
     """
     asked = F.contains("id", F.lit(query_taxon))
     queries = members.where(asked).select("cluster", F.col("id").alias("query_seq"))
     others = members.where(~asked).dropDuplicates(["cluster", "id"])
-    won = cluster_votes(others, threshold, levels).select("cluster", "level").distinct().groupBy("cluster").pivot("level", list(levels)).agg(F.count(F.lit(1)))
-    won = won.select("cluster", *(F.col(x).alias(f"_{x}") for x in levels))
-    blank = {"domain": "No-clear-domain", "supergroup": "No-clear-major-group", "major": "No-clear-major-clade", "minor": "No-clear-minor-clade"}
-    rows = others.join(queries, "cluster").join(won, "cluster", "left")
-    return rows.select("query_seq", *(F.when(F.col(f"_{x}").isNotNull(), F.col(x)).otherwise(F.lit(blank.get(x, "No-clear-label"))).alias(x) for x in levels), F.col("id").alias("cluster_seq"), F.split_part("id", F.lit("|"), F.lit(1)).alias("cluster_taxon"))
+    votes = cluster_votes(others, threshold, levels)
+    winners = votes.where("level = 'supergroup'").select("cluster", F.col("label").alias("supergroup"))
+    clear = votes.groupBy("cluster").agg(*(F.bool_or(F.col("level") == x).alias(f"_{x}") for x in ("major", "minor")))
+    rows = others.join(winners, ["cluster", "supergroup"]).join(queries, "cluster").join(clear, "cluster")
+    label = {x: F.when(F.col(f"_{x}"), F.col(x)).otherwise(f"No-clear-{x}-clade") for x in ("major", "minor")}
+    return rows.select("query_seq", *(label.get(x, F.col(x)).alias(x) for x in levels), F.col("id").alias("cluster_seq"), F.split_part("id", F.lit("|"), F.lit(1)).alias("cluster_taxon"))

@@ -11,6 +11,8 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.staging import staged
+
 NODE_TABLE = "tree_id string, node_id long, parent_id long, name string, dist double, is_leaf boolean, postorder long"
 #: Groups that a tree is rooted by, first match first.
 ROOT_GROUPS = ("Prok", "Opisthokonta", "Archaeplastida", "Amoebozoa", "Discoba", "Metamonada", "SAR", "Orphan")
@@ -217,15 +219,25 @@ def as_newick(nodes: DataFrame) -> DataFrame:
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
-    """tree_id, node_id, anc_id, depth, root_dist of each node and all nodes on its way to the root, itself included."""
-    nodes.createOrReplaceTempView("_seqloom_nodes")
-    return nodes.sparkSession.sql("""
-        WITH RECURSIVE up(tree_id, node_id, anc_id, depth, d) AS (
-          SELECT tree_id, node_id, node_id, 0, CAST(0 AS DOUBLE) FROM _seqloom_nodes
-          UNION ALL
-          SELECT up.tree_id, up.node_id, n.parent_id, up.depth + 1, up.d + n.dist
-          FROM up JOIN _seqloom_nodes n ON n.tree_id = up.tree_id AND n.node_id = up.anc_id WHERE n.parent_id IS NOT NULL
-        ) SELECT tree_id, node_id, anc_id, depth, d FROM up""")
+    """tree_id, node_id, anc_id, depth, d (the way's length) of each node and all nodes on its way to the root, itself included.
+
+    The ways are joined end to end, so a tree of depth n takes the binary logarithm of n rounds, whatever its depth.
+    """
+    step = F.struct(F.col("node_id").alias("anc_id"), F.lit(0.0).alias("d"))
+    now = nodes.select("tree_id", "node_id", F.col("parent_id").alias("up"), F.coalesce("dist", F.lit(0.0)).alias("reach"), F.array(step).alias("way"))
+    for r in range(64):
+        now = staged(now, "ways")
+        if now.where("up is not null").isEmpty():
+            break
+        if r > 12 and 2**r > now.count():
+            raise ValueError("a node is its own ancestor")
+        over = now.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("_up"), F.col("reach").alias("_reach"), F.col("way").alias("_way"))
+        joined = now.where("up is not null").join(over, ["tree_id", "up"], "left")
+        # A parent that the table doesn't have ends the way, as a missing name would.
+        longer = F.concat("way", F.coalesce(F.transform("_way", lambda x: F.struct(x["anc_id"].alias("anc_id"), (x["d"] + F.col("reach")).alias("d"))), F.array().cast("array<struct<anc_id:bigint,d:double>>")))
+        joined = joined.withColumn("way", longer).select("tree_id", "node_id", F.col("_up").alias("up"), (F.col("reach") + F.coalesce("_reach", F.lit(0.0))).alias("reach"), "way")
+        now = joined.unionByName(now.where("up is null"))
+    return now.select("tree_id", "node_id", F.posexplode("way").alias("depth", "at")).select("tree_id", "node_id", "at.anc_id", "depth", "at.d")
 
 
 def clade_sizes(nodes: DataFrame, closure: DataFrame, group: str = "supergroup") -> DataFrame:

@@ -281,6 +281,19 @@ def hit_thresholds(spark, sf_dir):
     return hits.keep_hits(rows, 0.04, 93.0, 3).select(F.col("qseqid").alias("q_doc"), "sseqid", "ord")
 
 
+@query(
+    sql("nt hits0 hits", "").rstrip() + ", c AS (SELECT q_doc, sseqid, hits.ord AS ord, 100.0::DOUBLE * (abs(qend - qstart) + 1) / length(seq) AS query_cover, 100.0::DOUBLE * hits.length / (60 + CAST(split_part(sseqid, '|', 2) AS BIGINT) % 40) AS subject_cover "
+    "FROM hits JOIN nt ON nt.doc_id = q_doc) SELECT q_doc, sseqid, ord, round(query_cover, 6) AS query_cover, round(subject_cover, 6) AS subject_cover FROM c WHERE subject_cover >= 60 AND query_cover >= 2"
+)
+def hit_cover(spark, sf_dir):
+    """Hits that cover enough of their query and of their subject."""
+    rows = substrate.hits(spark, sf_dir).withColumnRenamed("q_doc", "qseqid").withColumns({"sstart": F.lit(1), "send": F.col("length")})
+    queries = substrate.nt(spark, sf_dir).select(F.col("doc_id").alias("id"), F.length("seq").alias("length"))
+    subjects = rows.select(F.col("sseqid").alias("id")).distinct().withColumn("length", 60 + F.split_part("id", F.lit("|"), F.lit(2)).cast("long") % 40)
+    kept = hits.keep_hits(hits.with_cover(rows, queries, subjects), evalue=1.0, subject_cover=60, query_cover=2)
+    return rounded(kept.select(F.col("qseqid").alias("q_doc"), "sseqid", "ord", "query_cover", "subject_cover"), "query_cover", "subject_cover")
+
+
 # Joins and sets
 
 
@@ -356,12 +369,12 @@ _AAFULL = "array_to_string(list_transform(regexp_extract_all(seq, '...'), lambda
     "u AS (SELECT *, total > 0 AND total <= every * 1e-4 AS few FROM t) "
     "SELECT codon, CASE WHEN stop THEN 'STOP' ELSE standard END AS standard_aa, CASE WHEN stop AND (total = 0 OR few) THEN 'STOP' WHEN total = 0 THEN '?' WHEN n::DOUBLE / total < 0.33 THEN lower(aa) ELSE aa END AS predicted_aa, "
     "CASE WHEN stop AND (total = 0 OR few) THEN 'Same' WHEN total = 0 THEN 'Uncertain' WHEN aa <> standard THEN 'Reassigned' ELSE 'Same' END AS verdict, "
-    "CASE WHEN total > 0 THEN round(n::DOUBLE / total, 6) ELSE 0.0::DOUBLE END AS aa_frequency, n::BIGINT AS aa_count, total::BIGINT AS total_codons FROM u WHERE NOT few OR stop"
+    "CASE WHEN stop AND few THEN total ELSE n END::BIGINT AS aa_frequency, total::BIGINT AS aa_count, every::BIGINT AS total_codons FROM u WHERE NOT few OR stop"
 )
 def codon_consensus(spark, sf_dir):
     """What each codon stands against in alignments of all sequences."""
     rows, aligned = _alignments(spark, sf_dir)
-    return rounded(genetic_code.codon_consensus(genetic_code.aligned_codons(rows, aligned)), "aa_frequency")
+    return genetic_code.codon_consensus(genetic_code.aligned_codons(rows, aligned))
 
 
 # K-mers, neighbours, clusters
@@ -386,12 +399,37 @@ def kmer_tfidf(spark, sf_dir):
     return rounded(text_mining.tfidf(substrate.families(spark, sf_dir)), "weight")
 
 
-@query()
+_RUNS = (
+    "km AS (SELECT og, id, unnest(flatten(list_transform(range(1, 6), lambda n: list_transform(range(1, greatest(1, length(seq) - 2 - n)), "
+    "lambda i: array_to_string(list_transform(range(i, i + n), lambda j: substr(seq, CAST(j AS BIGINT), 5)), ' '))))) AS kmer FROM fam WHERE length(seq) >= 5)"
+)
+_TFIDF = (
+    "tf AS (SELECT og, id, kmer, count(*) AS tf FROM km GROUP BY og, id, kmer), n AS (SELECT og, count(DISTINCT id) AS n FROM fam GROUP BY og), "
+    "d AS (SELECT og, kmer, count(*) AS df FROM tf GROUP BY og, kmer HAVING count(*) >= 5), "
+    "raws AS (SELECT tf.og, id, tf.kmer, tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0::DOUBLE) AS raw FROM tf JOIN d ON d.og = tf.og AND d.kmer = tf.kmer JOIN n ON n.og = tf.og), "
+    "w AS (SELECT og, id, kmer AS term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY og, id)) AS weight FROM raws)"
+)
+
+
+@query(sql("fam", "").rstrip() + ", " + _RUNS + ", " + _TFIDF + " SELECT og, id, term, round(weight, 6) AS weight FROM w")
 def kmer_run_tfidf(spark, sf_dir):
-    """TF-IDF of the runs of one to five 5-mers of every family member; kmer_tfidf and its SQL have single 5-mers."""
+    """TF-IDF of the runs of one to five 5-mers of every family member; kmer_tfidf has single 5-mers."""
     return rounded(text_mining.tfidf(substrate.families(spark, sf_dir), longest=5), "weight")
 
 
+@query(
+    sql("fam", "").rstrip() + ", " + _RUNS + ", " + _TFIDF + ", dots AS (SELECT a.og, a.id, b.id AS other, sum(a.weight * b.weight) AS dot FROM w a JOIN w b ON a.og = b.og AND a.term = b.term AND a.id <> b.id GROUP BY a.og, a.id, b.id), "
+    "every AS (SELECT DISTINCT og, id, CASE WHEN (og, id) IN (SELECT og, id FROM w) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM fam), "
+    "pairs AS (SELECT a.og, a.id, b.id AS other, CASE WHEN dot IS NULL THEN a.length + b.length ELSE greatest(0.0::DOUBLE, 2.0::DOUBLE - 2.0::DOUBLE * dot) END AS d2 "
+    "FROM every a JOIN every b ON a.og = b.og AND a.id <> b.id LEFT JOIN dots ON dots.og = a.og AND dots.id = a.id AND dots.other = b.id), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY og, id ORDER BY round(d2, 9), other) AS place FROM pairs) SELECT og, id, other, place::INT AS place FROM r WHERE place <= 10"
+)
+def text_knn_edges(spark, sf_dir):
+    """The ten nearest members of each family member by the TF-IDF of its runs of 5-mers."""
+    rows = substrate.families(spark, sf_dir)
+    return text_mining.text_neighbours(text_mining.tfidf(rows, longest=5), rows).select("og", "id", "other", "place")
+
+
 _NEAR = (
     "p AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS vec FROM embeddings), big AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM p) WHERE n > {k}), "
     "d AS (SELECT a.label, a.id, b.id AS other, list_sum(list_transform(range(1, 65), lambda i: (a.vec[i] - b.vec[i]) * (a.vec[i] - b.vec[i]))) AS d2 FROM big a JOIN big b ON a.label = b.label AND a.id <> b.id), "
@@ -445,7 +483,12 @@ def cluster_vote(spark, sf_dir):
     return text_mining.cluster_votes(_members(spark, sf_dir))
 
 
-@query()
+@query(
+    "WITH " + _VOTE.split(", l AS")[0] + ", q AS (SELECT cluster, id AS query_seq FROM m WHERE contains(id::VARCHAR, '7')), o AS (SELECT * FROM m WHERE NOT contains(id::VARCHAR, '7')), l AS"
+    + _VOTE.split(", l AS")[1].replace("FROM m", "FROM o") + ", won AS (SELECT * FROM t WHERE votes > total * 0.6), c AS (SELECT cluster, bool_or(level = 'major') AS mj, bool_or(level = 'minor') AS mn FROM won GROUP BY cluster) "
+    "SELECT query_seq::VARCHAR AS query_seq, o.domain, o.supergroup, CASE WHEN mj THEN o.major ELSE 'No-clear-major-clade' END AS major, CASE WHEN mn THEN o.minor ELSE 'No-clear-minor-clade' END AS minor, o.id::VARCHAR AS cluster_seq, o.id::VARCHAR AS cluster_taxon "
+    "FROM o JOIN won g ON g.cluster = o.cluster AND g.level = 'supergroup' AND g.label = o.supergroup JOIN q ON q.cluster = o.cluster JOIN c ON c.cluster = o.cluster"
+)
 def cluster_by_catch(spark, sf_dir):
     """By-catch rows of clusters that hold members of a query taxon."""
     return text_mining.by_catch(_members(spark, sf_dir), "7")
@@ -613,12 +656,12 @@ def _tree(spark, sf_dir):
 
 
 @query(
-    sql("nodes up", "SELECT anc_id AS node_id, min(supergroup) AS supergroup, count(*)::BIGINT AS leaves, count(DISTINCT taxon)::BIGINT AS taxa FROM up JOIN nodes n ON n.node_id = up.node_id WHERE is_leaf AND depth > 0 GROUP BY anc_id HAVING count(DISTINCT supergroup) = 1")
+    sql("nodes up", "SELECT anc_id AS node_id, min('g' || (n.parent_id % 7)) AS supergroup, count(*)::BIGINT AS leaves, count(DISTINCT taxon)::BIGINT AS taxa FROM up JOIN nodes n ON n.node_id = up.node_id WHERE is_leaf AND depth > 0 GROUP BY anc_id HAVING count(DISTINCT n.parent_id % 7) = 1")
 )
 def clade_sizes(spark, sf_dir):
-    """Inner nodes whose leaves are of one group."""
+    """Inner nodes whose leaves are of one group, a group being several nations."""
     nodes, closure = _tree(spark, sf_dir)
-    return trees.clade_sizes(nodes, closure).drop("tree_id")
+    return trees.clade_sizes(nodes.withColumn("supergroup", F.concat(F.lit("g"), (F.col("parent_id") % 7).cast("string"))), closure).drop("tree_id")
 
 
 _SIS = (
@@ -651,6 +694,15 @@ def sister_unanimity(spark, sf_dir):
     return trees.unanimous(named, ["leaf"], ["supergroup", "sister_taxon"])
 
 
+@query(
+    sql("nodes up", "").rstrip() + ", " + _SIS + " SELECT leaf, count(DISTINCT sister_taxon)::INT AS n_sister_taxa, CASE WHEN count(DISTINCT sister_taxon) > 3 THEN 'More-than-3' ELSE string_agg(DISTINCT sister_taxon, ';' ORDER BY sister_taxon) END AS sister_taxa, "
+    "CASE WHEN count(DISTINCT sister_taxon) > 3 THEN 'Too-many-seqs' ELSE array_to_string(list_sort(list(DISTINCT sister)), ';') END AS sister_leaves FROM sis GROUP BY leaf"
+)
+def sister_lists(spark, sf_dir):
+    """The sisters of each leaf as text."""
+    return trees.sister_lists(_sisters(spark, sf_dir)[2], 3).drop("tree_id")
+
+
 @query(sql("nodes", "SELECT node_id, round(dist, 6) AS dist, round(quantile_cont(dist, 0.5) OVER (), 6) AS threshold, CASE WHEN dist <= quantile_cont(dist, 0.5) OVER () THEN 'short' ELSE 'long' END AS verdict FROM nodes WHERE is_leaf"))
 def branch_eval(spark, sf_dir):
     """Leaves against the median branch length."""

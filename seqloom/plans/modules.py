@@ -25,6 +25,8 @@ class AddTaxa:
     evalue: float = 1e-10
     min_identity: float = 0.0
     max_hits: int = 1
+    subject_cover: float = 60.0  # applied where hits have the column
+    query_cover: float = 0.0
     delim: str = "|"
     og_delim: str = "|"
     gen_code: int = 1
@@ -57,7 +59,7 @@ class FilterFamilies:
     min_prop: float = 0.33
     max_prop: float = 2.0
     centre: str = "median"
-    similarity: str | None = "zscore"  # zscore, bootstrap, iqr or None
+    similarity: str | None = "zscore"  # zscore, bootstrap, bootstrap_lof, iqr or None
     kmer: bool = False
     threshold: float = 3.0
     rounds: int = 100
@@ -76,8 +78,8 @@ def check(name: str, options) -> None:
         value = getattr(options, f.name)
         if f.type in ("int", "float") and isinstance(value, (int, float)) and not isinstance(value, bool) and value < 0:
             raise ValueError(f"{f.name} must not be negative")
-    if name == "add_taxa" and options.gen_code not in sequences.GENETIC_CODES:
-        raise ValueError(f"genetic code {options.gen_code} isn't known; known: {sorted(sequences.GENETIC_CODES)}")
+    if name == "add_taxa" and options.gen_code not in sequences.CODES:
+        raise ValueError(f"genetic code {options.gen_code} isn't known; known: {sorted(sequences.CODES)}")
     if name == "add_taxa" and options.kind not in ("guess", "transcripts", "orfs", "genbank"):
         raise ValueError(f"kind {options.kind} isn't known")
 
@@ -101,7 +103,8 @@ def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list
     if kind == "guess":
         kind = "transcripts" if statistics.looks_like_transcripts(data, code) else "orfs"
     label = F.lit(options.code) if options.code else None
-    kept_hits = hits.one_hit(hits.keep_hits(hit_table, options.evalue, options.min_identity, options.max_hits), options.best)
+    covers = [getattr(options, x) if x in hit_table.columns else 0.0 for x in ("subject_cover", "query_cover")]
+    kept_hits = hits.one_hit(hits.keep_hits(hit_table, options.evalue, options.min_identity, options.max_hits, *covers), options.best)
     if kind == "transcripts":
         named = records.renumber(records.keep_long(data, options.min_length), taxon)
         out["names"] = records.name_table(named)
@@ -161,14 +164,19 @@ def contam_by_kmers(queries: DataFrame, references: DataFrame, lineages: DataFra
     }
 
 
-def contam_by_trees(newick: DataFrame, lineages: DataFrame, options: Contam) -> dict[str, DataFrame]:
-    """By-catch in a taxon's leaves of gene trees, by their sisters: the rooted trees, a detail table and its summaries."""
-    check("contam", options)
+def contam_by_trees(newick: DataFrame, lineages: DataFrame, options: Contam, every: bool = False) -> dict[str, DataFrame]:
+    """By-catch in a taxon's leaves of gene trees, by their sisters: the rooted trees, a detail table and its summaries.
+
+    every: the leaves of all taxa instead.
+    """
+    if not every:
+        check("contam", options)
     nodes = trees.from_newick(newick, lineages)
     nodes = nodes.withColumn("taxon", F.when(F.col("is_leaf"), names.taxon_of(F.col("name"))))
     closure = trees.ancestors(nodes)
     leaves = nodes.where("is_leaf").withColumn("prefix", names.sequence_prefix(F.col("name")))
-    asked = leaves.where(F.contains("name", F.lit(taxon_name(options.taxon)))).select("tree_id", F.col("node_id").alias("leaf"), F.col("name").alias("sequence"), "taxon")
+    wanted = F.lit(True) if every else F.contains("name", F.lit(taxon_name(options.taxon)))
+    asked = leaves.where(wanted).select("tree_id", F.col("node_id").alias("leaf"), F.col("name").alias("sequence"), "taxon")
     rows = trees.sisters(leaves, closure).join(asked.select("tree_id", "leaf"), ["tree_id", "leaf"], "left_semi")
     levels = list(taxonomy.LEVELS)
     named = rows.join(F.broadcast(lineages.withColumnRenamed("taxon", "sister_taxon")), "sister_taxon", "left")
@@ -209,29 +217,31 @@ def filter_families(data: DataFrame, options: FilterFamilies, taxa: DataFrame |
         medians = families.row_medians(sized)
         if options.similarity == "iqr":
             scored = families.iqr_outliers(medians, options.threshold)
-        elif options.similarity == "bootstrap":
+        elif options.similarity in ("bootstrap", "bootstrap_lof"):
             scored = families.bootstrap_outliers(medians, options.threshold, options.sample, options.rounds)
+            if options.similarity == "bootstrap_lof":
+                scored = families.lof_of_scores(scored)
         else:
             scored = families.zscore_outliers(medians, options.threshold)
         first = scored.where("outlier").select("og", "id")
     if options.kmer:
-        near = text_mining.text_neighbours(text_mining.tfidf(sized, longest=4), sized, 20).withColumn("d", F.sqrt("d2"))
+        near = families.lof_neighbours(sized, lambda rows, k, _: text_mining.text_neighbours(text_mining.tfidf(rows, longest=4), rows, k), "og")
         second = families.lof(near, "og").where("outlier").select("og", "id")
     out = {"kept": families.combine_filters(sized, first, second), "sized": sized}
     return out | ({"by_similarity": first} if first is not None else {}) | ({"by_kmers": second} if second is not None else {})
 
 
 def select_orthologs(newick: DataFrame, lineages: DataFrame, options: Contam) -> dict[str, DataFrame]:
-    """One sequence of the taxon for each tree: that whose sisters share most of its own taxonomy; and the table it is chosen from."""
-    found = contam_by_trees(newick, lineages, options)
+    """One sequence of each taxon of each tree: that whose sisters share most of its own taxonomy; and the table it is chosen from."""
+    found = contam_by_trees(newick, lineages, options, every=True)
     nodes, detail = found["trees"], found["detail"]
     own = F.broadcast(lineages.select("taxon", *(F.col(x).alias(f"own_{x}") for x in ("domain", "supergroup", "major"))))
     far = trees.ancestors(nodes).groupBy("tree_id", F.col("node_id").alias("leaf")).agg(F.max_by("d", "depth").alias("root_dist"))
     same = sum((F.coalesce((F.col(x) == F.col(f"own_{x}")).cast("int"), F.lit(0)) for x in ("domain", "supergroup", "major")), F.lit(0))
     table = detail.join(own, "taxon", "left").join(far, ["tree_id", "leaf"]).withColumn("same", same).withColumn("n_sister_taxa", F.coalesce("n_sister_taxa", F.lit(0)))
     yes = {f"same_{x}": F.when(F.coalesce(F.col(x) == F.col(f"own_{x}"), F.lit(False)), "same").otherwise("diff") for x in ("domain", "supergroup", "major")}
-    picked = trees.pick_orthologs(table.withColumn("id", F.col("sequence")), ["tree_id"])
+    picked = trees.pick_orthologs(table.withColumn("id", F.col("sequence")), ["tree_id", "taxon"])
     return {
         "detail": table.withColumns(yes).select("tree_id", "sequence", "n_sister_taxa", "branch_length", *yes, "sister_taxa"),
-        "selected": picked.select("tree_id", "sequence", "sister_taxa"),
+        "selected": picked.select("tree_id", "taxon", "sequence", "sister_taxa"),
     }

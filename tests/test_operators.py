@@ -59,7 +59,7 @@ def test_codon_verdicts(spark):
     assert (got["TAA"]["predicted_aa"], got["TAA"]["verdict"], got["TAA"]["standard_aa"]) == ("Q", "Reassigned", "STOP")
     assert (got["TAG"]["predicted_aa"], got["TAG"]["verdict"]) == ("STOP", "Same")
     assert (got["GGG"]["predicted_aa"], got["GGG"]["verdict"]) == ("?", "Uncertain")
-    assert (got["AAA"]["predicted_aa"], got["AAA"]["verdict"], round(got["AAA"]["aa_frequency"], 2)) == ("k", "Same", 0.3)
+    assert (got["AAA"]["predicted_aa"], got["AAA"]["verdict"], got["AAA"]["aa_frequency"], got["AAA"]["aa_count"]) == ("k", "Same", 3, 10)
     assert got["CTG"]["predicted_aa"] == "L"
     assert len(got) == 64
 
@@ -360,3 +360,42 @@ def test_observed_enc_is_low_for_one_codon_each_and_high_for_even_use(spark):
     frame = spark.createDataFrame([("biased", biased), ("even", even)], "id string, seq string")
     got = {r["id"]: r["enc"] for r in statistics.observed_enc(frame).collect()}
     assert got["even"] > 55 and got["biased"] < got["even"] - 20
+
+
+def test_deep_trees_and_lineages_have_no_limit(spark):
+    chain = [("t", k, k - 1 if k else None, 1.0) for k in range(300)]
+    closure = trees.ancestors(spark.createDataFrame(chain, "tree_id string, node_id long, parent_id long, dist double"))
+    assert closure.count() == 300 * 301 // 2
+    assert sorted(closure.where("node_id = 299 and depth in (0, 1, 299)").select("anc_id", "depth", "d").collect()) == [(0, 299, 299.0), (298, 1, 1.0), (299, 0, 0.0)]
+    nodes = spark.createDataFrame([(k, k - 1 if k else None, "clade" if k % 2 else "no rank", f"n{k}") for k in range(250)], "tax_id long, parent_id long, rank string, name string")
+    (row,) = taxonomy.lineages(nodes).where("tax_id = 249").collect()
+    assert row["lineage"] == [f"n{k}" for k in range(1, 250, 2)]
+
+
+def test_by_catch_needs_a_winning_supergroup_and_takes_its_members(spark):
+    even = [("a", f"q|1", "E", "S0", "M", "N")] + [("a", f"x|{k}", "E", f"S{k % 2}", "M", f"N{k}") for k in range(10)]
+    won = [("b", f"q|2", "E", "S0", "M", "N")] + [("b", f"y|{k}", "E", f"S{int(k > 7)}", "M", f"N{k}") for k in range(10)]
+    members = spark.createDataFrame(even + won, "cluster string, id string, domain string, supergroup string, major string, minor string")
+    got = text_mining.by_catch(members, "q|").collect()
+    assert len(got) == 8 and {(r["query_seq"], r["supergroup"], r["major"], r["minor"], r["cluster_taxon"]) for r in got} == {("q|2", "S0", "M", "No-clear-minor-clade", "y")}
+
+
+def test_family_pairs_in_blocks_are_all_pairs(spark, monkeypatch):
+    rows = [(f"g{k % 2}", k, "".join("ACDE"[(k * 7 + j * k) % 4] for j in range(3 + k % 5))) for k in range(60)]
+    frame = spark.createDataFrame(rows, "og string, id long, seq string")
+    one = (sorted(families.distances(frame).collect()), sorted(families.row_medians(frame).collect()))
+    monkeypatch.setattr(families, "BLOCK", 4)
+    assert one == (sorted(families.distances(frame).collect()), sorted(families.row_medians(frame).collect()))
+
+
+def test_genetic_codes_that_are_told_by_their_changes():
+    from seqloom.functions import sequences
+
+    assert len(sequences.CODES) == 26 and all(len(sequences.code_table(c)) == 64 for c in sequences.CODES)
+    assert sequences.code_table(2)["AGA"] == "*" and sequences.code_table(2)["TGA"] == "W" and sequences.code_table(33)["AGG"] == "K"
+
+
+def test_outliers_of_scores_by_local_density(spark):
+    rows = [("a", k, 1.0 + 0.01 * k) for k in range(30)] + [("a", 99, 50.0)] + [("b", k, float(k)) for k in range(4)]
+    got = families.lof_of_scores(spark.createDataFrame(rows, "og string, id long, z double"))
+    assert {(r["og"], r["id"]) for r in got.where("outlier").collect()} == {("a", 99)} and got.count() == 35
