@@ -148,8 +148,10 @@ def test_contam_by_trees_and_orthologs(spark, lineages):
     assert detail["Tax|a|1|OG1"]["domain"] == "Bacteria" and detail["Tax|a|1|OG1"]["sister_taxa"] == "Bac" and detail["Tax|f|1|OG1"]["supergroup"] == "Opisthokonta"
     assert detail["Tax|a|1|OG1"]["verdict"] == "short" and [r["frequency"] for r in out["single_sisters"].collect()] == [1, 1]
     picked = modules.select_orthologs(text, lineages, modules.Contam(taxon="Tax"))
-    assert [r["sequence"] for r in picked["selected"].collect()] == ["Tax|f|1|OG1"]
-    assert {r["sequence"]: r["same_domain"] for r in picked["detail"].collect()} == {"Tax|a|1|OG1": "diff", "Tax|f|1|OG1": "same"}
+    # c and d have only each other beside them, so b has most sister taxa; e and g tie but for their names.
+    assert {r["taxon"]: r["sequence"] for r in picked["selected"].collect()} == {"Tax": "Tax|f|1|OG1", "Bac": "Bac|b|1|OG1", "Euk": "Euk|e|1|OG1", "Dis": "Dis|h|1|OG1"}
+    same = {r["sequence"] for r in picked["detail"].collect() if r["same_domain"] == "same"}
+    assert same == {"Tax|f|1|OG1", "Euk|e|1|OG1", "Euk|g|1|OG1", "Dis|h|1|OG1"} and picked["detail"].count() == 8
 
 
 def test_family_filters(spark):
