@@ -51,12 +51,18 @@ def id_bucket(col: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % n
 
 
-def bounded_sample(rows: DataFrame, texts: DataFrame, key: str, by: str, per_class: int) -> list[tuple]:
+#: Code points of a sample's texts for each value at most, and of a single one of them.
+SAMPLE_CHARS, TEXT_CHARS = 48_000_000, 3_000_000
+
+
+def bounded_sample(rows: DataFrame, texts: DataFrame, key: str, by: str, per_class: int, of_value: bool = False) -> list[tuple]:
     """(by, key, text) of per_class rows for each value of by at most: those whose hashed key is least, so the same at any partitioning.
 
     Rows without a key or a value don't count, repeated ones count once. Hashes are first counted in 2^CELL_BITS ranges for each
     value of by, which tells the range that holds the last one wanted; only rows up to it are ranked, so no task gets
-    all rows of a value. The texts of the chosen ones alone reach the driver.
+    all rows of a value. A key that comes with several texts gives one of them, that of least hash; of_value: only texts
+    that come with the key and the value count, so texts has both columns. The texts of the chosen keys alone reach the
+    driver, while their lengths add up to SAMPLE_CHARS for each value; one longer than TEXT_CHARS isn't learnt from.
     """
     from pyspark.sql import Window
 
@@ -75,5 +81,9 @@ def bounded_sample(rows: DataFrame, texts: DataFrame, key: str, by: str, per_cla
     chosen = keyed.where(near).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class).select("k", "y").collect()
     spark = rows.sparkSession
     small = spark.createDataFrame([tuple(x) for x in chosen], schema=keyed.select("k", "y").schema)
-    found = texts.select(F.col(key).alias("k"), "text").where("text is not null").join(F.broadcast(small), "k")
-    return sorted((r["y"], r["k"], r["text"]) for r in found.select("y", "k", "text").collect())
+    own = texts.where(F.length("text") <= TEXT_CHARS).select(F.col(key).alias("k"), "text", *([F.col(by).alias("y")] if of_value else []))
+    found = own.join(F.broadcast(small), ["k", "y"] if of_value else "k")
+    one = found.groupBy("y", "k").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    # per_class rows of a value at most come this far.
+    size = F.sum(F.length("text")).over(Window.partitionBy("y").orderBy(F.xxhash64("k"), "k"))
+    return sorted((r["y"], r["k"], r["text"]) for r in one.withColumn("size", size).where(F.col("size") <= SAMPLE_CHARS).select("y", "k", "text").collect())

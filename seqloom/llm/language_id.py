@@ -93,6 +93,22 @@ class PieceModel:
             total += np.log(here)
         return total
 
+    def expect_long(self, word: str, table: np.ndarray, weight: float, expected: np.ndarray) -> None:
+        """Adds how often each piece is expected in a word of any length, by sums of logarithms from both of its ends."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(table)
+        get, n = self.index.get, len(word)
+        rows = [np.array([get(word[j - size : j], 1 if size == 1 else 0) for size in range(1, min(j, self.most) + 1)]) for j in range(n + 1)]
+        alpha, beta = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        alpha[0] = beta[n] = 0
+        for j in range(1, n + 1):
+            alpha[j] = np.logaddexp.reduce(alpha[j - len(rows[j]) : j][::-1] + logs[rows[j]])
+        for j in range(n, 0, -1):
+            span = slice(j - len(rows[j]), j)
+            through = logs[rows[j]][::-1] + beta[j]
+            beta[span] = np.logaddexp(beta[span], through)
+            np.add.at(expected, rows[j][::-1], weight * np.exp(alpha[span] + through - alpha[n]))
+
     def learn_words(self, words: list[str]) -> None:
         """Puts the log-probabilities of new words into the cache."""
         if len(self.cache) + len(words) > CACHED_WORDS:
@@ -152,10 +168,11 @@ def train(samples: dict[str, list[str]], pieces: list[str], rounds: int = 3, smo
     model = PieceModel(pieces, langs)
     probs = np.zeros((len(pieces), len(langs)))
     for c, lang in enumerate(langs):
-        counts = Counter(w for text in samples[lang] for w in words_of(text) if len(w) < LONG)
+        counts = Counter(w for text in samples[lang] for w in words_of(text))
         groups = defaultdict(list)
         for w in counts:
             groups[len(w) + 1].append(w)
+        long = [w for n in list(groups) if n > LONG for w in groups.pop(n)]
         lattices = []
         for n, words in groups.items():
             ids, spans = model.lattice(["▁" + w for w in words], n)
@@ -173,6 +190,8 @@ def train(samples: dict[str, list[str]], pieces: list[str], rounds: int = 3, smo
                 for k, (i, j) in enumerate(spans):
                     share = weight * alpha[i] * table[ids[:, k], 0] * beta[j] / np.maximum(alpha[n], 1e-300)
                     expected += np.bincount(ids[:, k], share, len(expected))
+            for w in long:
+                model.expect_long("▁" + w, table[:, 0], counts[w], expected)
             here = (expected[1:] + smooth)[:, None]
             here /= here.sum()
         probs[:, c] = here[:, 0]
@@ -184,7 +203,7 @@ def fit(labelled: DataFrame, vocabulary: str | None = None, per_lang: int = 300)
     """Learns from at most per_lang texts of each language in labelled (doc_id, text, lang)."""
     pieces = read_pieces(vocabulary or default_vocabulary())
     texts = defaultdict(list)
-    for lang, _, text in bounded_sample(labelled.where("text is not null"), labelled, "doc_id", "lang", per_lang):
+    for lang, _, text in bounded_sample(labelled.where("text is not null"), labelled, "doc_id", "lang", per_lang, of_value=True):
         texts[lang].append(text)
     return train(texts, pieces)
 
