@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import names, sequences
 from ..operators import collapse, families, genetic_code, hits, records, reports, statistics, taxonomy, text_mining, trees
+from ..sources import staging, text_formats
 from . import substrate
 from .substrate import sql
 
@@ -117,6 +118,23 @@ def complete_cds_filter(spark, sf_dir):
     )
 
 
+_FASTA_LINE = 70
+
+
+@query(
+    sql("nt", "SELECT doc_id, doc_id || ' cds [location=<1..>' || length(coalesce(seq, '')) || '] a->b' AS description, length(coalesce(seq, ''))::BIGINT AS length, md5(coalesce(seq, '')) AS seq_md5 FROM nt")
+)
+def fasta_round_trip(spark, sf_dir):
+    """Sequences written as FASTA with marks inside their headers and lines of both kinds, and read again."""
+    rows = substrate.nt(spark, sf_dir).withColumn("seq", F.coalesce("seq", F.lit("")))
+    end = F.when(F.col("doc_id") % 2 == 0, F.lit("\r\n")).otherwise(F.lit("\n"))
+    header = F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" cds [location=<1..>"), F.length("seq").cast("string"), F.lit("] a->b"))
+    path = staging.scratch(spark, "fasta")
+    rows.select(F.concat(header, end, F.regexp_replace("seq", F.lit("(.{%d})" % _FASTA_LINE), F.concat(F.lit("$1"), end))).alias("value")).write.text(path)
+    back = text_formats.read_fasta(spark, path)
+    return back.select(F.col("id").cast("long").alias("doc_id"), "description", F.length("seq").cast("long").alias("length"), F.md5("seq").alias("seq_md5"))
+
+
 def _headers(spark, sf_dir):
     docs = substrate.table(spark, sf_dir, "documents")
     locus = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("[locus_tag=L"), (F.col("doc_id") % 97).cast("string"), F.lit("] "))).otherwise("")

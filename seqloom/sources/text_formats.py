@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import names, sequences
 
@@ -10,25 +12,56 @@ from ..functions import names, sequences
 HIT_COLUMNS = "qseqid string, sseqid string, length int, pident double, qstart int, qend int, sstart int, send int, evalue double, bitscore double, qframe int"
 
 
+def file_position(start: Column, task_row: Column) -> Column:
+    """A number that grows from record to record of a file, however it was split: where the record's split starts plus the row's number in its task.
+
+    Splits of a file start a whole split size apart, the last one's length aside, and a task holds no more bytes than that
+    unless its one file can't be split, so no task has so many rows that it reaches the next split's numbers.
+    """
+    return start + task_row.bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def _with_order(df: DataFrame) -> DataFrame:
-    """Order within a file: reading keeps the order of a file's splits and of the rows in them."""
-    return df.withColumn("ord", F.monotonically_increasing_id())
+    """Rows just read from files, with ord, which grows along each file."""
+    return df.withColumn("ord", file_position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+
+
+def records_at(lines, marker: str, path: str) -> DataFrame:
+    """source_file, _start (of the split), value: what stands between markers at the start of a line, marks left out.
+
+    lines: a reader, of a batch or of a stream. Splits of large files are cut at the same places, so files are read in parallel.
+    """
+    raw = lines.option("lineSep", "\n" + marker).text(path)
+    text = F.regexp_replace("value", r"^\s*" + re.escape(marker), "")  # the first one of a file has no line before it
+    first = F.col("_metadata.file_block_start")
+    rows = raw.select(F.col("_metadata.file_path").alias("source_file"), first.alias("_start"), text.alias("value"))
+    return rows.where((F.length(F.trim("value")) > 0) & ~((F.col("_start") == 0) & F.col("value").rlike("^\\s*[;#]")))
+
+
+def fasta_fields(rows: DataFrame, *more: Column | str) -> DataFrame:
+    """source_file, id (the first word of the header), description and seq (its lines joined) of rows with a value."""
+    header = F.trim(F.regexp_extract("value", r"^([^\r\n]*)", 1))
+    seq = F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", "")
+    return rows.select("source_file", *more, F.split(header, r"\s+")[0].alias("id"), header.alias("description"), seq.alias("seq"))
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """source_file, ord, id (the first word of the header), description, seq (its lines joined)."""
-    raw = spark.read.option("lineSep", ">").text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value"))
-    rows = _with_order(raw).where(F.length(F.trim("value")) > 0)
-    header = F.regexp_extract("value", r"^([^\r\n]*)", 1)
-    return rows.select(
-        "source_file", "ord", F.split(F.trim(header), r"\s+")[0].alias("id"), F.trim(header).alias("description"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "").alias("seq")
-    )
+    """source_file, ord, id (the first word of the header), description, seq (its lines joined).
+
+    A record begins at a > that starts a line, so headers may hold more of them; lines may end with CR and LF. ord grows from
+    record to record of a file. Records without letters are kept, with an empty seq. Comments (; or #) before the first
+    record are left out. Files of any size are read in splits, but for compressed ones that can't be split.
+    """
+    rows = records_at(spark.read, ">", path).withColumn("ord", file_position(F.col("_start"), F.monotonically_increasing_id()))
+    return fasta_fields(rows, "ord")
 
 
 def read_genbank_cds(spark: SparkSession, path: str) -> DataFrame:
-    """source_file, ord, header, locus, protein, seq (what follows the last tag) of a file of coding sequences with tags."""
-    raw = spark.read.option("lineSep", ">lcl|").text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value"))
-    rows = _with_order(raw).where(F.length(F.trim("value")) > 0)
+    """source_file, ord, header, locus, protein, seq (what follows the last tag) of a file of coding sequences with tags.
+
+    Records begin at >lcl| at the start of a line; tags may hold any > and may run over several lines.
+    """
+    rows = records_at(spark.read, ">lcl|", path).withColumn("ord", file_position(F.col("_start"), F.monotonically_increasing_id()))
     header = F.regexp_extract("value", r"(?s)^(.*\])", 1)
     return rows.select(
         "source_file", "ord", header.alias("header"), names.locus_of(header).alias("locus"), names.tag(header, "protein_id").alias("protein"),
@@ -102,12 +135,3 @@ def read_taxonomy(spark: SparkSession, nodes_path: str, names_path: str) -> Data
     nodes = spark.read.text(nodes_path).select(cut()[0].cast("long").alias("tax_id"), cut()[1].cast("long").alias("parent_id"), cut()[2].alias("rank"))
     named = spark.read.text(names_path).where(F.trim(cut()[3]) == "scientific name").select(cut()[0].cast("long").alias("tax_id"), cut()[1].alias("name"))
     return nodes.join(named, "tax_id").select("tax_id", F.when(F.col("parent_id") != F.col("tax_id"), F.col("parent_id")).alias("parent_id"), "rank", "name")
-
-
-def file_order(records: DataFrame) -> DataFrame:
-    """ord as 1, 2, ... within each file."""
-    return records.withColumn("ord", F.row_number().over(Window.partitionBy("source_file").orderBy("ord")))
-
-
-def translated_records(records: DataFrame, code: int = 1) -> DataFrame:
-    return records.withColumn("seq", sequences.translated(F.col("seq"), code))

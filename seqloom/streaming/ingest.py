@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import names
+from ..sources.text_formats import fasta_fields, records_at
 
 
 def new_records(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """source_file, id, taxon, og, seq of the records of files as they arrive; append-only, without state."""
-    raw = spark.readStream.option("lineSep", ">").option("maxFilesPerTrigger", files_per_batch).text(folder).select(F.col("_metadata.file_path").alias("source_file"), "value")
-    rows = raw.where(F.length(F.trim("value")) > 0)
-    name = F.split(F.trim(F.regexp_extract("value", r"^([^\r\n]*)", 1)), r"\s+")[0]
-    seq = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")
-    return rows.select("source_file", name.alias("id"), names.taxon_of(name).alias("taxon"), names.og_of(name).alias("og"), seq.alias("seq"))
+    rows = fasta_fields(records_at(spark.readStream.option("maxFilesPerTrigger", files_per_batch), ">", folder))
+    return rows.select("source_file", "id", names.taxon_of(F.col("id")).alias("taxon"), names.og_of(F.col("id")).alias("og"), "seq")
 
 
 def append_to(records: DataFrame, table_path: str, checkpoint: str, once: bool = True) -> StreamingQuery:

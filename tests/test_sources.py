@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ def put(path, text):
 
 def test_fasta(spark, tmp_path):
     path = put(tmp_path / "OG1.x.fa", ">a|1 first one\nACG\nTT\n>b|2\nGG\n\n>c\n")
-    rows = tf.file_order(tf.read_fasta(spark, path)).orderBy("ord").collect()
-    assert [(r["ord"], r["id"], r["description"], r["seq"]) for r in rows] == [(1, "a|1", "a|1 first one", "ACGTT"), (2, "b|2", "b|2", "GG"), (3, "c", "c", "")]
+    rows = tf.read_fasta(spark, path).orderBy("ord").collect()
+    assert [(r["id"], r["description"], r["seq"]) for r in rows] == [("a|1", "a|1 first one", "ACGTT"), ("b|2", "b|2", "GG"), ("c", "c", "")]
     assert {r["og"] for r in tf.read_family_files(spark, path).collect()} == {"OG1"}
     out = str(tmp_path / "out")
     sinks.write_fasta(tf.read_fasta(spark, path).where("seq != ''"), out)
@@ -30,10 +31,59 @@ def test_fasta(spark, tmp_path):
     sinks.write_fasta(tf.read_fasta(spark, path), out, mode="ignore")
 
 
+def plain_fasta(text):
+    """(header, sequence) of each record, line by line."""
+    found = []
+    for line in text.replace("\r\n", "\n").split("\n"):
+        if line.startswith(">"):
+            found.append([line[1:].strip(), ""])
+        elif found:
+            found[-1][1] += "".join(line.split())
+    return [tuple(x) for x in found]
+
+
+@pytest.fixture
+def odd_files(tmp_path):
+    """Files whose headers hold the mark, of LF and CRLF lines, with records of none to many letters."""
+    rng = random.Random(5)
+    files = {}
+    for name in ("a", "b", "c"):
+        nl = "\r\n" if name == "b" else "\n"
+        records = []
+        for k in range(300):
+            head = f"{name}{k} " + rng.choice(["cds [location=<1..>200]", "s2 a->b", "x>y>", "plain", ">"])
+            size = rng.choice([0, 1, 5, 60, 400])
+            seq = "".join(rng.choice("ACGT") for _ in range(size))
+            records.append(f">{head}{nl}" + "".join(seq[i : i + 50] + nl for i in range(0, size, 50)) + rng.choice(["", nl]))
+        files[name] = ("" if name != "c" else "; a comment\n\n") + "".join(records)
+        (tmp_path / f"{name}.fa").write_bytes(files[name].encode())
+    return str(tmp_path), files
+
+
+@pytest.mark.parametrize("split", [37, 64, 100, 1001, 4096, 10**8])
+def test_fasta_equals_a_plain_parser_however_it_is_split(spark, odd_files, split):
+    folder, files = odd_files
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        rows = tf.read_fasta(spark, folder).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name, text in files.items():
+        mine = sorted((r for r in rows if r["source_file"].endswith(f"/{name}.fa")), key=lambda r: r["ord"])
+        assert len({r["ord"] for r in mine}) == len(mine)
+        assert [(r["description"], r["seq"]) for r in mine] == plain_fasta(text)
+
+
 def test_genbank(spark, tmp_path):
     path = put(tmp_path / "g.fna", ">lcl|x [locus_tag=L1] [protein_id=P1]\nATG\nTAA\n>lcl|y [gene=g] [note=a]\nATGC\n")
     rows = tf.read_genbank_cds(spark, path).orderBy("ord").collect()
     assert [(r["locus"], r["protein"], r["seq"]) for r in rows] == [("L1", "P1", "ATGTAA"), ("g", None, "ATGC")]
+    path = put(tmp_path / "p.fna", ">lcl|x [locus_tag=L1] [note=see >lcl|y] [location=<1..>200]\r\nATG\r\nTAA\r\n>lcl|z [gene=g]\r\nATGC\r\n")
+    rows = tf.read_genbank_cds(spark, path).orderBy("ord").collect()
+    assert [(r["locus"], r["seq"]) for r in rows] == [("L1", "ATGTAA"), ("g", "ATGC")]
 
 
 def test_hits_and_profiles(spark, tmp_path):
