@@ -10,7 +10,7 @@ def test_query_equals_its_sql(spark, data, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.sql(f"create view {t} as select * from '{data}/{t}.parquet'")
     found, frame = con.sql(ORACLES[name]), QUERIES[name](spark, data)
     assert sorted(found.columns) == sorted(frame.columns)
