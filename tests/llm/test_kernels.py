@@ -343,6 +343,20 @@ def test_nine_of_ten_linked_pairs_share_a_sketch(n, kinds):
         assert met >= 0.9 * linked and linked >= 20 * (share * n >= 1)
 
 
+@pytest.mark.parametrize("n", [60, 100, 160, 300, 700, 1000])
+def test_recall_with_evenly_spaced_edits(n):
+    """Every fifth word replaced, which leaves the fewest k-mers of two words that a link can have."""
+    rng, sketch, met = random.Random(n), Sketcher().sketch, 0
+    for _ in range(200):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        b = list(a)
+        for at in range(rng.randrange(5), n - n % 5, 5):
+            b[at] = f"x{rng.randrange(10**9)}"
+        assert similar(" ".join(a), " ".join(b))
+        met += not set(sketch(" ".join(a))).isdisjoint(sketch(" ".join(b)))
+    assert met >= 0.9 * 200
+
+
 def test_archives_are_read_in_chunks_with_running_digests():
     body = bytes(range(256)) * 5000
     out = io.BytesIO()
