@@ -18,8 +18,9 @@ def sequence_of(text, target: str):
     return F.translate(F.regexp_replace(F.lower(text), "[^a-z]", ""), LETTERS, target)
 
 
-def _records(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+def records_of(docs: DataFrame, target: str) -> DataFrame:
+    """Sequence records of rows of documents, the letters of their texts put into another alphabet."""
+    docs = docs.select("doc_id", "text", "lang", "source")
     og = F.concat(F.lit("OG_"), (F.col("doc_id") % FAMILIES).cast("string"))
     return docs.select(
         "doc_id", F.col("doc_id").alias("ord"), F.concat_ws("|", "lang", "source", F.col("doc_id").cast("string"), og).alias("id"),
@@ -29,12 +30,12 @@ def _records(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
 
 def nt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nucleotide records: doc_id, ord, id (lang|source|doc_id|OG_n), taxon, og, seq."""
-    return _records(spark, sf_dir, NT_TARGET)
+    return records_of(table(spark, sf_dir, "documents"), NT_TARGET)
 
 
 def aa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peptide records with the same columns."""
-    return _records(spark, sf_dir, AA_TARGET)
+    return records_of(table(spark, sf_dir, "documents"), AA_TARGET)
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:

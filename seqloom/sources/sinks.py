@@ -10,9 +10,10 @@ def write_fasta(records: DataFrame, path: str, name: str = "id", mode: str = "er
     records.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("seq")).alias("value")).write.mode(mode).text(path)
 
 
-def write_family_files(records: DataFrame, path: str, name: str = "id", mode: str = "errorifexists") -> None:
-    """FASTA text in one folder for each family (og)."""
-    records.select("og", F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("seq")).alias("value")).write.mode(mode).partitionBy("og").text(path)
+def write_family_files(records: DataFrame, path: str, name: str = "id", mode: str = "errorifexists", families_only: bool = False) -> None:
+    """FASTA text in one folder for each family (og). families_only: overwriting leaves families alone that records don't have."""
+    rows = records.select("og", F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("seq")).alias("value")).hint("rebalance", "og")
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic" if families_only else "static").partitionBy("og").text(path)
 
 
 def write_table(table: DataFrame, path: str, mode: str = "errorifexists") -> None:

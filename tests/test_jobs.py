@@ -1,0 +1,130 @@
+"""The jobs: by their SQL, over growing input, after a failure, and from the command line."""
+
+import json
+import logging
+import os
+import shutil
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from jobs import codon_watch, common, family_release
+from jobs.queries import ORACLES, QUERIES
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, batch string, taxon string"
+
+
+def rows_of(frame):
+    return sorted((tuple(r) for r in frame.select(*sorted(frame.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_job_equals_its_sql(spark, data, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{data}/documents.parquet'")
+    settings = lambda: {r["key"]: r["value"] for r in spark.sql("SET").collect() if r["key"] != "spark.seqloom.scratch"}
+    before = settings()
+    frame, found = QUERIES[name](spark, data), con.sql(ORACLES[name])
+    order = sorted(frame.columns)
+    assert order == sorted(found.columns)
+    assert rows_of(frame) == sorted(found.select(*order).fetchall(), key=repr)
+    assert settings() == before
+
+
+def docs(first, n, lang="en"):
+    return [(k, "abcdefghijkl" * (3 + k % 5) + "xyz"[: k % 3], lang, "s", 1, "x", "x") for k in range(first, first + n)]
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    odd = [(900, None, "en", "s", 1, "x", "x"), (901, "", "en", "s", 1, "x", "x"), (902, "ab", None, "s", 1, "x", "x"), (903, "abcdef" * 4000, " ", "s", 1, "x", "x"), (None, "abcabc", "fr", "s", 1, "x", "x")]
+    spark.createDataFrame(docs(0, 60) + odd, DOCS).coalesce(2).write.parquet(f"{tmp_path}/t/documents.parquet")
+    return str(tmp_path / "t"), str(tmp_path / "out")
+
+
+def grown(spark, tables, rows):
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.mode("append").parquet(f"{tables}/documents.parquet")
+
+
+def test_codon_watch_takes_only_what_is_new(spark, tables, tmp_path, caplog):
+    folder, out = tables
+    caplog.set_level(logging.INFO, "jobs")
+    codon_watch.run(spark, folder, out)
+    once = rows_of(codon_watch.run(spark, folder, out))
+    assert "0 rows in 0 new batches" in caplog.text and rows_of(codon_watch.run(spark, folder, out)) == once
+    grown(spark, folder, docs(100, 30, "fr") + docs(200, 5))
+    caplog.clear()
+    twice = codon_watch.run(spark, folder, out)
+    assert "35 rows in 1 new batches" in caplog.text and "35 rows new" in caplog.text
+    whole = codon_watch.run(spark, folder, str(tmp_path / "at-once"))
+    assert rows_of(twice) == rows_of(whole) and rows_of(twice) != once
+    records = lambda o: rows_of(spark.read.parquet(f"{o}/records").drop("batch"))
+    assert records(out) == records(str(tmp_path / "at-once"))
+    assert {r["taxon"] for r in twice.select("taxon").distinct().collect()} == {"en", "fr", "Unknown"}
+    assert twice.agg(F.sum("n")).first()[0] == sum(len("".join(c for c in (t or "") if c.isalpha())) // 3 for t in (r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()))
+
+
+def test_codon_watch_repeats_a_batch_that_failed(spark, tables, tmp_path, monkeypatch):
+    folder, out = tables
+    codon_watch.run(spark, folder, out)
+    grown(spark, folder, docs(100, 30, "fr"))
+    real = codon_watch.take
+
+    def half(batch, number, *more):
+        real(batch, number, *more)
+        raise RuntimeError("lost after writing")
+
+    monkeypatch.setattr(codon_watch, "take", half)
+    with pytest.raises(Exception, match="lost after writing"):
+        codon_watch.run(spark, folder, out)
+    monkeypatch.setattr(codon_watch, "take", real)
+    assert rows_of(codon_watch.run(spark, folder, out)) == rows_of(codon_watch.run(spark, folder, str(tmp_path / "at-once")))
+
+
+def test_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/t/documents.parquet")
+    assert codon_watch.run(spark, f"{tmp_path}/t", f"{tmp_path}/a").collect() == []
+    assert family_release.run(spark, f"{tmp_path}/t", f"{tmp_path}/b").collect() == []
+
+
+def test_family_release_is_replaced_whole_or_by_family(spark, tables, tmp_path):
+    folder, out = tables
+    config = tmp_path / "c.json"
+    config.write_text(json.dumps({"least": 1, "release": "r1"}))
+    first = rows_of(family_release.run(spark, folder, out, str(config)))
+    assert first and rows_of(family_release.run(spark, folder, out, str(config))) == first
+    report = {r["og"]: (r["records"], r["kept"]) for r in spark.read.parquet(f"{out}/report/release=r1").collect()}
+    assert sum(kept for _, kept in report.values()) == len(first) and sum(n for n, _ in report.values()) == 63
+    fasta = spark.read.text(f"{out}/fasta/release=r1").where("value like '>%'").count()
+    assert fasta == len(first)
+    grown(spark, folder, [(40, "abcdefghijkl" * 3, "de", "s", 1, "x", "x"), (41, "abcdefghijkl" * 4, "de", "s", 1, "x", "x")])  # families 0 and 1
+    config.write_text(json.dumps({"least": 1, "release": "r1", "families": ["OG_0"]}))
+    after = rows_of(family_release.run(spark, folder, out, str(config)))
+    new = set(after) - set(first)
+    assert len(after) == len(first) + 1 and {x for r in new for x in r if str(x).startswith("OG_")} == {"OG_0"}
+    other = tmp_path / "d.json"
+    other.write_text(json.dumps({"least": 1, "release": "r2"}))
+    assert len(family_release.run(spark, folder, out, str(other)).collect()) == len(first) + 2
+    assert rows_of(spark.read.schema(family_release.PEPTIDES).parquet(f"{out}/peptides/release=r1")) == after
+
+
+def test_unknown_options(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"colour": 1}')
+    with pytest.raises(ValueError, match="colour"):
+        common.options(spark, str(tmp_path / "c.json"), {"code": 1})
+    for module in (codon_watch, family_release):
+        name = module.__name__.split(".")[1]
+        assert common.options(spark, f"{REPO}/jobs/{name}.json", module.DEFAULTS) == module.DEFAULTS
+
+
+def test_command_line(tables):
+    folder, out = tables
+    command = [sys.executable, "-m", "jobs.codon_watch", "--tables", folder, "--out", out, "--config", f"{REPO}/jobs/codon_watch.json"]
+    done = subprocess.run(command, cwd=REPO, capture_output=True, text=True, timeout=300, check=True, env={k: v for k, v in os.environ.items() if k != "SPARK_HOME"})
+    assert "rows in" in done.stderr and os.path.isdir(f"{out}/usage/taxon=en")
+    shutil.rmtree(out)
