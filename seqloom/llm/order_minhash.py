@@ -38,7 +38,7 @@ from .components import components
 
 WORD = re.compile(r"\w+")
 #: Words of a k-mer, k-mers of a sketch, number of sketches, and how many words a text that has them falls short of (None: any text).
-FAMILIES = ((2, 4, 90, None), (2, 3, 40, 64), (2, 2, 40, 16))
+FAMILIES = ((2, 4, 80, None), (2, 3, 40, 64), (2, 2, 40, 16))
 SIMILARITY = 0.8
 NO_ID = -(1 << 63)
 #: Bytes of a text's SHA-256 that tell it from other texts.
