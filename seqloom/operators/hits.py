@@ -16,6 +16,22 @@ def with_cover(hits: DataFrame, queries: DataFrame, subjects: DataFrame) -> Data
     return joined.withColumns({"query_cover": share("qstart", "qend", "_qlen"), "subject_cover": share("sstart", "send", "_slen")}).drop("_qlen", "_slen")
 
 
+def covered(hits: DataFrame, queries: DataFrame, subjects: DataFrame | None, subject_cover: float, query_cover: float) -> DataFrame:
+    """Hits with the columns that the thresholds above zero need, worked out where they are missing. queries: id and seq; subjects: id and length.
+
+    ValueError if the lengths of the subjects would be needed and aren't given, as nothing could be left out then.
+    """
+    missing = [c for c, least in (("subject_cover", subject_cover), ("query_cover", query_cover)) if least > 0 and c not in hits.columns]
+    if not missing:
+        return hits
+    if "subject_cover" in missing and subjects is None:
+        raise ValueError("hits have no subject_cover: give the subjects' lengths, or set the threshold to 0")
+    lengths = queries.select("id", F.length("seq").alias("length"))
+    known = subjects if subjects is not None else hits.select(F.col("sseqid").alias("id"), F.lit(1).alias("length")).distinct()
+    found = with_cover(hits.drop(*missing), lengths, known)
+    return found.select(*hits.columns, *missing)
+
+
 def keep_hits(hits: DataFrame, evalue: float = 1e-10, identity: float = 0.0, most: int | None = None, subject_cover: float = 0.0, query_cover: float = 0.0) -> DataFrame:
     """Hits within the thresholds, and of those so many of each query with the best scores (ties by subject, then order).
 
@@ -49,7 +65,8 @@ def slice_orfs(records: DataFrame, hits: DataFrame, delim: str = "|", og_delim:
     joined = records.join(hits, records["id"] == hits["qseqid"])
     orf = sequences.orf_slice(F.col("seq"), F.col("qstart"), F.col("qend"), F.col("qframe"))
     og = names.og_of(F.col("sseqid"), og_delim)
-    return joined.select("id", og.alias("og"), names.with_og(F.col("id"), og, delim, og_delim).alias("new_id"), "qframe", "bitscore", orf.alias("orf"))
+    order = [records["ord"]] if "ord" in records.columns else []  # the records' order, not that of the hits
+    return joined.select("id", og.alias("og"), names.with_og(F.col("id"), og, delim, og_delim).alias("new_id"), "qframe", "bitscore", orf.alias("orf"), *order)
 
 
 def slice_profile_orfs(records: DataFrame, profile_hits: DataFrame) -> DataFrame:

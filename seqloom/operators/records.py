@@ -35,10 +35,10 @@ def listed(records: DataFrame, names_table: DataFrame, column: str) -> DataFrame
     return records.join(names_table.select(F.col(names_table.columns[0]).alias(column)).distinct(), column, "left_semi")
 
 
-def renumber(records: DataFrame, taxon: Column, order: str = "ord", per: list[str] | None = None) -> DataFrame:
-    """new_id of transcripts in their order: taxon|Transcript_<n>_Length_<letters>[_Cov_<coverage>]; the number counts kept records.
+def renumber(records: DataFrame, taxon: Column, order: str = "ord", per: list[str] | None = None, code: Column | None = None, delim: str = "|") -> DataFrame:
+    """new_id of transcripts in their order: taxon|[code|]Transcript_<n>_Length_<letters>[_Cov_<coverage>]; the number counts kept records.
 
-    per: columns of a group with numbers of its own. Without one, numbers run through the whole table: row numbers come
+    delim stands between the parts. per: columns of a group with numbers of its own. Without one, numbers run through the whole table: row numbers come
     from ranges of the order and the sizes of the ranges before, so no task sees all rows.
     """
     if per:
@@ -46,7 +46,7 @@ def renumber(records: DataFrame, taxon: Column, order: str = "ord", per: list[st
     else:
         numbered = row_numbers(records, order)
     cover = sequences.coverage_of(F.col("id"))
-    name = F.concat(taxon, F.lit("|Transcript_"), F.col("n").cast("string"), F.lit("_Length_"), F.length("seq").cast("string"))
+    name = F.concat(taxon, F.lit(delim), *([] if code is None else [code, F.lit(delim)]), F.lit("Transcript_"), F.col("n").cast("string"), F.lit("_Length_"), F.length("seq").cast("string"))
     return numbered.withColumn("new_id", F.when(cover.isNotNull(), F.concat(name, F.lit("_Cov_"), F.format_string("%.2f", cover))).otherwise(name))
 
 

@@ -56,12 +56,15 @@ def seq_gc_stats(spark, sf_dir):
 
 
 @query(
-    "SELECT i::INT AS step, i / 100.0::DOUBLE AS gc3, round(2.0::DOUBLE + s + 29.0::DOUBLE / (s * s + (1.0::DOUBLE - s) * (1.0::DOUBLE - s)), 6) AS enc "
-    "FROM (SELECT i, least(i, 100 - i) / 100.0::DOUBLE AS s FROM range(101) r(i))"
+    sql("nt", "").rstrip() + ", " + _STATS + ", w AS (SELECT floor(100.0::DOUBLE * length(regexp_replace(three, '[^GC]', '', 'g')) / length(three) + 0.5::DOUBLE)::INT AS step, count(*)::BIGINT AS sequences FROM t WHERE length(three) > 0 GROUP BY 1) "
+    "SELECT i::INT AS step, i / 100.0::DOUBLE AS gc3, round(2.0::DOUBLE + s + 29.0::DOUBLE / (s * s + (1.0::DOUBLE - s) * (1.0::DOUBLE - s)), 6) AS enc, coalesce(sequences, 0) AS sequences "
+    "FROM (SELECT i, least(i, 100 - i) / 100.0::DOUBLE AS s FROM range(101) r(i)) c LEFT JOIN w ON w.step = c.i"
 )
 def enc_null_curve(spark, sf_dir):
-    """Expected number of codons along GC3."""
-    return rounded(statistics.null_curve(spark), "enc")
+    """Expected number of codons along GC3, and how many sequences are at each step of it."""
+    step = F.floor(F.col("gc3") + 0.5).cast("int")
+    found = statistics.gc_table(substrate.nt(spark, sf_dir)).where("gc3 is not null").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("sequences"))  # 101 rows
+    return rounded(statistics.null_curve(spark), "enc").join(found, "step", "left").withColumn("sequences", F.coalesce("sequences", F.lit(0)))
 
 
 @query(
@@ -462,13 +465,14 @@ def knn_edges(spark, sf_dir):
 
 
 @query(
-    "WITH " + _NEAR.format(k=20) + ", nb AS (SELECT label, id, other, sqrt(d2) AS d FROM e WHERE place <= 20), kd AS (SELECT label, id, max(d) AS k FROM nb GROUP BY label, id), "
+    "WITH " + _NEAR.format(k=1) + ", sz AS (SELECT label, least(count(*) - 1, CASE WHEN count(*) >= 20 THEN 20 ELSE greatest(2, count(*) // 2) END) AS k FROM embeddings GROUP BY label HAVING count(*) > 1), "
+    "nb AS (SELECT e.label, id, other, sqrt(d2) AS d FROM e JOIN sz ON sz.label = e.label WHERE place <= k), kd AS (SELECT label, id, max(d) AS k FROM nb GROUP BY label, id), "
     "den AS (SELECT nb.label, nb.id, 1.0::DOUBLE / (avg(greatest(d, k)) + 1e-10::DOUBLE) AS lrd FROM nb JOIN kd ON kd.label = nb.label AND kd.id = nb.other GROUP BY nb.label, nb.id) "
     "SELECT nb.label, nb.id, round(avg(o.lrd) / min(m.lrd), 6) AS lof, avg(o.lrd) / min(m.lrd) > 1.5 AS outlier FROM nb JOIN den o ON o.label = nb.label AND o.id = nb.other JOIN den m ON m.label = nb.label AND m.id = nb.id GROUP BY nb.label, nb.id"
 )
 def lof_outliers(spark, sf_dir):
     """Local outlier factor of each vector within its label."""
-    near = text_mining.knn_edges(substrate.points(spark, sf_dir), 20).withColumn("d", F.sqrt("d2"))
+    near = families.lof_neighbours(substrate.points(spark, sf_dir), text_mining.knn_edges)
     return rounded(families.lof(near), "lof")
 
 

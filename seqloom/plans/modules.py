@@ -25,7 +25,7 @@ class AddTaxa:
     evalue: float = 1e-10
     min_identity: float = 0.0
     max_hits: int = 1
-    subject_cover: float = 60.0  # applied where hits have the column
+    subject_cover: float = 60.0
     query_cover: float = 0.0
     delim: str = "|"
     og_delim: str = "|"
@@ -89,11 +89,12 @@ def taxon_name(words: str) -> str:
     return "_".join(words.replace(".", "").split())
 
 
-def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list[DataFrame] | None = None, lineage: list[str] | None = None) -> dict[str, DataFrame]:
+def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list[DataFrame] | None = None, lineage: list[str] | None = None, subjects: DataFrame | None = None) -> dict[str, DataFrame]:
     """Sequences of a new taxon, named, cut to their reading frames and assigned to gene families.
 
     data: records (id, ord, seq) or, for genbank, (header, locus, protein, ord, seq). hit_table: hits of the renamed
-    nucleotides (transcripts) or proteins. lineage tells whether the taxon is a prokaryote, which changes starts and code.
+    nucleotides (transcripts) or proteins. subjects: id and length of the sequences that were hit, for thresholds of
+    coverage that hit_table has no columns for. lineage tells whether the taxon is a prokaryote, which changes starts and code.
     """
     check("add_taxa", options)
     taxon, out = F.lit(taxon_name(options.taxon)), {}
@@ -103,17 +104,20 @@ def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list
     if kind == "guess":
         kind = "transcripts" if statistics.looks_like_transcripts(data, code) else "orfs"
     label = F.lit(options.code) if options.code else None
-    covers = [getattr(options, x) if x in hit_table.columns else 0.0 for x in ("subject_cover", "query_cover")]
-    kept_hits = hits.one_hit(hits.keep_hits(hit_table, options.evalue, options.min_identity, options.max_hits, *covers), options.best)
+
+    def kept_hits(queries: DataFrame) -> DataFrame:
+        found = hits.covered(hit_table, queries, subjects, options.subject_cover, options.query_cover)
+        return hits.one_hit(hits.keep_hits(found, options.evalue, options.min_identity, options.max_hits, options.subject_cover, options.query_cover), options.best)
+
     if kind == "transcripts":
-        named = records.renumber(records.keep_long(data, options.min_length), taxon)
+        named = records.renumber(records.keep_long(data, options.min_length), taxon, code=label, delim=options.delim)
         out["names"] = records.name_table(named)
         clean = named.drop("id").withColumnRenamed("new_id", "id")
         if rrna:
             out["rrna"], clean = records.split_by_hits(clean, rrna)
-        orfs = hits.slice_orfs(clean, kept_hits, options.delim, options.og_delim).where(F.length("orf") > 0)
+        orfs = hits.slice_orfs(clean, kept_hits(clean), options.delim, options.og_delim).where(F.length("orf") > 0)
         if options.only_top_hit:
-            orfs = hits.best_in_family(orfs.withColumn("ord", F.xxhash64("id")))
+            orfs = hits.best_in_family(orfs)
         final = orfs.select(F.col("new_id").alias("id"), "og", F.col("orf").alias("seq"))
         folded = collapse.collapse(final, options.identity)
         final = final.join(folded.where("id = kept_id").select("id"), "id", "left_semi")
@@ -128,7 +132,8 @@ def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list
             named = records.keep_in_frame(data).withColumn("new_id", names.display_id(taxon, last, label, options.delim))
         out["names"] = records.name_table(named)
         clean = named.drop("id").withColumnRenamed("new_id", "id").select("id", "ord", "seq")
-        scored = clean.join(kept_hits.select("qseqid", "sseqid", "bitscore"), F.col("id") == F.col("qseqid")).withColumn("og", names.og_of(F.col("sseqid"), options.og_delim))
+        proteins = clean.withColumn("seq", F.substring("seq", F.lit(1), F.floor(F.length("seq") / 3).cast("int")))  # as long as its protein
+        scored = clean.join(kept_hits(proteins).select("qseqid", "sseqid", "bitscore"), F.col("id") == F.col("qseqid")).withColumn("og", names.og_of(F.col("sseqid"), options.og_delim))
         if options.only_top_hit:
             scored = hits.best_in_family(scored.select("og", "id", "ord", "seq", "bitscore"))
         final = scored.select(names.with_og(F.col("id"), F.col("og"), options.delim, options.og_delim).alias("id"), "og", "seq")
@@ -179,7 +184,7 @@ def contam_by_trees(newick: DataFrame, lineages: DataFrame, options: Contam, eve
     asked = leaves.where(wanted).select("tree_id", F.col("node_id").alias("leaf"), F.col("name").alias("sequence"), "taxon")
     rows = trees.sisters(leaves, closure).join(asked.select("tree_id", "leaf"), ["tree_id", "leaf"], "left_semi")
     levels = list(taxonomy.LEVELS)
-    named = rows.join(F.broadcast(lineages.withColumnRenamed("taxon", "sister_taxon")), "sister_taxon", "left")
+    named = rows.join(F.broadcast(lineages.withColumnRenamed("taxon", "sister_taxon")), "sister_taxon", "left").withColumns({x: F.coalesce(x, F.lit("Unknown")) for x in levels})
     agreed = trees.unanimous(named, ["tree_id", "leaf"], levels)
     blanks = dict(zip(levels, ("No-clear-domain", "No-clear-major-group", "No-clear-major-clade", "No-clear-minor-clade"), strict=True))
     verdicts = trees.branch_verdicts(nodes, options.blen_mode).select("tree_id", F.col("node_id").alias("leaf"), F.col("dist").alias("branch_length"), "threshold", "verdict")

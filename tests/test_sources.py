@@ -1,5 +1,6 @@
 """Readers, writers and the modules over small files."""
 
+import dataclasses
 import glob
 import os
 import random
@@ -146,20 +147,36 @@ def test_add_taxa_from_transcripts(spark):
     hit = lambda q, n: (q, "ref|OG1", 60, 99.0, 101, 280, 1, 60, 1e-30, 50.0, 1, n)
     table = spark.createDataFrame([hit(ids[0], 0), hit(ids[2], 1)], tf.HIT_COLUMNS + ", ord long")
     rrna = [spark.createDataFrame([(ids[1],)], "id string")]
-    out = modules.add_taxa(data, table, modules.AddTaxa(taxon="Tax n.", kind="transcripts"), rrna)
+    subjects = spark.createDataFrame([("ref|OG1", 60)], "id string, length int")
+    out = modules.add_taxa(data, table, modules.AddTaxa(taxon="Tax n.", kind="transcripts"), rrna, subjects=subjects)
     assert {r["Updated_Name"] for r in out["names"].collect()} == set(ids) and [r["id"] for r in out["rrna"].collect()] == [ids[1]]
     assert [(r["id"], r["og"], r["seq"]) for r in out["proteins"].collect()] == [(ids[0] + "|OG1", "OG1", "MA" * 30)]
     assert out["redundant"].count() == 2 and out["statistics"].first()["coverage"] == 2.5
 
 
+def test_add_taxa_thresholds_names_and_ties(spark):
+    data = spark.createDataFrame([(f"n{k}", k, "C" * 30 + "ATGGCC" * 40) for k in (5, 3, 9)], "id string, ord long, seq string")
+    ids = [f"Tax_c_Transcript_{k}_Length_270" for k in (1, 2, 3)]
+    hit = lambda q, n: (q, "ref|OG1", 80, 99.0, 31, 270, 1, 80, 1e-30, 50.0, 1, n)
+    table = spark.createDataFrame([hit(q, 10 - n) for n, q in enumerate(ids)], tf.HIT_COLUMNS + ", ord long")
+    options = modules.AddTaxa(taxon="Tax", code="c", delim="_", kind="transcripts", only_top_hit=True, stats=False)
+    with pytest.raises(ValueError, match="subject_cover"):
+        modules.add_taxa(data, table, options)
+    of = lambda length, **more: modules.add_taxa(data, table, dataclasses.replace(options, **more), subjects=spark.createDataFrame([("ref|OG1", length)], "id string, length int"))
+    assert of(200)["proteins"].count() == 0 and of(80, query_cover=95.0)["proteins"].count() == 0
+    out = of(80, query_cover=80.0)
+    assert {r["Initial_ID"]: r["Updated_Name"] for r in out["names"].collect()} == dict(zip(("n3", "n5", "n9"), ids))
+    assert [r["id"] for r in out["proteins"].collect()] == [ids[0] + "_|OG1"]  # the first record of those that tie
+
+
 def test_add_taxa_from_coding_sequences(spark):
     data = spark.createDataFrame([("h", "L1", "P1", 0, "ATGGCCTAA"), ("h", "L1", "P2", 1, "ATGGCCGCCTAA"), ("h", "L2", "P3", 2, "ATGGC")], "header string, locus string, protein string, ord long, seq string")
     table = spark.createDataFrame([("T|c|P2", "ref|OG9", 3, 99.0, 1, 3, 1, 3, 1e-30, 50.0, 1, 0)], tf.HIT_COLUMNS + ", ord long")
-    out = modules.add_taxa(data, table, modules.AddTaxa(taxon="T", code="c", kind="genbank"))
+    out = modules.add_taxa(data, table, modules.AddTaxa(taxon="T", code="c", kind="genbank", subject_cover=0.0))
     assert [(r["id"], r["seq"]) for r in out["proteins"].collect()] == [("T|c|P2|OG9", "MAA")]
     plain = spark.createDataFrame([("x|P7", 0, "GTGGCCTGA"), ("x|P8", 1, "GTGGCCTG")], "id string, ord long, seq string")
     table = table.withColumn("qseqid", F.lit("T|P7"))
-    out = modules.add_taxa(plain, table, modules.AddTaxa(taxon="T", kind="orfs", only_top_hit=True, stats=False), lineage=["Bacteria"])
+    out = modules.add_taxa(plain, table, modules.AddTaxa(taxon="T", kind="orfs", only_top_hit=True, stats=False, subject_cover=0.0), lineage=["Bacteria"])
     assert [(r["id"], r["seq"]) for r in out["proteins"].collect()] == [("T|P7|OG9", "VA")] and "statistics" not in out
 
 
