@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import names, sequences
-from ..operators import collapse, families, genetic_code, hits, records, reports, statistics, taxonomy, text_mining, trees
+from ..operators import collapse, families, genetic_code, hits, records, reports, search, statistics, taxonomy, text_mining, trees
 from ..sources import staging, text_formats
 from . import substrate
 from .substrate import sql
@@ -522,6 +522,22 @@ def greedy_collapse(spark, sf_dir):
     return collapse.collapse(substrate.families(spark, sf_dir))
 
 
+# Search
+
+
+def passages(spark, sf_dir):
+    """The benchmark's items as peptides: id, seq."""
+    return substrate.table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("id"), substrate.sequence_of(F.col("text"), substrate.AA_TARGET).alias("seq"))
+
+
+@query()
+def homology_hits(spark, sf_dir):
+    """Sequences of documents that hold something like a passage of the benchmark: all hits of each passage."""
+    subjects = substrate.aa(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "seq")
+    found = search.search_peptides(passages(spark, sf_dir), subjects, search.Search(seed=12, kinds=4, seeds=3, segment=80, evalue=1e-20), most=None)
+    return found.select(F.col("qseqid").cast("long").alias("item_id"), F.col("sseqid").cast("long").alias("doc_id"), "length", F.round("pident", 4).alias("pident"), "qstart", "qend", "sstart", "send", "bitscore")
+
+
 # Families
 
 
