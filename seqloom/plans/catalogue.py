@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import names, sequences
-from ..operators import collapse, families, genetic_code, hits, records, reports, search, statistics, taxonomy, text_mining, trees
+from ..operators import collapse, families, genetic_code, hits, profiles, records, reports, search, statistics, taxonomy, text_mining, trees
 from ..sources import staging, text_formats
 from . import substrate
 from .substrate import sql
@@ -538,6 +538,15 @@ def homology_hits(spark, sf_dir):
     return found.select(F.col("qseqid").cast("long").alias("item_id"), F.col("sseqid").cast("long").alias("doc_id"), "length", F.round("pident", 4).alias("pident"), "qstart", "qend", "sstart", "send", "bitscore")
 
 
+@query()
+def profile_hits(spark, sf_dir):
+    """Peptides that the profile of a family's longest member finds."""
+    rows = substrate.families(spark, sf_dir)
+    longest = rows.where("og is not null").groupBy("og").agg(F.max_by("seq", F.struct(F.length("seq"), -F.col("id"))).alias("seq")).orderBy("og").collect()  # a row for each brand
+    models = [profiles.of_sequence(r["og"], r["seq"] or "") for r in longest]
+    return rounded(profiles.search_profiles(rows, models, 1e-3).withColumnRenamed("target", "id").select("id", "profile", "score", "viterbi", "from_aa", "to_aa"), "score", "viterbi", places=4)
+
+
 # Families
 
 
