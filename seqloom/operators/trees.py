@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.staging import staged
+from . import intervals
 
 NODE_TABLE = "tree_id string, node_id long, parent_id long, name string, dist double, is_leaf boolean, postorder long"
 #: Groups that a tree is rooted by, first match first.
@@ -218,52 +219,119 @@ def as_newick(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("tree_id").applyInPandas(one, "tree_id string, newick string")
 
 
-def ancestors(nodes: DataFrame) -> DataFrame:
-    """tree_id, node_id, anc_id, depth, d (the way's length) of each node and all nodes on its way to the root, itself included.
+class Forest:
+    """A node table (tree_id, node_id, parent_id, dist, is_leaf, ...) with its steps upwards and, when asked for, its intervals."""
 
-    The ways are joined end to end, so a tree of depth n takes the binary logarithm of n rounds, whatever its depth.
+    def __init__(self, nodes: DataFrame):
+        self.nodes = nodes
+        self.ways = intervals.steps(nodes)
+        self._spans: DataFrame | None = None
+
+    @property
+    def spans(self) -> DataFrame:
+        if self._spans is None:
+            self._spans = intervals.intervals(self.nodes, self.ways)
+        return self._spans
+
+    def root_distances(self) -> DataFrame:
+        return intervals.root_distances(self.nodes, self.ways)
+
+
+def clade_sizes(forest: Forest, nodes: DataFrame, group: str = "supergroup") -> DataFrame:
+    """tree_id, node_id, group, leaves and taxa of every inner node whose leaves (with a taxon and a group) are of one group.
+
+    Counts and groups are rolled up. The taxa below a node are its leaves with a taxon less the nodes below it, and itself,
+    at which two leaves of one taxon that follow each other in the tree meet: so each taxon counts once.
     """
-    step = F.struct(F.col("node_id").alias("anc_id"), F.lit(0.0).alias("d"))
-    now = nodes.select("tree_id", "node_id", F.col("parent_id").alias("up"), F.coalesce("dist", F.lit(0.0)).alias("reach"), F.array(step).alias("way"))
-    for r in range(64):
-        now = staged(now, "ways")
-        if now.where("up is not null").isEmpty():
-            break
-        if r > 12 and 2**r > now.count():
-            raise ValueError("a node is its own ancestor")
-        over = now.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("_up"), F.col("reach").alias("_reach"), F.col("way").alias("_way"))
-        joined = now.where("up is not null").join(over, ["tree_id", "up"], "left")
-        # A parent that the table doesn't have ends the way, as a missing name would.
-        longer = F.concat("way", F.coalesce(F.transform("_way", lambda x: F.struct(x["anc_id"].alias("anc_id"), (x["d"] + F.col("reach")).alias("d"))), F.array().cast("array<struct<anc_id:bigint,d:double>>")))
-        joined = joined.withColumn("way", longer).select("tree_id", "node_id", F.col("_up").alias("up"), (F.col("reach") + F.coalesce("_reach", F.lit(0.0))).alias("reach"), "way")
-        now = joined.unionByName(now.where("up is null"))
-    return now.select("tree_id", "node_id", F.posexplode("way").alias("depth", "at")).select("tree_id", "node_id", "at.anc_id", "depth", "at.d")
-
-
-def clade_sizes(nodes: DataFrame, closure: DataFrame, group: str = "supergroup") -> DataFrame:
-    """tree_id, node_id, group, leaves and taxa of every inner node whose leaves (with a taxon and a group) are of one group."""
-    leaves = nodes.where("is_leaf").select("tree_id", "node_id", "taxon", group)
-    below = closure.where("depth > 0").join(leaves, ["tree_id", "node_id"])
-    return below.groupBy("tree_id", F.col("anc_id").alias("node_id")).agg(
-        F.min(group).alias(group), F.count(F.lit(1)).alias("leaves"), F.count_distinct("taxon").alias("taxa"), F.count_distinct(group).alias("_groups")
-    ).where(F.col("_groups") == 1).drop("_groups")
-
-
-def sisters(leaves: DataFrame, closure: DataFrame) -> DataFrame:
-    """tree_id, leaf, stop_id, sister: for each leaf the leaves of other taxa under the first ancestor with more than one prefix.
-
-    leaves: tree_id, node_id, prefix, taxon. A leaf whose whole tree has one prefix has no row.
+    key = intervals.KEY
+    leaves = nodes.where("is_leaf").select(*key, "taxon", group)
+    named = staged(leaves.where("taxon is not null").join(forest.spans, key), "named-leaves")
+    pairs = intervals.previous(named, ["tree_id", "taxon"]).withColumnRenamed("node_id", "_later").withColumnRenamed("before", "node_id").withColumnRenamed("first", "_first")
+    spans = forest.spans.select("tree_id", "node_id", F.col("last").alias("_last"))
+    met = intervals.climbed(pairs.select("tree_id", "node_id", "_first"), forest.ways, spans, F.col("_last") < F.col("_first"))
+    again = met.select("tree_id", F.col("stop_id").alias("node_id"), F.lit(-1).cast("long").alias("taxa"))
+    taxa = named.select(*key, F.lit(1).cast("long").alias("taxa")).unionByName(again).groupBy(*key).agg(F.sum("taxa").alias("taxa"))
+    own = leaves.select(*key, F.lit(1).cast("long").alias("leaves"), F.col(group).alias("_lo"), F.col(group).alias("_hi"))
+    values = own.join(taxa, key, "full").select(*key, F.coalesce("leaves", F.lit(0)).alias("leaves"), "_lo", "_hi", F.coalesce("taxa", F.lit(0)).alias("taxa"))
+    found = intervals.rolled(values, forest.ways, {"leaves": "sum", "_lo": "min", "_hi": "max", "taxa": "sum"})
+    inner = forest.ways[0].select("tree_id", F.col("up").alias("node_id")).distinct()
+    return found.where("_lo = _hi").join(inner, key, "left_semi").select(*key, F.col("_lo").alias(group), "leaves", "taxa")
+
+
+def stops(leaves: DataFrame, forest: Forest) -> DataFrame:
+    """leaves (tree_id, node_id, prefix, ...) with stop_id, the first ancestor with more than one prefix below it; leaves of trees of one prefix go."""
+    values = leaves.where("prefix is not null").select(*intervals.KEY, F.col("prefix").alias("_lo"), F.col("prefix").alias("_hi"))
+    ends = intervals.rolled(values, forest.ways, {"_lo": "min", "_hi": "max"})
+    every = forest.nodes.select(*intervals.KEY).join(ends, intervals.KEY, "left")
+    return intervals.climbed(leaves, forest.ways, every, F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi")))
+
+
+class Sisters:
+    """For each leaf the leaves of other taxa under its stop. All leaves of a taxon with one stop have the same ones, so
+    what is kept is a row for each stop and taxon; nothing is listed leaf by leaf unless rows() is asked for.
+
+    leaves: tree_id, node_id, prefix, taxon and more columns, which sisters have as well. A leaf whose whole tree has one
+    prefix, or whose sisters all lack a taxon, has none.
     """
-    under = closure.join(leaves.select("tree_id", "node_id", "prefix", "taxon"), ["tree_id", "node_id"])
-    mixed = under.groupBy("tree_id", "anc_id").agg(F.count_distinct("prefix").alias("p")).where("p > 1").select("tree_id", "anc_id")
-    stops = under.join(mixed, ["tree_id", "anc_id"]).groupBy("tree_id", "node_id", "taxon").agg(F.min_by("anc_id", "depth").alias("anc_id"))
-    others = under.select("tree_id", "anc_id", F.col("node_id").alias("sister"), F.col("taxon").alias("sister_taxon"))
-    return stops.join(others, ["tree_id", "anc_id"]).where("taxon != sister_taxon").select("tree_id", F.col("node_id").alias("leaf"), F.col("anc_id").alias("stop_id"), "sister", "sister_taxon")
-
 
-def unanimous(rows: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
-    """For each key the label of each level if all rows agree on it, else null."""
-    return rows.groupBy(*keys).agg(*(F.when((F.count_distinct(x) == 1) & (F.count(x) == F.count(F.lit(1))), F.min(x)).alias(x) for x in levels))
+    def __init__(self, leaves: DataFrame, forest: Forest):
+        self.stops = staged(stops(leaves, forest).select("tree_id", F.col("node_id").alias("leaf"), "stop_id", "taxon"), "stops")
+        tops = self.stops.select("tree_id", "stop_id").distinct()
+        held = leaves.where("taxon is not null").drop("prefix").join(forest.spans.select(*intervals.KEY, "first"), intervals.KEY)
+        self.under = staged(intervals.below(tops, forest.spans, held).drop("first").withColumnRenamed("node_id", "sister"), "under-stops")
+
+    def rows(self) -> DataFrame:
+        """tree_id, leaf, stop_id, sister, sister_taxon and the other columns of the sister: as many rows as leaves have sisters."""
+        other = self.under.withColumnRenamed("taxon", "sister_taxon")
+        return self.stops.join(other, ["tree_id", "stop_id"]).where("taxon != sister_taxon").drop("taxon")
+
+    def counts(self) -> DataFrame:
+        """tree_id, leaf, stop_id, sisters and sister_taxa: how many leaves and taxa the sisters are; leaves without any go."""
+        by_taxon = self.under.groupBy("tree_id", "stop_id", "taxon").agg(F.count(F.lit(1)).alias("_own"))
+        whole = by_taxon.groupBy("tree_id", "stop_id").agg(F.sum("_own").alias("_all"), F.count(F.lit(1)).alias("_taxa"))
+        found = by_taxon.join(whole, ["tree_id", "stop_id"]).select("tree_id", "stop_id", "taxon", (F.col("_all") - F.col("_own")).alias("sisters"), (F.col("_taxa") - 1).alias("sister_taxa"))
+        return self.stops.join(found.where("sisters > 0"), ["tree_id", "stop_id", "taxon"]).drop("taxon")
+
+    def agreed(self, levels: list[str]) -> DataFrame:
+        """tree_id, leaf and for each level the label that all sisters have, else null. Levels are columns of the leaves, or taxon.
+
+        Of a stop it is enough to know how often each label comes up, and how often among the leaves of one taxon.
+        """
+        key = ["tree_id", "stop_id"]
+        whole = self.under.groupBy(*key).agg(F.count(F.lit(1)).alias("_all"))
+        out = self.counts().select("tree_id", "leaf", "stop_id").join(self.stops, ["tree_id", "leaf", "stop_id"]).select("tree_id", "leaf", "stop_id", "taxon")
+        sizes = self.under.groupBy(*key, "taxon").agg(F.count(F.lit(1)).alias("_own")).join(whole, key).select(*key, "taxon", (F.col("_all") - F.col("_own")).alias("_left"))
+        out = out.join(sizes, [*key, "taxon"])
+        for level in levels:
+            labels = self.under.withColumn("_label", F.col(level)).where("_label is not null")
+            by_label = labels.groupBy(*key, "_label").agg(F.count(F.lit(1)).alias("_n"))
+            own = labels.groupBy(*key, "taxon", "_label").agg(F.count(F.lit(1)).alias("_mine"))
+            # A label that all others have is the commonest or, without one's own leaves, the second: two of a stop will do.
+            order = Window.partitionBy(*key).orderBy(F.desc("_n"), "_label")
+            several = by_label.withColumn("_place", F.row_number().over(order)).where("_place <= 2").select(*key, "_label", "_n")
+            asked = out.select(*key, "taxon", "_left").distinct().join(several, key).join(own, [*key, "taxon", "_label"], "left")
+            sure = asked.where(F.col("_n") - F.coalesce("_mine", F.lit(0)) == F.col("_left")).groupBy(*key, "taxon").agg(F.min("_label").alias(f"agreed_{level}"))
+            out = out.join(sure, [*key, "taxon"], "left")
+        return out.select("tree_id", "leaf", *(F.col(f"agreed_{x}").alias("sister_taxon" if x == "taxon" else x) for x in levels))
+
+    def lists(self, most: int = 20, name: str = "sister") -> DataFrame:
+        """tree_id, leaf, n_sister_taxa and the sister taxa and leaves (their `name`) as text; beyond `most` taxa the texts only say so.
+
+        Stops of more taxa than that aren't listed at all, so of a stop there are most + 1 taxa, each with the others.
+        """
+        key = ["tree_id", "stop_id"]
+        counted = self.counts()
+        small = counted.where(F.col("sister_taxa") <= most).select(*key).distinct()
+        by_taxon = self.under.join(small, key, "left_semi").groupBy(*key, F.col("taxon").alias("_other")).agg(F.collect_set(name).alias("_names"))
+        own = self.stops.join(small, key, "left_semi").select(*key, "taxon").distinct()
+        per = own.join(by_taxon, key).where("taxon != _other").groupBy(*key, "taxon").agg(F.array_sort(F.collect_list("_other")).alias("_t"), F.array_sort(F.flatten(F.collect_list("_names"))).alias("_s"))
+        texts = per.select(*key, "taxon", F.array_join("_t", ";").alias("_taxa"), F.array_join(F.transform("_s", lambda x: x.cast("string")), ";").alias("_leaves"))
+        many = F.col("sister_taxa") > most
+        rows = counted.join(self.stops.select("tree_id", "leaf", "taxon"), ["tree_id", "leaf"]).join(texts, [*key, "taxon"], "left")
+        return rows.select(
+            "tree_id", "leaf", F.col("sister_taxa").cast("int").alias("n_sister_taxa"), F.when(many, f"More-than-{most}").otherwise(F.col("_taxa")).alias("sister_taxa"),
+            F.when(many, "Too-many-seqs").otherwise(F.col("_leaves")).alias("sister_leaves"),
+        )
 
 
 def branch_verdicts(nodes: DataFrame, mode: str = "median") -> DataFrame:
@@ -273,16 +341,6 @@ def branch_verdicts(nodes: DataFrame, mode: str = "median") -> DataFrame:
     return leaves.join(leaves.groupBy("tree_id").agg(middle.alias("threshold")), "tree_id").withColumn("verdict", F.when(F.col("dist") <= F.col("threshold"), "short").otherwise("long"))
 
 
-def sister_lists(sister_rows: DataFrame, most: int = 20) -> DataFrame:
-    """tree_id, leaf, n_sister_taxa and the sister taxa and leaves as text; beyond `most` taxa the texts only say so."""
-    per = sister_rows.groupBy("tree_id", "leaf").agg(F.array_sort(F.collect_set("sister_taxon")).alias("t"), F.array_sort(F.collect_set("sister")).alias("s"))
-    many = F.size("t") > most
-    return per.select(
-        "tree_id", "leaf", F.size("t").alias("n_sister_taxa"), F.when(many, f"More-than-{most}").otherwise(F.array_join("t", ";")).alias("sister_taxa"),
-        F.when(many, "Too-many-seqs").otherwise(F.array_join(F.transform("s", lambda x: x.cast("string")), ";")).alias("sister_leaves"),
-    )
-
-
 def pick_orthologs(candidates: DataFrame, group: list[str]) -> DataFrame:
     """The best sequence of each group: most taxonomy levels shared with the sisters, most sister taxa, least distance to the root, id.
 

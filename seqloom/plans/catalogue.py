@@ -699,7 +699,7 @@ def lineage_reduce(spark, sf_dir):
 
 def _tree(spark, sf_dir):
     nodes = substrate.tree(spark, sf_dir)
-    return nodes, trees.ancestors(nodes.select("tree_id", "node_id", "parent_id", "dist"))
+    return nodes, trees.Forest(nodes)
 
 
 @query(
@@ -707,8 +707,8 @@ def _tree(spark, sf_dir):
 )
 def clade_sizes(spark, sf_dir):
     """Inner nodes whose leaves are of one group, a group being several nations."""
-    nodes, closure = _tree(spark, sf_dir)
-    return trees.clade_sizes(nodes.withColumn("supergroup", F.concat(F.lit("g"), (F.col("parent_id") % 7).cast("string"))), closure).drop("tree_id")
+    nodes, forest = _tree(spark, sf_dir)
+    return trees.clade_sizes(forest, nodes.withColumn("supergroup", F.concat(F.lit("g"), (F.col("parent_id") % 7).cast("string")))).drop("tree_id")
 
 
 _SIS = (
@@ -719,16 +719,15 @@ _SIS = (
 
 
 def _sisters(spark, sf_dir):
-    nodes, closure = _tree(spark, sf_dir)
-    leaves = nodes.where("is_leaf").select("tree_id", "node_id", F.col("taxon").alias("prefix"), "taxon")
-    return nodes, closure, trees.sisters(leaves, closure)
+    nodes, forest = _tree(spark, sf_dir)
+    leaves = nodes.where("is_leaf").select("tree_id", "node_id", F.col("taxon").alias("prefix"), "taxon", "supergroup")
+    return trees.Sisters(leaves, forest)
 
 
 @query(sql("nodes up", "").rstrip() + ", " + _SIS + " SELECT leaf, min(stop_id) AS stop_id, count(*)::BIGINT AS sisters, count(DISTINCT sister_taxon)::BIGINT AS sister_taxa FROM sis GROUP BY leaf")
 def sister_groups(spark, sf_dir):
     """How many sisters each leaf has, and under which node."""
-    _, _, rows = _sisters(spark, sf_dir)
-    return rows.groupBy("leaf").agg(F.min("stop_id").alias("stop_id"), F.count(F.lit(1)).alias("sisters"), F.count_distinct("sister_taxon").alias("sister_taxa"))
+    return _sisters(spark, sf_dir).counts().drop("tree_id")
 
 
 @query(
@@ -736,9 +735,7 @@ def sister_groups(spark, sf_dir):
 )
 def sister_unanimity(spark, sf_dir):
     """What all sisters of a leaf agree on."""
-    nodes, _, rows = _sisters(spark, sf_dir)
-    named = rows.join(nodes.select(F.col("node_id").alias("sister"), "supergroup"), "sister")
-    return trees.unanimous(named, ["leaf"], ["supergroup", "sister_taxon"])
+    return _sisters(spark, sf_dir).agreed(["supergroup", "taxon"]).drop("tree_id")
 
 
 @query(
@@ -747,7 +744,7 @@ def sister_unanimity(spark, sf_dir):
 )
 def sister_lists(spark, sf_dir):
     """The sisters of each leaf as text."""
-    return trees.sister_lists(_sisters(spark, sf_dir)[2], 3).drop("tree_id")
+    return _sisters(spark, sf_dir).lists(3).drop("tree_id")
 
 
 @query(sql("nodes", "SELECT node_id, round(dist, 6) AS dist, round(quantile_cont(dist, 0.5) OVER (), 6) AS threshold, CASE WHEN dist <= quantile_cont(dist, 0.5) OVER () THEN 'short' ELSE 'long' END AS verdict FROM nodes WHERE is_leaf"))
@@ -762,8 +759,8 @@ def branch_eval(spark, sf_dir):
 )
 def ortholog_pick(spark, sf_dir):
     """The best leaf of each taxon under each node."""
-    nodes, closure = _tree(spark, sf_dir)
-    far = closure.groupBy("node_id").agg(F.max_by("d", "depth").alias("root_dist"))
+    nodes, forest = _tree(spark, sf_dir)
+    far = forest.root_distances().drop("tree_id")
     rows = nodes.where("is_leaf").join(far, "node_id").select("parent_id", "taxon", F.col("node_id").alias("id"), (F.col("node_id") % 4).alias("same"), (F.col("node_id") % 7).alias("n_sister_taxa"), "root_dist")
     return rounded(trees.pick_orthologs(rows, ["parent_id", "taxon"]).select("parent_id", "taxon", "id", "root_dist"), "root_dist")
 

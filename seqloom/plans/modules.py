@@ -178,17 +178,17 @@ def contam_by_trees(newick: DataFrame, lineages: DataFrame, options: Contam, eve
         check("contam", options)
     nodes = trees.from_newick(newick, lineages)
     nodes = nodes.withColumn("taxon", F.when(F.col("is_leaf"), names.taxon_of(F.col("name"))))
-    closure = trees.ancestors(nodes)
+    forest = trees.Forest(nodes)
     leaves = nodes.where("is_leaf").withColumn("prefix", names.sequence_prefix(F.col("name")))
     wanted = F.lit(True) if every else F.contains("name", F.lit(taxon_name(options.taxon)))
     asked = leaves.where(wanted).select("tree_id", F.col("node_id").alias("leaf"), F.col("name").alias("sequence"), "taxon")
-    rows = trees.sisters(leaves, closure).join(asked.select("tree_id", "leaf"), ["tree_id", "leaf"], "left_semi")
     levels = list(taxonomy.LEVELS)
-    named = rows.join(F.broadcast(lineages.withColumnRenamed("taxon", "sister_taxon")), "sister_taxon", "left").withColumns({x: F.coalesce(x, F.lit("Unknown")) for x in levels})
-    agreed = trees.unanimous(named, ["tree_id", "leaf"], levels)
+    named = leaves.select("tree_id", "node_id", "name", "prefix", "taxon").join(F.broadcast(lineages.select("taxon", *levels)), "taxon", "left").withColumns({x: F.coalesce(x, F.lit("Unknown")) for x in levels})
+    sisters = trees.Sisters(named, forest)
+    agreed = sisters.agreed(levels)
     blanks = dict(zip(levels, ("No-clear-domain", "No-clear-major-group", "No-clear-major-clade", "No-clear-minor-clade"), strict=True))
     verdicts = trees.branch_verdicts(nodes, options.blen_mode).select("tree_id", F.col("node_id").alias("leaf"), F.col("dist").alias("branch_length"), "threshold", "verdict")
-    detail = asked.join(agreed, ["tree_id", "leaf"], "left").join(trees.sister_lists(rows), ["tree_id", "leaf"], "left").join(verdicts, ["tree_id", "leaf"])
+    detail = asked.join(agreed, ["tree_id", "leaf"], "left").join(sisters.lists(name="name"), ["tree_id", "leaf"], "left").join(verdicts, ["tree_id", "leaf"])
     detail = detail.withColumns({x: F.coalesce(x, F.lit(b)) for x, b in blanks.items()})
     short = detail.where("verdict = 'short'")
     return {
@@ -199,7 +199,7 @@ def contam_by_trees(newick: DataFrame, lineages: DataFrame, options: Contam, eve
         "clades": reports.frequency(detail.where("major != 'No-clear-major-clade'"), ["supergroup", "major", "minor"]),
         "short_groups": reports.frequency(short.where("domain = 'Eukaryota'"), ["supergroup", "major"]),
         "single_sisters": reports.single_sister_top(detail),
-        "clade_sizes": trees.clade_sizes(nodes.join(F.broadcast(lineages.select("taxon", "supergroup")), "taxon", "left"), closure),
+        "clade_sizes": trees.clade_sizes(forest, nodes.join(F.broadcast(lineages.select("taxon", "supergroup")), "taxon", "left")),
     }
 
 
@@ -241,7 +241,7 @@ def select_orthologs(newick: DataFrame, lineages: DataFrame, options: Contam) ->
     found = contam_by_trees(newick, lineages, options, every=True)
     nodes, detail = found["trees"], found["detail"]
     own = F.broadcast(lineages.select("taxon", *(F.col(x).alias(f"own_{x}") for x in ("domain", "supergroup", "major"))))
-    far = trees.ancestors(nodes).groupBy("tree_id", F.col("node_id").alias("leaf")).agg(F.max_by("d", "depth").alias("root_dist"))
+    far = trees.Forest(nodes).root_distances().withColumnRenamed("node_id", "leaf")
     same = sum((F.coalesce((F.col(x) == F.col(f"own_{x}")).cast("int"), F.lit(0)) for x in ("domain", "supergroup", "major")), F.lit(0))
     table = detail.join(own, "taxon", "left").join(far, ["tree_id", "leaf"]).withColumn("same", same).withColumn("n_sister_taxa", F.coalesce("n_sister_taxa", F.lit(0)))
     yes = {f"same_{x}": F.when(F.coalesce(F.col(x) == F.col(f"own_{x}"), F.lit(False)), "same").otherwise("diff") for x in ("domain", "supergroup", "major")}

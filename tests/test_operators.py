@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import collapse, families, genetic_code, hits, records, reports, statistics, taxonomy, text_mining, trees
+from seqloom.operators import collapse, families, genetic_code, hits, intervals, records, reports, statistics, taxonomy, text_mining, trees
 
 
 def test_transcripts_are_numbered_in_order(spark):
@@ -255,7 +255,8 @@ def test_sisters_of_a_small_tree(spark):
     text = "((X|s1|OG:1,X|s2|OG:1):1,(Y|s3|OG:1,Z|s4|OG:3):1);"
     nodes = trees.from_newick(spark.createDataFrame([("t", text)], "tree_id string, newick string"))
     leaves = nodes.where("is_leaf").select("tree_id", "node_id", F.split_part("name", F.lit("|"), F.lit(1)).alias("taxon"), F.split_part("name", F.lit("|"), F.lit(1)).alias("prefix"), "name")
-    rows = trees.sisters(leaves, trees.ancestors(nodes))
+    sisters = trees.Sisters(leaves, trees.Forest(nodes))
+    rows = sisters.rows()
     names = {r["node_id"]: r["name"].split("|")[1] for r in leaves.collect()}
     got = {}
     for r in rows.collect():
@@ -263,15 +264,67 @@ def test_sisters_of_a_small_tree(spark):
     assert got == {"s1": {"s3", "s4"}, "s2": {"s3", "s4"}, "s3": {"s4"}, "s4": {"s3"}}
     verdict = {names[r["node_id"]]: r["verdict"] for r in trees.branch_verdicts(nodes).collect()}
     assert verdict == {"s1": "short", "s2": "short", "s3": "short", "s4": "long"}
-    lists = {names[r["leaf"]]: r["n_sister_taxa"] for r in trees.sister_lists(rows).collect()}
+    lists = {names[r["leaf"]]: r["n_sister_taxa"] for r in sisters.lists().collect()}
     assert lists == {"s1": 2, "s2": 2, "s3": 1, "s4": 1}
-    assert trees.sister_lists(rows, most=1).where("sister_taxa = 'More-than-1'").count() == 2
+    assert sisters.lists(most=1).where("sister_taxa = 'More-than-1'").count() == 2
 
 
 def test_a_tree_of_one_prefix_has_no_sisters(spark):
     nodes = trees.from_newick(spark.createDataFrame([("t", "(X|a|1:1,X|b|1:2);")], "tree_id string, newick string"))
     leaves = nodes.where("is_leaf").select("tree_id", "node_id", F.lit("X").alias("taxon"), F.lit("X").alias("prefix"))
-    assert trees.sisters(leaves, trees.ancestors(nodes)).count() == 0
+    sisters = trees.Sisters(leaves, trees.Forest(nodes))
+    assert sisters.rows().count() == sisters.counts().count() == sisters.lists().count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 1 << 16])
+def test_tree_operators_equal_a_walk_of_every_tree(spark, monkeypatch, block):
+    """Random forests, bushes and chains, with leaves that lack a taxon, a prefix or a group, against each node's list of leaves."""
+    monkeypatch.setattr(intervals, "BLOCK", block)
+    rng = random.Random(17)
+    rows, below, parents = [], {}, {}
+    for t in range(6):
+        size = rng.choice([1, 2, 9, 40])
+        shape = rng.choice([lambda k: k - 1, lambda k: rng.randrange(k), lambda k: max(0, k - rng.randrange(1, 4))])
+        up = {k: None if k == 0 else shape(k) for k in range(size)}
+        for k in range(size):
+            leaf = k not in set(up.values())
+            taxon = rng.choice(["A", "B", "C", "D", None]) if leaf else None
+            rows.append((f"t{t}", k * 3 + 1, None if up[k] is None else up[k] * 3 + 1, float(k % 5), leaf, taxon, taxon and rng.choice([taxon, taxon, "P", None]), {"A": "g", "B": "g", "C": "h"}.get(taxon)))
+    for r in rows:
+        parents[r[0], r[1]] = r[2]
+    for r in rows:
+        at = r[1]
+        while at is not None:
+            below.setdefault((r[0], at), []).append(r)
+            at = parents[r[0], at]
+    nodes = spark.createDataFrame(rows, "tree_id string, node_id long, parent_id long, dist double, is_leaf boolean, taxon string, prefix string, supergroup string")
+    forest = trees.Forest(nodes)
+    spans = {(r["tree_id"], r["node_id"]): (r["first"], r["last"]) for r in forest.spans.collect()}
+    for key, inside in below.items():
+        assert {k for k, (first, _) in spans.items() if k[0] == key[0] and spans[key][0] <= first <= spans[key][1]} == {(r[0], r[1]) for r in inside}
+    want = set()
+    for (tree, node), inside in below.items():
+        leaves = [r for r in inside if r[4] and r[1] != node]
+        groups = {r[7] for r in leaves} - {None}
+        if len(groups) == 1:
+            want.add((tree, node, *groups, len(leaves), len({r[5] for r in leaves} - {None})))
+    assert {tuple(r) for r in trees.clade_sizes(forest, nodes).collect()} == want and len(want) > 5
+    sisters = trees.Sisters(nodes.where("is_leaf").select("tree_id", "node_id", "prefix", "taxon", "supergroup"), forest)
+    pairs, stop = {}, {}
+    for r in rows:
+        at = parents[r[0], r[1]] if r[4] else None
+        while at is not None and len({x[6] for x in below[r[0], at] if x[4]} - {None}) < 2:
+            at = parents[r[0], at]
+        if at is not None and r[5] is not None:
+            others = [x for x in below[r[0], at] if x[4] and x[5] not in (None, r[5])]
+            if others:
+                pairs[r[0], r[1]], stop[r[0], r[1]] = others, at
+    assert {(r["tree_id"], r["leaf"], r["stop_id"], r["sister"], r["sister_taxon"]) for r in sisters.rows().collect()} == {(*k, stop[k], x[1], x[5]) for k, v in pairs.items() for x in v}
+    assert {(r["tree_id"], r["leaf"], r["stop_id"], r["sisters"], r["sister_taxa"]) for r in sisters.counts().collect()} == {(*k, stop[k], len(v), len({x[5] for x in v})) for k, v in pairs.items()}
+    same = lambda v, c: v[0][c] if len({x[c] for x in v}) == 1 else None
+    assert {tuple(r) for r in sisters.agreed(["supergroup", "taxon"]).collect()} == {(*k, same(v, 7), same(v, 5)) for k, v in pairs.items()}
+    text = lambda v: (n := len({x[5] for x in v}), "More-than-2" if n > 2 else ";".join(sorted({x[5] for x in v})), "Too-many-seqs" if n > 2 else ";".join(map(str, sorted(x[1] for x in v))))
+    assert {tuple(r) for r in sisters.lists(2).collect()} == {(*k, *text(v)) for k, v in pairs.items()}
 
 
 def random_newick(rng, names):
@@ -364,9 +417,12 @@ def test_observed_enc_is_low_for_one_codon_each_and_high_for_even_use(spark):
 
 def test_deep_trees_and_lineages_have_no_limit(spark):
     chain = [("t", k, k - 1 if k else None, 1.0) for k in range(300)]
-    closure = trees.ancestors(spark.createDataFrame(chain, "tree_id string, node_id long, parent_id long, dist double"))
-    assert closure.count() == 300 * 301 // 2
-    assert sorted(closure.where("node_id = 299 and depth in (0, 1, 299)").select("anc_id", "depth", "d").collect()) == [(0, 299, 299.0), (298, 1, 1.0), (299, 0, 0.0)]
+    forest = trees.Forest(spark.createDataFrame(chain, "tree_id string, node_id long, parent_id long, dist double"))
+    assert len(forest.ways) == 9 and sum(w.count() for w in forest.ways) < 300 * 9
+    assert {(r["node_id"], r["root_dist"]) for r in forest.root_distances().collect()} == {(k, float(k)) for k in range(300)}
+    assert {(r["node_id"], r["first"], r["last"]) for r in forest.spans.collect()} == {(k, k, 299) for k in range(300)}
+    with pytest.raises(ValueError, match="own ancestor"):
+        trees.Forest(spark.createDataFrame([("t", 0, 1, 1.0), ("t", 1, 0, 1.0)], "tree_id string, node_id long, parent_id long, dist double"))
     nodes = spark.createDataFrame([(k, k - 1 if k else None, "clade" if k % 2 else "no rank", f"n{k}") for k in range(250)], "tax_id long, parent_id long, rank string, name string")
     (row,) = taxonomy.lineages(nodes).where("tax_id = 249").collect()
     assert row["lineage"] == [f"n{k}" for k in range(1, 250, 2)]
