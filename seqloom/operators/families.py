@@ -71,20 +71,41 @@ def zscore_outliers(medians: DataFrame, threshold: float = 3.0) -> DataFrame:
     return medians.withColumn("z", z).withColumn("outlier", F.col("z") >= threshold)
 
 
-def bootstrap_outliers(medians: DataFrame, threshold: float = 3.0, sample: int = 100, rounds: int = 100, seed: int = 11) -> DataFrame:
-    """As zscore_outliers, with the mean and deviation averaged over seeded resamples of a family's medians."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        values = pdf["median"].to_numpy(float)
-        rng = np.random.default_rng([seed, len(values)])
-        drawn = rng.choice(values, (rounds, min(sample, len(values))))
-        mean, deviation = drawn.mean(1).mean(), drawn.std(1).mean()
-        z = (values - mean) / deviation if deviation > 0 else np.zeros(len(values))
-        return pd.DataFrame({"og": pdf["og"], "id": pdf["id"], "median": values, "z": z, "outlier": z >= threshold})
-
-    kinds = dict(medians.dtypes)
-    return medians.groupBy("og").applyInPandas(one, f"og {kinds['og']}, id {kinds['id']}, median double, z double, outlier boolean")
+#: A resample takes a record this often at most; with a mean of one, more has a chance below 10^-13.
+MOST_OFTEN = 15
+
+
+def drawn(rate, u):
+    """How often a resample takes a record: the quantile of a uniform number u in a Poisson distribution of that rate."""
+    term = upto = F.exp(-rate)
+    count = F.lit(0)
+    for k in range(MOST_OFTEN):
+        count = count + (u >= upto).cast("int")
+        term = term * rate / (k + 1)
+        upto = upto + term
+    return count
+
+
+def bootstrap_outliers(medians: DataFrame, threshold: float = 3.0, sample: int = 100, rounds: int = 100) -> DataFrame:
+    """As zscore_outliers, with the mean and deviation averaged over resamples of a family's medians.
+
+    Each resample takes each record a Poisson number of times, `sample` records (or the family's size, if less) in the
+    mean. The number comes from a hash of the record's id and the resample, so results are the same at any partitioning,
+    and a resample is three sums that tasks add up: no family is gathered. Resamples that take no record don't count.
+    """
+    sizes = medians.groupBy("og").agg(F.count(F.lit(1)).alias("_size"))
+    rate = F.least(F.lit(1.0), sample / F.col("_size"))
+    # Each digest has the numbers of four resamples.
+    digest = F.md5(F.concat_ws("|", F.col("id").cast("string"), F.col("_block").cast("string")))
+    four = F.array(*(F.struct((F.col("_block") * 4 + j).alias("rep"), (F.conv(F.substring("_digest", 8 * j + 1, 8), 16, 10).cast("double") / float(1 << 32)).alias("u")) for j in range(4)))
+    blocks = medians.join(sizes, "og").select("og", "median", rate.alias("_rate"), "id", F.explode(F.sequence(F.lit(0), F.lit((rounds + 3) // 4 - 1))).alias("_block")).withColumn("_digest", digest)
+    each = blocks.select("og", "median", "_rate", F.explode(four).alias("r")).where(F.col("r.rep") < rounds).select("og", "median", "r.rep", drawn(F.col("_rate"), F.col("r.u")).alias("w"))
+    m, w = F.col("median").cast("double"), F.col("w")
+    sums = each.groupBy("og", "rep").agg(F.sum("w").alias("n"), F.sum(w * m).alias("s"), F.sum(w * m * m).alias("q")).where("n > 0")
+    mean = F.col("s") / F.col("n")
+    stats = sums.groupBy("og").agg(F.avg(mean).alias("_mean"), F.avg(F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean))).alias("_deviation"))
+    z = F.when(F.col("_deviation") > 0, (m - F.col("_mean")) / F.col("_deviation")).otherwise(0.0)
+    return medians.join(stats, "og", "left").select("og", "id", m.alias("median"), F.coalesce(z, F.lit(0.0)).alias("z")).withColumn("outlier", F.col("z") >= threshold)
 
 
 def iqr_outliers(medians: DataFrame, threshold: float = 3.0, as_written: bool = False) -> DataFrame:

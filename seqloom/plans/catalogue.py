@@ -597,10 +597,17 @@ def iqr_outliers(spark, sf_dir):
     return families.iqr_outliers(families.row_medians(substrate.families(spark, sf_dir)), 1.5)
 
 
-@query()
+@query(
+    sql("fam", "").rstrip() + ", " + _MED + ", n AS (SELECT og, least(1.0::DOUBLE, 100.0::DOUBLE / count(*)) AS rate FROM medians GROUP BY og), "
+    "u AS (SELECT m.og, median, rate, rep, ('0x' || substr(md5(id || '|' || (rep // 4)), (8 * (rep % 4) + 1)::BIGINT, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM medians m JOIN n ON n.og = m.og, range(100) r(rep)), "
+    "p AS (SELECT rate, k, exp(-rate) * pow(rate, k) / factorial(k::INT)::DOUBLE AS term FROM (SELECT DISTINCT rate FROM n), range(15) r(k)), cdf AS (SELECT rate, list(upto ORDER BY k) AS uptos FROM (SELECT rate, k, sum(term) OVER (PARTITION BY rate ORDER BY k) AS upto FROM p) GROUP BY rate), "
+    "w AS (SELECT og, rep, median, len(list_filter(uptos, lambda x: u >= x)) AS w FROM u JOIN cdf ON cdf.rate = u.rate), s AS (SELECT og, rep, sum(w) AS n, sum(w * median) AS s, sum(w * median * median) AS q FROM w GROUP BY og, rep HAVING sum(w) > 0), "
+    "t AS (SELECT og, avg(s / n) AS mean, avg(sqrt(greatest(0.0::DOUBLE, q / n - (s / n) * (s / n)))) AS dev FROM s GROUP BY og), "
+    "z AS (SELECT medians.og, id, median, coalesce(CASE WHEN dev > 0 THEN (median - mean) / dev END, 0.0::DOUBLE) AS z FROM medians LEFT JOIN t ON t.og = medians.og) SELECT og, id, median, round(z, 6) AS z, z >= 2.0 AS outlier FROM z"
+)
 def bootstrap_outliers(spark, sf_dir):
     """Members far from their family, by resampled mean and deviation."""
-    return families.bootstrap_outliers(families.row_medians(substrate.families(spark, sf_dir)), 2.0)
+    return rounded(families.bootstrap_outliers(families.row_medians(substrate.families(spark, sf_dir)), 2.0), "z")
 
 
 @query(

@@ -21,6 +21,13 @@ def write_table(table: DataFrame, path: str, mode: str = "errorifexists") -> Non
     table.write.mode(mode).option("sep", "\t").csv(path, header=True)
 
 
+def write_report(table: DataFrame, path: str, kind: str, centre: str = "median", mode: str = "errorifexists") -> None:
+    """A result of a module as a report of a kind, with the columns that readers of such files expect."""
+    from ..operators import reports
+
+    write_table(reports.as_report(table, kind, centre), path, mode)
+
+
 def write_six_frames(records: DataFrame, path: str, code: int = 1, mode: str = "errorifexists") -> None:
     """Each record translated in its six frames, as id|RF<n>."""
     from ..functions import sequences

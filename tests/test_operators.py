@@ -97,6 +97,18 @@ def test_bootstrap_is_seeded_and_near_the_plain_scores(spark):
     frame = spark.createDataFrame([("f", k, float(k % 7)) for k in range(60)] + [("f", 99, 90.0)], "og string, id long, median double")
     one, two = ({r["id"]: r["z"] for r in families.bootstrap_outliers(frame).collect()} for _ in range(2))
     assert one == two and max(one, key=one.get) == 99
+    assert one == {r["id"]: r["z"] for r in families.bootstrap_outliers(frame.repartition(7)).collect()}
+    plain = {r["id"]: r["z"] for r in families.zscore_outliers(frame).collect()}
+    assert all(abs(one[k] - plain[k]) < 0.15 * max(1, abs(plain[k])) + 0.4 for k in plain)
+
+
+def test_resamples_are_of_the_stated_size(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(200_000).select((F.md5(F.col("id").cast("string")).substr(1, 8)).alias("h")).select((F.conv("h", 16, 10).cast("double") / float(1 << 32)).alias("u"))
+    for rate in (1.0, 0.2):
+        w = rows.select(families.drawn(F.lit(rate), F.col("u")).alias("w")).agg(F.avg("w"), F.var_pop("w"), F.max("w")).first()
+        assert abs(w[0] - rate) < 0.02 and abs(w[1] - rate) < 0.03 and w[2] >= 3
 
 
 def test_votes(spark):

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.operators import trees
+from seqloom.operators import reports, statistics, text_mining, trees
 from seqloom.plans import modules
 from seqloom.sources import sinks, text_formats as tf
 from seqloom.streaming import ingest
@@ -207,6 +207,29 @@ def test_contam_by_kmers(spark, lineages):
 NEWICK = "(((Tax|a|1|OG1:0.1,Bac|b|1|OG1:0.1):1,(Bac|c|1|OG1:0.1,Bac|d|1|OG1:0.1):1):1,((Euk|e|1|OG1:0.1,Tax|f|1|OG1:0.1):1,(Euk|g|1|OG1:0.1,Dis|h|1|OG1:3):1):1);"
 
 
+def test_reports_have_the_columns_of_the_files(spark, lineages, tmp_path):
+    text = spark.createDataFrame([("OG1", NEWICK)], "tree_id string, newick string")
+    out = modules.contam_by_trees(text, lineages, modules.Contam(taxon="Tax"))
+    sinks.write_report(out["detail"], str(tmp_path / "d"), "tree_detail", "average")
+    rows = {r["Taxon_Sequence"]: r for r in spark.read.option("sep", "\t").csv(str(tmp_path / "d"), header=True).collect()}
+    first = rows["Tax|a|1|OG1"]
+    assert list(first.asDict()) == "Taxon Taxon_Sequence Gene_Family Domain Major_Group Major_Clade Minor_Clade Num_Sister_Taxa Sister_Taxa Sister_Sequences Branch_Length Average_Branch_Length Branch_Length_Evaluation".split()
+    assert (first["Gene_Family"], first["Domain"], first["Sister_Taxa"], first["Sister_Sequences"], first["Branch_Length_Evaluation"]) == ("OG1", "Bacteria", "Bac", "Bac|b|1|OG1", "short")
+    found = modules.select_orthologs(text, lineages, modules.Contam(taxon="Tax"))
+    assert reports.as_report(found["detail"], "ortholog_detail").columns[0] == "Sequence" and reports.as_report(found["selected"], "orthologs").columns == ["Sequence", "Sister_Taxa"]
+    data = spark.createDataFrame([("x|P7", 0, "GTGGCCTGA")], "id string, ord long, seq string")
+    table = spark.createDataFrame([("T|P7", "ref|OG9", 3, 99.0, 1, 3, 1, 3, 1e-30, 50.0, 1, 0)], tf.HIT_COLUMNS + ", ord long")
+    added = modules.add_taxa(data, table, modules.AddTaxa(taxon="T", kind="orfs", subject_cover=0.0))
+    assert reports.as_report(added["statistics"], "statistics").columns == "Sequence Length GC-Content GC1 GC2 GC3 GC12 GC3-4-Fold-Degen Expected-ENc ENc".split()
+    assert reports.as_report(added["names"], "names").collect() == [("x|P7", "T|P7")]
+    codes = modules.predict_genetic_code(spark.createDataFrame([("a", "ATG")], "id string, seq string"), spark.createDataFrame([("a", 1, 3, 1, "M", "M")], "id string, q_from int, q_to int, q_frame int, q_seq string, h_seq string"))
+    assert reports.as_report(codes, "genetic_code").where("Codon = 'ATG'").first()["Predicted-Amino-Acid"] == "M"
+    stops = statistics.stop_rates(data)
+    assert reports.as_report(stops, "stops").columns == "Stop_Codon Counts Total_Codons Frequency_per_1k_Codons".split()
+    members = spark.createDataFrame([("a", "q|1", "E", "S", "M", "N"), ("a", "x|2", "E", "S", "M", "N"), ("a", "y|2", "E", "S", "M", "N")], "cluster string, id string, domain string, supergroup string, major string, minor string")
+    assert reports.as_report(text_mining.by_catch(members, "q|"), "kmer_detail").columns == "Query_Seq Domain Major_Group Major_Clade Minor_Clade Cluster_Seq Cluster_Taxon".split()
+
+
 def test_contam_by_trees_and_orthologs(spark, lineages):
     text = spark.createDataFrame([("OG1", NEWICK), ("OG2", "(Bac|a|1|OG2:1,Bac|b|1|OG2:1);")], "tree_id string, newick string")
     out = modules.contam_by_trees(text, lineages, modules.Contam(taxon="Tax"))
