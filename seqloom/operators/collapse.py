@@ -6,7 +6,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 
-
 def covered(short: str, long: str, identity: float) -> bool:
     """Whether some place of the longer sequence has the whole shorter one with at most (1 - identity) of its letters changed."""
     if short in long:

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import sequences
+from ..sources.staging import staged
 
 
 def kmer_document_frequency(records: DataFrame, k: int = 5) -> DataFrame:
@@ -35,18 +36,83 @@ def tfidf(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -
     return raw.join(norms, ["og", "id"]).select("og", "id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
+#: Points of a block; two blocks of a group at a time are compared in one task.
+BLOCK = 1024
+#: Distances are compared to within this share of the squared lengths before they are worked out term by term.
+NEAR = 1e-9
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of x, rows of y and squared distances of the k nearest of y to each of x within most (squared), and of those that tie with them."""
+    if not len(x) or not len(y):
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+    a, b = (x * x).sum(1), (y * y).sum(1)
+    rough = a[:, None] + b[None] - 2 * x @ y.T
+    slack = NEAR * (a[:, None] + b.max())
+    last = np.partition(rough, min(k, len(y)) - 1, 1)[:, min(k, len(y)) - 1, None]
+    rows, others = np.nonzero((rough <= last + slack) & (rough <= most[:, None] + slack))
+    exact = np.zeros(len(rows))
+    for c in range(x.shape[1]):  # in the order of the components, as a sum over a row has it
+        d = x[rows, c] - y[others, c]
+        exact += d * d
+    return rows, others, exact
+
+
+def _tiles(rows: DataFrame, group: str, k: int) -> DataFrame:
+    """group, id, other, d2: the nearest others of each point of a tile of two blocks, k for each point or a few more that tie."""
+    keys = [group, "_i", "_j"]
+    kinds = dict(rows.dtypes)
+
+    def tile(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for own, other in ((0, 1), (1, 0)) if key[1] != key[2] else ((0, 0),):
+            x, y = pdf[pdf["_side"] == own], pdf[pdf["_side"] == other]
+            if not len(x) or not len(y):
+                continue
+            p, q = (np.array(v["vec"].tolist(), float).reshape(len(v), -1) for v in (x, y))
+            at, to, d2 = _nearest(p, q, x["_most"].to_numpy(float), k + (own == other))
+            found = pd.DataFrame({"id": x["id"].to_numpy()[at], "other": y["id"].to_numpy()[to], "d2": d2})
+            found = found[found["id"] != found["other"]]
+            best = found.sort_values(["id", "d2", "other"]).groupby("id", sort=False).head(k)
+            out.append(best.assign(**{group: key[0]})[[group, "id", "other", "d2"]])
+        return pd.concat(out) if out else pd.DataFrame({group: [], "id": [], "other": [], "d2": []})
+
+    return rows.groupBy(*keys).applyInPandas(tile, f"{group} {kinds[group]}, id {kinds['id']}, other {kinds['id']}, d2 double")
+
+
 def knn_edges(points: DataFrame, k: int = 10, group: str = "label") -> DataFrame:
-    """group, id, other, place: the k nearest other points of a group by Euclidean distance, ties by id.
+    """group, id, other, place, d2: the k nearest other points of a group by Euclidean distance (d2, squared), ties by id.
 
-    Groups of at most k points have no edges. Pairs are of one group only; families are of bounded size by the nature of the data.
+    Groups of at most k points have no edges. A group is cut into blocks of about BLOCK points in the order of their
+    distance to the group's least point. Each block is compared with itself first, which bounds how far the nearest of
+    its points can be; then with the blocks that are near enough by that order to hold a nearer one. A pair of blocks is
+    one task's work and gives k rows a point, so a large group is the work of many tasks, and no pair of points a row.
     """
-    big = points.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(group))).where(F.col("_n") > k).drop("_n")
-    a = big.select(group, F.col("id"), F.col("vec"))
-    b = big.select(group, F.col("id").alias("other"), F.col("vec").alias("other_vec"))
-    square = F.aggregate(F.zip_with("vec", "other_vec", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    pairs = a.join(b, group).where("id != other").withColumn("d2", square)
+    own = points.where(F.col(group).isNotNull()).select(group, "id", "vec")
+    sizes = own.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min_by("vec", "id").alias("_from")).where(F.col("_n") > k)
+    far = F.sqrt(F.aggregate(F.zip_with("vec", "_from", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    placed = staged(own.join(sizes, group).select(group, "id", "vec", "_n", far.alias("_far")), "knn-points")
+    # The distances at which blocks end: quantiles, so a block has about as many points as another.
+    ends = placed.groupBy(group).agg(F.max("_n").alias("_n"), F.percentile_approx("_far", F.array(*(F.lit((c + 1) / 64) for c in range(63))), F.lit(10_000)).alias("_ends"))
+    rings = F.least(F.lit(64), F.ceil(F.col("_n") / BLOCK))
+    coarse = F.floor(F.size(F.filter("_ends", lambda e: e < F.col("_far"))) * rings / 64)
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("_n") / (64 * BLOCK)).cast("int"))
+    cut = placed.drop("_n").join(ends, group).withColumn("_block", F.when(F.col("_n") <= BLOCK, 0).otherwise(coarse * blocks + F.pmod(F.xxhash64("id"), blocks)).cast("int"))
+    cut = staged(cut.select(group, "id", "vec", "_far", "_block"), "knn-blocks")
+    alone = cut.select(group, F.col("_block").alias("_i"), F.col("_block").alias("_j"), "id", "vec", F.lit(0).alias("_side"), F.lit(float("inf")).alias("_most"))
+    first = staged(_tiles(alone, group, k), "knn-own")
+    bound = first.groupBy(group, "id").agg(F.when(F.count(F.lit(1)) >= k, F.max("d2")).alias("_most"))
+    known = staged(cut.join(bound, [group, "id"], "left").withColumn("_most", F.coalesce("_most", F.lit(float("inf")))), "knn-bounds")
+    # What two blocks need at least: how far apart their distances to the least point are. One row a block.
+    shape = known.groupBy(group, "_block").agg(F.min("_far").alias("lo"), F.max("_far").alias("hi"), F.max("_most").alias("most"))
+    a, b = (shape.select(group, *(F.col(c).alias(f"{c}_{side}") for c in ("_block", "lo", "hi", "most"))) for side in "ab")
+    gap = F.greatest(F.lit(0.0), F.col("lo_a") - F.col("hi_b"), F.col("lo_b") - F.col("hi_a"))
+    near = a.join(b, group).where((F.col("_block_a") < F.col("_block_b")) & (gap * gap * (1 - NEAR) <= F.greatest("most_a", "most_b"))).select(group, F.col("_block_a").alias("_i"), F.col("_block_b").alias("_j"))
+    sides = near.select(group, F.col("_i").alias("_block"), "_i", "_j", F.lit(0).alias("_side")).unionByName(near.select(group, F.col("_j").alias("_block"), "_i", "_j", F.lit(1).alias("_side")))
+    others = _tiles(known.join(sides, [group, "_block"]).select(group, "_i", "_j", "id", "vec", "_side", "_most"), group, k)
+    every = first.unionByName(others)
     order = Window.partitionBy(group, "id").orderBy("d2", "other")
-    return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(group, "id", "other", "place", "d2")
+    return every.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(group, "id", "other", "place", "d2")
 
 
 def text_neighbours(weights: DataFrame, members: DataFrame, k: int = 10) -> DataFrame:

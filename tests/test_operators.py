@@ -111,6 +111,26 @@ def test_resamples_are_of_the_stated_size(spark):
         assert abs(w[0] - rate) < 0.02 and abs(w[1] - rate) < 0.03 and w[2] >= 3
 
 
+@pytest.mark.parametrize("block", [4, 1024])
+def test_nearest_points_equal_all_pairs(spark, monkeypatch, block):
+    """Groups of one point to two hundred, with equal points, ties, points without a group and rows in one dimension."""
+    import numpy as np
+
+    monkeypatch.setattr(text_mining, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    rows = [(int(g), k * 7 % 1009, [float(x) for x in v]) for g, n in ((0, 200), (1, 12), (2, 4), (3, 1), (4, 90)) for k, v in enumerate(rng.integers(0, 3, (n, 3)) if g == 4 else rng.normal(size=(n, 3)) * (1 + 50 * (g == 1)))]
+    rows += [(None, 5000 + k, [0.0, 0.0, 0.0]) for k in range(9)]
+    frame = spark.createDataFrame(rows, "label int, id long, vec array<double>")
+    want = set()
+    for g, i, x in rows:
+        others = [(sum((p - q) * (p - q) for p, q in zip(x, y)), j) for h, j, y in rows if h == g and j != i]
+        if g is not None and len(others) + 1 > 5:
+            want |= {(g, i, j, place) for place, (_, j) in enumerate(sorted(others)[:5], 1)}
+    assert {tuple(r)[:4] for r in text_mining.knn_edges(frame, 5).collect()} == want
+    single = frame.withColumn("vec", F.slice("vec", 1, 1))
+    assert text_mining.knn_edges(single, 5).count() == len(want)
+
+
 def test_votes(spark):
     schema = "cluster int, id string, domain string, supergroup string, major string, minor string"
     frame = spark.createDataFrame([(1, str(k), x, y, "m", "n") for k, (x, y) in enumerate(zip("AAABB", "AAAAB"))], schema)
