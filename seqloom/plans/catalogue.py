@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import names, sequences
-from ..operators import collapse, families, genetic_code, hits, profiles, records, reports, search, statistics, taxonomy, text_mining, trees
+from ..operators import collapse, containment, families, genetic_code, hits, profiles, records, reports, search, statistics, taxonomy, text_mining, trees
 from ..sources import staging, text_formats
 from . import substrate
 from .substrate import sql
@@ -538,6 +538,14 @@ def homology_hits(spark, sf_dir):
     return found.select(F.col("qseqid").cast("long").alias("item_id"), F.col("sseqid").cast("long").alias("doc_id"), "length", F.round("pident", 4).alias("pident"), "qstart", "qend", "sstart", "send", "bitscore")
 
 
+@query()
+def genes_in_records(spark, sf_dir):
+    """Sequences of documents that hold a passage of the benchmark, the passages being the genes of four sets."""
+    passage = substrate.table(spark, sf_dir, "benchmark").select(F.concat(F.lit("set"), (F.col("item_id") % 4).cast("string")).alias("kingdom"), F.col("item_id").alias("id"), substrate.sequence_of(F.col("text"), substrate.NT_TARGET).alias("seq"))
+    found = containment.contained(substrate.nt(spark, sf_dir).select(F.col("doc_id").alias("id"), "seq"), passage, containment.Containment(k=21, share=0.5))
+    return rounded(found.withColumnsRenamed({"id": "doc_id", "reference": "item_id"}), "share")
+
+
 @query()
 def profile_hits(spark, sf_dir):
     """Peptides that the profile of a family's longest member finds."""
