@@ -1,8 +1,10 @@
 """Secret scan through nested encodings.
 
 A worklist starts with the text itself. Each layer is scanned with all patterns; then its URL and Unicode escapes are
-undone in place (one new layer), and what each run of base64 decodes to, wrapped in lines or not, becomes layers of its
-own, as do gzip and zlib streams in it or in escaped bytes. Bytes that aren't UTF-8 are read as Latin-1. That repeats until
+undone in place (one new layer, and one with plus signs as spaces where a text is URL-encoded), and what each run of
+base64 decodes to, wrapped in lines or not and from any of its first four characters on, as something may be glued to it,
+becomes layers of its own, as do gzip, zlib, bz2, xz and raw deflate streams in it, and gzip and zlib ones in escaped bytes.
+Bytes are read as UTF-8, or UTF-16 or 32 if they look like it, or else as Latin-1. That repeats until
 nothing new comes up; layers already seen are left out, so cycles end. Every layer has a map from its characters to the
 code points of the text, so each find is told as a span of the text.
 """
@@ -11,7 +13,10 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import hashlib
+import html
+import lzma
 import re
 import zlib
 from collections import Counter
@@ -30,7 +35,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 and more
 KINDS = ("assign", "access", "hex")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
-ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|\\u[0-9A-Fa-f]{4}(?:\\u[0-9A-Fa-f]{4})*|\\x[0-9A-Fa-f]{2}(?:\\x[0-9A-Fa-f]{2})*|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+ESCAPE = re.compile(
+    r"(?:%[0-9A-Fa-f]{2})+|(?:%u[0-9A-Fa-f]{4})+|\\u[0-9A-Fa-f]{4}(?:\\u[0-9A-Fa-f]{4})*|\\x[0-9A-Fa-f]{2}(?:\\x[0-9A-Fa-f]{2})*|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\[0-3][0-7]{2})+|\\[/\"]"
+    r"|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});?|&[A-Za-z][A-Za-z0-9]{1,30};"
+)
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Lines of base64 that follow each other.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
@@ -42,7 +50,8 @@ QUOTED = re.compile(r"(?:\\x1[fF]\\x8[bB]|(?:x|\\x78)(?:\\x01|\^|\\x5[eE]|\\x9[c
 PERCENT_BYTE = re.compile(r"%([0-9A-Fa-f]{2})()")
 QUOTED_BYTE = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|([\\'\"nrtabfv0]))")
 PLAIN = dict(zip("nrtabfv0", "\n\r\t\a\b\f\v\0", strict=True))
-GZIP = b"\x1f\x8b"
+GZIP, BZIP, XZ = b"\x1f\x8b", b"BZh", b"\xfd7zXZ\0"
+HEADER = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
 #: Bytes that are unpacked at a time; they give about a thousand times as many at most.
 STEP = 1 << 10
 #: What a compressed stream unpacks to beyond so many bytes is scanned in pieces, each with the last OVERLAP bytes of the one before;
@@ -63,13 +72,22 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 def undone(match: str) -> str | None:
     """The characters of a run of escapes; None if it stands for none."""
     try:
+        if match[:2] == "%u":
+            return bytes.fromhex(match.replace("%u", "")).decode("utf-16-be", "surrogatepass")
         if match[0] == "%":
             return as_text(bytes.fromhex(match.replace("%", "")))
-        if match[0] == "&":
-            n = int(match[3:-1], 16) if match[2] in "xX" else int(match[2:-1])
+        if match[0] == "&" and match[1] != "#":
+            return new if (new := html.unescape(match)) != match else None
+        if match[0] == "&" or match[1] in "U{" or match[:3] == "\\u{":
+            digits = match.strip("&#;\\uU{}")
+            n = int(digits.lstrip("xX"), 16) if match[0] != "&" or digits[0] in "xX" else int(digits)
             return chr(n) if n and n < 0x110000 and not 0xD800 <= n < 0xE000 else None
         if match[1] == "x":
             return as_text(bytes.fromhex(match.replace("\\x", "")))
+        if match[1] in '/"':
+            return match[1]
+        if match[1].isdigit():
+            return as_text(bytes(int(x, 8) for x in match[1:].split("\\")))
         units = bytes.fromhex(match.replace("\\u", ""))
         return units.decode("utf-16-be", "surrogatepass")
     except (UnicodeDecodeError, ValueError):
@@ -84,16 +102,58 @@ def is_utf8(data: bytes) -> bool:
     return True
 
 
+def wide_encoding(data: bytes) -> str | None:
+    """UTF-16 or UTF-32 if bytes begin with its mark or have their zeros where it has them."""
+    for mark, name in ((b"\xff\xfe\0\0", "utf-32"), (b"\0\0\xfe\xff", "utf-32"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+        if data.startswith(mark):
+            return name
+    if len(data) < 8 or 0 not in data:
+        return None
+    zeros = [data[k::4].count(0) * 4 / len(data) for k in range(4)]
+    for name, places in (("utf-32-le", (1, 2, 3)), ("utf-32-be", (0, 1, 2)), ("utf-16-le", (1, 3)), ("utf-16-be", (0, 2))):
+        if all((zeros[k] > 0.7) == (k in places) for k in range(4)):
+            return name
+    return None
+
+
 def as_text(data: bytes) -> str:
+    if wide := wide_encoding(data):
+        return data[: len(data) // 4 * 4 if "32" in wide else len(data) // 2 * 2].decode(wide, "replace")
     return data.decode("utf-8" if is_utf8(data) else "latin-1")
 
 
 def has_header(data: bytes, at: int) -> bool:
-    return data.startswith(GZIP, at) or (len(data) > at + 2 and data[at] == 0x78 and (0x7800 + data[at + 1]) % 31 == 0)
+    return data.startswith((GZIP, BZIP, XZ), at) or (len(data) > at + 2 and data[at] == 0x78 and (0x7800 + data[at + 1]) % 31 == 0)
+
+
+def next_header(data: bytes, at: int) -> int:
+    """Where the next header of a stream is from a place on, or the end."""
+    return next((m.start() for m in HEADER.finditer(data, at) if has_header(data, m.start())), len(data))
+
+
+def reader_at(data: bytes, at: int):
+    if data.startswith(BZIP, at):
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data.startswith(XZ, at) else zlib.decompressobj(47)
+
+
+def inflated(data: bytes, most: int) -> bytes | None:
+    """What bytes without a header stand for as a raw deflate stream, if they are one to the end and give text."""
+    stream, held = zlib.decompressobj(-15), bytearray()
+    try:
+        for at in range(0, len(data), STEP):
+            held += stream.decompress(data[at : at + STEP])
+            if stream.eof or len(held) > most:
+                break
+            if at == 0 and held and not is_utf8(bytes(held[: max(1, len(held) - 4)])):
+                return None
+    except zlib.error:
+        return None
+    return bytes(held) if stream.eof and not stream.unused_data and len(held) > 8 and is_utf8(bytes(held)) else None
 
 
 def unpacked(data: bytes, most: int, tally: Counter, rest: bool = True) -> Iterator[tuple[bytes, int]]:
-    """Contents of the gzip and zlib streams in data, those that follow each other together, and the bytes around them; and where each ends.
+    """Contents of the compressed streams in data, those that follow each other together, and the bytes around them; and where each ends.
 
     rest: whether bytes that are in no stream count. What is longer than `most` comes in overlapping pieces and is counted in tally.
     """
@@ -101,7 +161,7 @@ def unpacked(data: bytes, most: int, tally: Counter, rest: bool = True) -> Itera
     while at < len(data):
         begin, held, large = at, bytearray(), False
         while has_header(data, at):
-            stream, to = zlib.decompressobj(47), at
+            stream, to = reader_at(data, at), at
             try:
                 while to < len(data) and not stream.eof:
                     held += stream.decompress(data[to : to + STEP])
@@ -111,15 +171,15 @@ def unpacked(data: bytes, most: int, tally: Counter, rest: bool = True) -> Itera
                         large = True
                         yield bytes(held), to
                         del held[: -min(OVERLAP, most // 2)]
-                held += stream.flush()
-            except zlib.error:
+                if hasattr(stream, "flush"):
+                    held += stream.flush()
+            except (zlib.error, OSError, EOFError, lzma.LZMAError):
                 break
             at = to - len(stream.unused_data)
         if held:
             yield bytes(held), at
         if at == begin or at < len(data):  # what is no stream, up to the next one
-            to = data.find(GZIP, at + 1)
-            to = len(data) if to < 0 else to
+            to = next_header(data, at + 1)
             if rest and data[at:to].strip(b"\0"):
                 yield data[at:to], to
             at = to
@@ -181,11 +241,12 @@ class Layer:
             return self.within
         return (a, b) if self.starts is None else (int(self.starts[a]), int(self.ends[b - 1]))
 
-    def unescaped(self) -> Layer | None:
+    def unescaped(self, plus: str = "+") -> Layer | None:
+        """With the escapes undone; plus: what a plus sign stands for."""
         pieces, starts, ends, at = [], [], [], 0
 
         def plain(a: int, b: int) -> None:
-            pieces.append(self.text[a:b])
+            pieces.append(self.text[a:b].replace("+", plus))
             if self.within is None:
                 starts.append(np.arange(a, b) if self.starts is None else self.starts[a:b])
                 ends.append(np.arange(a + 1, b + 1) if self.ends is None else self.ends[a:b])
@@ -211,9 +272,18 @@ class Layer:
         """The layers in this one; streams that come in pieces are counted in tally."""
         if (new := self.unescaped()) is not None and new.text:
             yield new
+            if "+" in self.text and "%" in self.text and (spaced := self.unescaped(" ")) is not None:
+                yield spaced
         for m in BASE64.finditer(self.text):
-            if data := from_base64(m[0]):
-                yield from (Layer(t, within=self.span(m.start(), m.end())) for t, _ in unpacked(data, most, tally))
+            for skip in range(min(4, len(m[0]) - LEAST_BASE64 + 4)):
+                if data := from_base64(m[0][skip:]):
+                    span = self.span(m.start() + skip, m.end())
+                    for t, _ in unpacked(data, most, tally):
+                        layer = Layer(t, within=span)
+                        layer.odd |= skip > 0  # most runs start where they stand
+                        yield layer
+                    if not has_header(data, 0) and not is_utf8(data) and (plain := inflated(data, most)):
+                        yield Layer(plain, within=span)
         for m in WRAPPED.finditer(self.text):
             if m.end() - m.start() >= LEAST_BASE64:
                 lines = [(m.start() + x.start(), m.start() + x.end()) for x in RUN.finditer(m[0])]
@@ -230,7 +300,7 @@ class Layer:
         data = from_base64("".join(self.text[a:b] for a, b in lines))
         if not data:
             return
-        if has_header(data, 0) or GZIP in data:
+        if next_header(data, 0) < len(data) or wide_encoding(data):
             yield from (Layer(t, within=self.span(lines[0][0], lines[-1][1])) for t, _ in unpacked(data, most, tally))
             return
         text = as_text(data)

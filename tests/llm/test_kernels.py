@@ -375,3 +375,52 @@ def test_archives_are_read_in_chunks_with_running_digests():
     with pytest.raises(EOFError):
         list(warc.chunks(io.BytesIO(warc.head("response", 1, "u", "d", 9, 9, None) + b"abc")))
     assert re.search(b"http://x/ y", warc.head("response", 3, "http://x/\r\ny", "", 0, 0, None))
+
+
+def _packed(kind, data):
+    import bz2
+    import gzip
+    import lzma
+
+    if kind == "raw":
+        raw = zlib.compressobj(9, zlib.DEFLATED, -15)
+        return raw.compress(data) + raw.flush()
+    return {"bz2": bz2.compress, "xz": lzma.compress, "gzip": gzip.compress, "zlib": zlib.compress}[kind](data)
+
+
+SAID = "password = hunter2secret99 and more of it "
+base64_text = lambda data: base64.b64encode(data).decode()
+LAYERS = {
+    **{e: base64_text(SAID.encode(e)) for e in ("utf-16-le", "utf-16-be", "utf-16", "utf-32-le", "utf-32-be", "utf-32")},
+    **{k: base64_text(_packed(k, SAID.encode() * 3)) for k in ("raw", "bz2", "xz", "gzip", "zlib")},
+    "zlib after a prefix": base64_text(b"head\0\1" + zlib.compress(SAID.encode())),
+    "two streams of two kinds": base64_text(_packed("bz2", b"nothing") + b"--" + _packed("xz", SAID.encode())),
+    "glued by 1": "x" + base64_text(SAID.encode()),
+    "glued by 2": "ab" + base64_text(SAID.encode()),
+    "glued by 3": "abc" + base64_text(SAID.encode()),
+    "glued by a path": "data/" + base64_text(SAID.encode()),
+    "slashes of JSON": base64_text(b"??>>??~~" + SAID.encode()).replace("/", "\\/"),
+    "braces": "".join(f"\\u{{{ord(c):x}}}" for c in SAID),
+    "eight digits": "".join(f"\\U{ord(c):08x}" for c in SAID),
+    "octal": "".join(f"\\{ord(c):03o}" for c in SAID),
+    "percent u": "".join(f"%u{ord(c):04x}" for c in SAID),
+    "named entities": "password&equals;hunter2secret99",
+    "entities without semicolon": "password&#61hunter2secret99",
+    "a form": "password+%3D+hunter2secret99",
+    "bz2 in base64 in base64": base64_text(("x " + base64_text(_packed("bz2", SAID.encode()))).encode()),
+}
+
+
+@pytest.mark.parametrize("name", sorted(LAYERS))
+def test_layers_are_unwrapped(name):
+    text = f"see {LAYERS[name]} there"
+    base, every, layers, _ = secrets.find(text)
+    assert not [x for x in base if "hunter2" in text[x[0] : x[1]]] or "hunter2" in LAYERS[name]
+    assert layers > 1 and any(k == 0 and 4 <= a < b <= len(text) - 6 for a, b, k in every)
+
+
+def test_bytes_that_are_no_stream_give_no_finds():
+    rng = random.Random(2)
+    for n in (20, 300, 5000):
+        text = base64_text(rng.randbytes(n)) + " " + base64_text(b"BZh9" + rng.randbytes(n)) + " " + base64_text(b"\xfd7zXZ\0" + rng.randbytes(n)) + " " + base64_text(b"\x78\x9c" + rng.randbytes(n))
+        assert secrets.find(text)[1] == secrets.find(text)[0]
