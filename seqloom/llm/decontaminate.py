@@ -278,7 +278,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no test item; decided row by row, without a shuffle."""
+    """The rows of docs, with all their columns, that hold no test item; decided row by row, without a shuffle.
+
+    Null and empty texts hold none, null and empty items are in none; equal rows share their fate and each stays.
+    """
     spark = docs.sparkSession
     for index in indexes(benchmark):
         sent = spark.sparkContext.broadcast(index)

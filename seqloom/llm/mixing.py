@@ -157,7 +157,7 @@ def calibrate(cells: DataFrame, targets: dict[str, dict] | None = None, budget:
 
 
 def described(docs: DataFrame) -> list[Column]:
-    """The dimensions and tokens of a row with text, source and lang; a null source or language is a value of its own, an empty text."""
+    """The dimensions and tokens of a row with text, source and lang; a null source or language counts as an empty one."""
     return [
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("lang", F.lit("")).alias("lang"),
@@ -187,7 +187,7 @@ def mix(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float =
 
 
 def keep_sampled(docs: DataFrame, targets: dict[str, dict] | None = None, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
-    """The sampled rows of docs, with all their columns."""
+    """The sampled rows of docs, with all their columns; rows without tokens stay, and rows of one doc_id in one cell share their fate."""
     cells = fitted_cells(docs.select(*described(docs)), targets, budget).select(*DIMENSIONS, "prob")
     # All columns of docs travel as one, so none can be taken for one of the operator's own.
     rows = docs.select(F.struct("*").alias("row"), *described(docs)[: len(DIMENSIONS)])
@@ -197,8 +197,8 @@ def keep_sampled(docs: DataFrame, targets: dict[str, dict] | None = None, budget
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """Sampling probability of every document at the default targets and a budget of half of all tokens.
 
-    Null texts are empty: they have no tokens, weigh nothing and are kept. Null sources and languages are a value
-    of their own. Rows repeated with one doc_id, and all rows without one, share their fate if they share a cell. Cells
+    Null texts are empty: they have no tokens, weigh nothing and are kept. Null sources and languages count as
+    empty ones. Rows repeated with one doc_id, and all rows without one, share their fate if they share a cell. Cells
     tie in nothing: each has its own weight. Very long texts count with all their words, as one row. An empty table
     gives none. Other columns are never read.
     """

@@ -229,7 +229,7 @@ def read_documents(spark, manifest: list[dict]) -> DataFrame:
 
 
 def encode_corpus(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Writes the shards of docs and reads every document back from them."""
+    """Writes the shards of docs (doc_id, text) and reads every document back from them; a null text counts as an empty one."""
     return read_documents(docs.sparkSession, write_shards(docs, vocabulary))
 
 

@@ -220,7 +220,10 @@ def labelled(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_harmless(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is below the threshold; decided row by row, without a shuffle."""
+    """The rows of docs, with all their columns, whose score is below the threshold; decided row by row, without a shuffle.
+
+    A null text counts as an empty one; equal rows share their fate and each stays.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

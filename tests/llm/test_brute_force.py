@@ -269,3 +269,47 @@ def test_equal_sketches_are_alike_and_an_empty_one_is_like_no_other(spark, tmp_p
             elif not own or not other:
                 assert near == 0
     assert got[1]["near_next"] == 1  # two texts without words
+
+
+def test_a_sample_takes_one_text_of_a_key_and_its_value(spark, monkeypatch):
+    from seqloom.llm import common
+
+    rows = [(1, "en", "an english text"), (1, "fr", "un texte"), (1, None, "no language"), (2, "en", "b"), (2, "en", "a"), (None, "en", "x"), (3, "fr", None), (4, "fr", "y" * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    many = docs.union(spark.range(100_000).selectExpr("5L", "'en'", "concat('again ', cast(id % 7 as string))"))
+    got = common.bounded_sample(many.where("text is not null"), many, "doc_id", "lang", 10, of_value=True)
+    assert [x[:2] for x in got] == [("en", 1), ("en", 2), ("en", 5), ("fr", 1), ("fr", 4)]
+    assert dict((x[:2], x[2]) for x in got)["en", 1] == "an english text" and dict((x[:2], x[2]) for x in got)["fr", 1] == "un texte"
+    assert got == common.bounded_sample(many.repartition(9).where("text is not null"), many.repartition(5), "doc_id", "lang", 10, of_value=True)
+    monkeypatch.setattr(common, "TEXT_CHARS", 40)
+    assert [x[:2] for x in common.bounded_sample(docs, docs, "doc_id", "lang", 10, of_value=True)] == [("en", 1), ("en", 2), ("fr", 1)]
+    monkeypatch.setattr(common, "SAMPLE_CHARS", 15)
+    assert sum(len(x[2]) for x in common.bounded_sample(docs, docs, "doc_id", "lang", 10, of_value=True) if x[0] == "en") <= 15
+
+
+def test_long_words_are_learnt_from():
+    """The sums from both ends of a long word give the expectations that the table of a short one gives."""
+    pieces = ["<unk>", "▁", "a", "b", "ab", "▁a", "bab"]
+    model = language_id.PieceModel(pieces, ["x"])
+    probs = np.array([[0.1], [0.1], [0.2], [0.2], [0.2], [0.1], [0.1]])
+    table = model._scaled(probs)
+    for word in ("▁ab", "▁ababcab", "▁bb"):
+        expected = np.zeros(len(pieces) + 1)
+        model.expect_long(word, table[:, 0], 2.0, expected)
+        want, total = np.zeros(len(pieces) + 1), 0.0
+
+        def go(at, used, p):
+            nonlocal total
+            if at == len(word):
+                total += p
+                want[:] += p * np.bincount(used, minlength=len(want))
+                return
+            for size in range(1, model.most + 1):
+                row = model.index.get(word[at : at + size], 1 if size == 1 else None) if at + size <= len(word) else None
+                if row is not None:
+                    go(at + size, [*used, row], p * table[row, 0])
+
+        go(0, [], 1.0)
+        assert np.allclose(expected, 2 * want / total)
+    learnt = language_id.train({"x": ["a" * 60 + " " + "a" * 60], "y": ["b" * 60]}, pieces)
+    assert learnt.predict(["a" * 55])[0][0] == "x" and learnt.predict(["b" * 70])[0][0] == "y"
