@@ -56,12 +56,16 @@ def small(spark, tmp_path_factory):
     big = "<p>" + "page é " * 300 + "</p>"
     pages = [(k, f"http://h/{k}", big) for k in (1, 5, 3)] + [(2, None, None), (4, "u", ""), (6, "u", "short"), (7, "u", "short"), (8, "u", "y" * 1000), (9, "v", "y" * 1000), (9, "v", "y" * 1000), (10, "w", "z" * 600_000), (11, "a\nb", "é" * 499)]
     spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string").write.parquet(f"{folder}/pages.parquet")
+    rng = random.Random(4)
+    vectors = [(k, [rng.gauss(0, 1) for _ in range(16)], k % 3) for k in range(20)]
+    vectors += [(20, vectors[0][1], None), (21, [2 * x for x in vectors[1][1]], 1), (22, None, 1), (23, [0.0] * 16, 2), (24, [float("nan")] * 16, 2), (None, vectors[2][1], 0), vectors[3]]
+    spark.createDataFrame([(*v, "x", "x") for v in vectors], "vec_id long, embedding array<float>, label int, code string, node string").write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory, small):
     folder = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{small}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
