@@ -4,16 +4,62 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import sequences
 from ..sources.staging import staged
 
 
+#: K-mers that a task holds before it hands their counts on.
+HELD = 2_000_000
+
+
+def packed_kmers(seq: str, k: int) -> np.ndarray:
+    """The distinct k-mers of an ASCII text, each as a number whose bytes are its letters; k is 8 at most."""
+    letters = np.frombuffer(seq.encode("ascii"), np.uint8).astype(np.uint64)
+    n = len(letters) - k + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    for i in range(k):
+        out = (out << np.uint64(8)) | letters[i : i + n]
+    return np.unique(out)
+
+
 def kmer_document_frequency(records: DataFrame, k: int = 5) -> DataFrame:
-    """og, kmer and in how many records of the family it is."""
-    terms = records.select("og", F.explode(F.array_distinct(sequences.kmers(F.col("seq"), k))).alias("kmer"))
-    return terms.groupBy("og", "kmer").agg(F.count(F.lit(1)).alias("df"))
+    """og, kmer and in how many records of the family it is.
+
+    Each task counts what it has read, so a family's k-mers leave it once for every HELD of them and not once a record.
+    Longer k-mers than of eight letters, and texts of other letters than ASCII, are counted record by record.
+    """
+    rows = records.where("seq is not null").select("og", "seq")
+    small = F.lit(k <= 8) & ~F.col("seq").rlike(r"[^\x00-\x7F]|\n")
+    plain = rows.where(~small).select("og", F.explode(F.array_distinct(sequences.kmers(F.col("seq"), k))).alias("kmer"), F.lit(1).cast("long").alias("n"))
+
+    def run(batches):
+        held: dict = {}
+        kind, size = None, 0
+
+        def counts():
+            for og, parts in held.items():
+                kmers, n = np.unique(np.concatenate(parts), return_counts=True)
+                letters = np.ascontiguousarray(kmers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - k :]).view(f"S{k}").ravel()
+                yield pa.RecordBatch.from_arrays([pa.array([og], kind).take(pa.array(np.zeros(len(n), np.int64))), pa.array(letters.astype(object), pa.binary()).cast(pa.string()), pa.array(n)], names=["og", "kmer", "n"])
+
+        for batch in batches:
+            kind = batch.schema.field("og").type
+            for og, seq in zip(batch.column("og").to_pylist(), batch.column("seq"), strict=True):
+                found = packed_kmers(seq.as_py(), k)
+                held.setdefault(og, []).append(found)
+                size += len(found)
+                if size >= HELD:
+                    yield from counts()
+                    held, size = {}, 0
+        yield from counts()
+
+    counted = rows.where(small).mapInArrow(run, f"og {dict(rows.dtypes)['og']}, kmer string, n long") if k <= 8 else rows.where("false").selectExpr("og", "'' AS kmer", "0L AS n")
+    return counted.unionByName(plain).groupBy("og", "kmer").agg(F.sum("n").alias("df"))
 
 
 def tfidf(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -> DataFrame:

@@ -131,6 +131,21 @@ def test_nearest_points_equal_all_pairs(spark, monkeypatch, block):
     assert text_mining.knn_edges(single, 5).count() == len(want)
 
 
+@pytest.mark.parametrize("k", [1, 5, 8, 9])
+def test_kmer_counts(spark, monkeypatch, k):
+    rng = random.Random(k)
+    rows = [(rng.choice(["g", "h", None]), "".join(rng.choice("ACD*") for _ in range(rng.randrange(0, 60)))) for _ in range(80)] + [("g", None), ("g", "MÄRZÄRZÄMÄRZ"), ("h", "A\nCDACDACDACDA")]
+    want = {}
+    for og, seq in rows:
+        for x in {seq[i : i + k] for i in range(len(seq or "") - k + 1)} if seq else ():
+            if "\n" not in x:
+                want[og, x] = want.get((og, x), 0) + 1
+    frame = spark.createDataFrame(rows, "og string, seq string")
+    for held in (50, 10**6):
+        monkeypatch.setattr(text_mining, "HELD", held)
+        assert {(r["og"], r["kmer"]): r["df"] for r in text_mining.kmer_document_frequency(frame, k).collect()} == want
+
+
 def test_votes(spark):
     schema = "cluster int, id string, domain string, supergroup string, major string, minor string"
     frame = spark.createDataFrame([(1, str(k), x, y, "m", "n") for k, (x, y) in enumerate(zip("AAABB", "AAAAB"))], schema)
