@@ -33,9 +33,12 @@ def text_pairs(texts: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("seq"), F.col("_blocks")).cast("int")
     rows = texts.join(sizes, "og").select("og", block.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"), F.struct(*(c for c in texts.columns if c != "og")).alias("t"))
     rows = rows.select("og", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "t")
-    a = rows.where("_own = _lo").select("og", "_lo", "_hi", F.col("t").alias("x"))
-    b = rows.where("_own = _hi").select("og", "_lo", "_hi", F.col("t").alias("y"))
-    met = a.join(b, ["og", "_lo", "_hi"]).where((F.col("_lo") < F.col("_hi")) | (F.col("x.seq") < F.col("y.seq")))
+    # Few bytes and much work: dealt by pair of blocks to a stated number of tasks, which adaptive execution leaves apart.
+    keys = ["og", "_lo", "_hi"]
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), texts.sparkSession.sparkContext.defaultParallelism)
+    a = rows.where("_own = _lo").select(*keys, F.col("t").alias("x")).repartition(tasks, *keys)
+    b = rows.where("_own = _hi").select(*keys, F.col("t").alias("y")).repartition(tasks, *keys)
+    met = a.join(b.hint("shuffle_hash"), keys).where((F.col("_lo") < F.col("_hi")) | (F.col("x.seq") < F.col("y.seq")))
     first = F.col("x.seq") < F.col("y.seq")
     return met.select("og", F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"), F.levenshtein("x.seq", "y.seq").alias("d"))
 

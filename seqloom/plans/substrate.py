@@ -14,6 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes for each core below which an input is dealt out anew.
+SMALL = 64 << 20
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a small input dealt out to all cores, as a file of one row group is one task's work however it is split; those of a large one as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size <= cores * SMALL else rows
+
+
 def sequence_of(text, target: str):
     return F.translate(F.regexp_replace(F.lower(text), "[^a-z]", ""), LETTERS, target)
 
@@ -30,12 +41,12 @@ def records_of(docs: DataFrame, target: str) -> DataFrame:
 
 def nt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nucleotide records: doc_id, ord, id (lang|source|doc_id|OG_n), taxon, og, seq."""
-    return records_of(table(spark, sf_dir, "documents"), NT_TARGET)
+    return records_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")), NT_TARGET)
 
 
 def aa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peptide records with the same columns."""
-    return records_of(table(spark, sf_dir, "documents"), AA_TARGET)
+    return records_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")), AA_TARGET)
 
 
 def families(spark: SparkSession, sf_dir: str) -> DataFrame:
