@@ -1,7 +1,7 @@
 """The modules as functions: inputs are DataFrames (or paths of the sources), results are named DataFrames.
 
-Hits, profile hits and trees come from files that search, alignment and tree programs have written; these programs are
-outside of this library.
+Hits, profile hits and trees come from the library's own searches (operators search, profiles, placing) or from files that
+other programs have written.
 """
 
 from __future__ import annotations
