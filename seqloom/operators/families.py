@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.staging import staged
 from .text_mining import knn_edges
 
 
@@ -19,28 +23,97 @@ def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre
     return kept.join(left, "og", "left_semi")
 
 
-#: Texts of a family are dealt to blocks of about so many; two blocks at a time meet in one task.
-BLOCK = 300
-
-
-def text_pairs(texts: DataFrame) -> DataFrame:
-    """og, a, b (each a struct of the other columns of texts) and the edit distance d of each two distinct texts of a family, a < b by seq.
-
-    texts: og, seq and other columns, a row for each distinct text. Each pair of blocks of a family is a key of its own,
-    so a large family is the work of many tasks; a text goes to as many keys as its family has blocks.
+#: Texts of a family are dealt to blocks of about so many; two blocks at a time meet in one task. Where pairs aren't rows, blocks are WIDER times as large.
+BLOCK = 512
+WIDER = 8
+#: Pairs of texts whose distances are worked out at once.
+AT_ONCE = 1 << 15
+
+
+def edit_distances(x: list[str], y: list[str]) -> np.ndarray:
+    """Edit distance of each text of x to each of y, by code points: columns of differences as bits (Myers 1999), for all pairs side by side."""
+    points = [np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32) for s in (*x, *y)]
+    letters = np.unique(np.concatenate(points)) if points else np.zeros(0, np.uint32)
+    codes = [np.searchsorted(letters, p) for p in points]
+    # Long texts first, so those that still have letters are the first ones at every column.
+    xs, ys = (sorted(range(len(t)), key=lambda i, t=t: -len(t[i])) for t in (codes[: len(x)], codes[len(x) :]))
+    lengths = np.array([len(codes[len(x) + j]) for j in ys], np.int64)
+    columns = np.zeros((int(lengths.max(initial=0)), len(y)), np.int64)
+    for at, j in enumerate(ys):
+        columns[: lengths[at], at] = codes[len(x) + j]
+    going = [int((lengths > c).sum()) for c in range(len(columns))]
+    out = np.zeros((len(x), len(y)), np.int32)
+    step = max(1, AT_ONCE // max(1, len(y)))
+    for begin in range(0, len(xs), step):
+        mine = xs[begin : begin + step]
+        longest = len(codes[mine[0]])
+        kind, bits = (np.uint32, 32) if longest <= 32 else (np.uint64, 64)
+        words = -(-longest // bits)
+        one, top = kind(1), kind(bits - 1)
+        where = np.zeros((words, len(mine), len(letters)), kind)
+        own = np.zeros((words, len(mine), 1), kind)  # the bits that a text of x has
+        for at, i in enumerate(mine):
+            for k, c in enumerate(codes[i]):
+                where[k // bits, at, c] |= one << kind(k % bits)
+                own[k // bits, at, 0] |= one << kind(k % bits)
+        more, less = np.full((words, len(mine), len(y)), ~kind(0)), np.zeros((words, len(mine), len(y)), kind)
+        for c, n in enumerate(going):
+            up, down = one, kind(0)  # the first row goes up by one in each column
+            for w in range(words):
+                p, m = more[w, :, :n], less[w, :, :n]
+                same = np.take(where[w], columns[c, :n], axis=1)
+                vertical = same | m
+                if w:
+                    same |= down
+                across = same & p
+                across += p
+                across ^= p
+                across |= same
+                plus = across | p
+                np.invert(plus, out=plus)
+                plus |= m
+                across &= p
+                following = (plus >> top, across >> top) if w + 1 < words else None
+                plus <<= one
+                plus |= up
+                across <<= one
+                if w:
+                    across |= down
+                np.bitwise_and(plus, vertical, out=m)
+                plus |= vertical
+                np.invert(plus, out=plus)
+                np.bitwise_or(across, plus, out=p)
+                if following:
+                    up, down = following
+        found = lengths[None] + sum(np.bitwise_count(more[w] & own[w]).astype(np.int64) - np.bitwise_count(less[w] & own[w]) for w in range(words))
+        out[np.array(mine)[:, None], np.array(ys, int)[None]] = found
+    return out
+
+
+def text_tiles(texts: DataFrame, size: int, f: Callable, schema: str) -> DataFrame:
+    """What f(og, x, y, d) makes of each two blocks of a family: Arrow tables x and y of texts and the matrix of their edit distances.
+
+    texts: og, seq and other columns, a row for each distinct text; those without a family or a sequence go. A block with
+    itself is one table twice. Each pair of blocks of a family is a key of its own, so a large family is the work of many
+    tasks; a text goes to as many keys as its family has blocks of that size.
     """
-    sizes = texts.groupBy("og").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    texts = texts.where("og is not null and seq is not null")
+    sizes = texts.groupBy("og").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_blocks"))
     block = F.pmod(F.xxhash64("seq"), F.col("_blocks")).cast("int")
-    rows = texts.join(sizes, "og").select("og", block.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"), F.struct(*(c for c in texts.columns if c != "og")).alias("t"))
-    rows = rows.select("og", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "t")
+    rows = texts.join(sizes, "og").withColumn("_own", block).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    rows = rows.withColumns({"_lo": F.least("_own", "_other"), "_hi": F.greatest("_own", "_other")})
     # Few bytes and much work: dealt by pair of blocks to a stated number of tasks, which adaptive execution leaves apart.
     keys = ["og", "_lo", "_hi"]
     tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), texts.sparkSession.sparkContext.defaultParallelism)
-    a = rows.where("_own = _lo").select(*keys, F.col("t").alias("x")).repartition(tasks, *keys)
-    b = rows.where("_own = _hi").select(*keys, F.col("t").alias("y")).repartition(tasks, *keys)
-    met = a.join(b.hint("shuffle_hash"), keys).where((F.col("_lo") < F.col("_hi")) | (F.col("x.seq") < F.col("y.seq")))
-    first = F.col("x.seq") < F.col("y.seq")
-    return met.select("og", F.when(first, F.col("x")).otherwise(F.col("y")).alias("a"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("b"), F.levenshtein("x.seq", "y.seq").alias("d"))
+    rows = rows.select(*texts.columns, "_own", "_lo", "_hi").repartition(tasks, *keys)
+
+    def tile(key: tuple, table: pa.Table) -> pa.Table:
+        og, lo, hi = key
+        x = table.filter(pc.equal(table["_own"], lo))
+        y = table.filter(pc.equal(table["_own"], hi)) if lo != hi else x
+        return f(og, x, y, edit_distances(x["seq"].to_pylist(), y["seq"].to_pylist()))
+
+    return rows.groupBy(*keys).applyInArrow(tile, schema)
 
 
 def distances(records: DataFrame) -> DataFrame:
@@ -49,22 +122,47 @@ def distances(records: DataFrame) -> DataFrame:
     Equal sequences are one text here: the distances of records are those of their texts, so a family with many copies
     costs what its distinct texts cost.
     """
-    return text_pairs(records.select("og", "seq").distinct()).select("og", F.col("a.seq").alias("a"), F.col("b.seq").alias("b"), "d")
+    kind = dict(records.dtypes)["og"]
+
+    def pairs(og: pa.Scalar, x: pa.Table, y: pa.Table, d: np.ndarray) -> pa.Table:
+        both = pa.concat_arrays([v["seq"].combine_chunks() for v in (x, y)])
+        place = np.empty(len(both), np.int64)
+        place[np.array(pc.sort_indices(both.cast(pa.binary())))] = np.arange(len(both))
+        i, j = np.triu_indices(len(x), 1) if x is y else (v.ravel() for v in np.indices(d.shape))
+        first = place[i] < place[len(x) + j]
+        a, b = np.where(first, i, len(x) + j), np.where(first, len(x) + j, i)
+        return pa.table({"og": pa.repeat(og, len(i)), "a": both.take(pa.array(a)), "b": both.take(pa.array(b)), "d": pa.array(d[i, j], pa.int32())})
+
+    return text_tiles(records.select("og", "seq").distinct(), BLOCK, pairs, f"og {kind}, a string, b string, d int")
 
 
 def row_medians(records: DataFrame) -> DataFrame:
     """og, id, median: each record's median distance to all records of its family, with the zero to itself.
 
-    Distances between texts are counted by how many records have the text, where the pairs are made; the median comes
-    from these counts.
+    Distances between texts are counted by how many records have the text, where the distances are made, and leave the
+    task as a row for each text and distance; the median comes from these counts.
     """
-    texts = records.groupBy("og", "seq").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("rep"))
-    side = lambda own, other: F.struct(F.col(f"{own}.rep").alias("rep"), F.col("d"), F.col(f"{other}.copies").alias("copies"))
-    both = text_pairs(texts).select("og", F.explode(F.array(side("a", "b"), side("b", "a"))).alias("p")).select("og", "p.*")
-    own = texts.select("og", "rep", F.lit(0).alias("d"), "copies")
-    counts = both.unionByName(own).groupBy("og", "rep", "d").agg(F.sum("copies").alias("copies"))
-    medians = counts.groupBy("og", "rep").agg(F.percentile("d", F.lit(0.5), F.col("copies")).alias("median"))
-    return records.select("og", "id", "seq").join(texts.join(medians, ["og", "rep"]).select("og", "seq", "median"), ["og", "seq"]).select("og", "id", "median")
+    texts = staged(records.where("og is not null and seq is not null").groupBy("og", "seq").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("rep")), "texts")
+    kinds = dict(texts.dtypes)
+
+    def counts(og: pa.Scalar, x: pa.Table, y: pa.Table, d: np.ndarray) -> pa.Table:
+        reps, ds, copies = [], [], []
+        for own, other, m in ((x, y, d), (y, x, d.T)) if x is not y else ((x, x, d),):
+            width, weights = int(m.max(initial=0)) + 1, other["copies"].to_numpy()
+            found = np.array([np.bincount(row, weights, width) for row in m]).reshape(len(own), width)
+            at, distance = np.nonzero(found)
+            reps.append(own["rep"].combine_chunks().take(pa.array(at)))
+            ds.append(distance)
+            copies.append(found[at, distance].astype(np.int64))
+        n = sum(map(len, ds))
+        return pa.table({"og": pa.repeat(og, n), "rep": pa.concat_arrays(reps), "d": pa.array(np.concatenate(ds), pa.int32()), "copies": pa.array(np.concatenate(copies))})
+
+    both = text_tiles(texts, BLOCK * WIDER, counts, f"og {kinds['og']}, rep {kinds['rep']}, d int, copies long")
+    summed = both.groupBy("og", "rep", "d").agg(F.sum("copies").alias("copies"))
+    medians = summed.groupBy("og", "rep").agg(F.percentile("d", F.lit(0.5), F.col("copies")).alias("median"))
+    # Staged, as what follows reads medians several times.
+    known = staged(texts.join(medians, ["og", "rep"]).select("og", "seq", "median"), "medians")
+    return records.select("og", "id", "seq").join(known, ["og", "seq"]).select("og", "id", "median")
 
 
 def zscore_outliers(medians: DataFrame, threshold: float = 3.0) -> DataFrame:

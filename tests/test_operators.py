@@ -491,6 +491,30 @@ def test_family_pairs_in_blocks_are_all_pairs(spark, monkeypatch):
     assert one == (sorted(families.distances(frame).collect()), sorted(families.row_medians(frame).collect()))
 
 
+def test_edit_distances_side_by_side():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = np.random.default_rng(5)
+    for longest in (6, 40, 150):
+        x, y = (["".join(rng.choice(list("ACD\u00e9\U0001f600"), int(n))) for n in rng.integers(0, longest, 9)] + [""] for _ in range(2))
+        assert families.edit_distances(x, y).tolist() == [[plain(a, b) for b in y] for a in x]
+
+
+def test_family_medians_have_no_row_a_pair(spark):
+    rows = [(f"g{k % 2}", k, "ACDE"[k % 4] * (k % 9 + 1)) for k in range(80)] + [("g0", 98, None), (None, 99, "ACD")]
+    frame = spark.createDataFrame(rows, "og string, id long, seq string")
+    assert {r["id"] for r in families.row_medians(frame).collect()} == set(range(80))
+    # Distances are made block by block and not in a join of all pairs.
+    plan = families.distances(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert "levenshtein" not in plan and "FlatMapGroupsInArrow" in plan
+
+
 def test_genetic_codes_that_are_told_by_their_changes():
     from seqloom.functions import sequences
 
