@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import names, sequences
+from ..sources.staging import staged
 
 
 def keep_long(records: DataFrame, least: int = 200) -> DataFrame:
@@ -51,8 +52,13 @@ def renumber(records: DataFrame, taxon: Column, order: str = "ord", per: list[st
 
 
 def row_numbers(records: DataFrame, order: str, out: str = "n") -> DataFrame:
-    """Row numbers from 1 in the order of a column, over the whole table."""
+    """Row numbers from 1 in the order of a column, over the whole table.
+
+    Ranges come from a sample that differs from run to run, and small ones may be put together, so they are staged: both
+    their sizes and their rows are read from there.
+    """
     parts = records.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    parts = staged(parts, "ranges")
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))  # a row for each range
     before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
     return parts.join(F.broadcast(before), "_part").withColumn(out, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

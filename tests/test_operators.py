@@ -515,6 +515,21 @@ def test_family_medians_have_no_row_a_pair(spark):
     assert "levenshtein" not in plan and "FlatMapGroupsInArrow" in plan
 
 
+def test_hits_of_a_sequence_without_letters_are_covered_beyond_bounds(spark):
+    rows = spark.createDataFrame([("q", "s", 3, 1, 1, 4), ("r", "s", 1, 10, 1, 5)], "qseqid string, sseqid string, qstart int, qend int, sstart int, send int")
+    queries = spark.createDataFrame([("q", 0), ("r", 20)], "id string, length int")
+    got = hits.with_cover(rows, queries, spark.createDataFrame([("s", 10)], "id string, length int")).collect()
+    assert {(r["qseqid"], r["query_cover"], r["subject_cover"]) for r in got} == {("q", float("inf"), 40.0), ("r", 50.0, 50.0)}
+
+
+def test_row_numbers_of_wide_rows(spark):
+    # Keys alone are few bytes and are put together, rows aren't.
+    wide = F.concat(*(F.sha2(F.concat_ws("|", F.lit(k), "id"), 512) for k in range(6)))
+    many = spark.range(0, 20_000, numPartitions=2).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("ord"), wide.alias("seq"))
+    got = records.row_numbers(many, "ord").select("ord", "n", F.length("seq")).orderBy("ord").collect()
+    assert [r["n"] for r in got] == list(range(1, 20_001))
+
+
 def test_genetic_codes_that_are_told_by_their_changes():
     from seqloom.functions import sequences
 
