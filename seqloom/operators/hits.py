@@ -8,10 +8,13 @@ from ..functions import names, sequences
 
 
 def with_cover(hits: DataFrame, queries: DataFrame, subjects: DataFrame) -> DataFrame:
-    """Hits with the percentage of the query and of the subject that they cover. queries, subjects: id and length."""
+    """Hits with the percentage of the query and of the subject that they cover. queries, subjects: id and length.
+
+    Any hit covers a sequence without letters beyond bounds, as the quotient has it in floating point: infinity.
+    """
     q = queries.select(F.col("id").alias("qseqid"), F.col("length").alias("_qlen"))
     s = subjects.select(F.col("id").alias("sseqid"), F.col("length").alias("_slen"))
-    share = lambda a, b, n: 100.0 * (F.abs(F.col(b) - F.col(a)) + 1) / F.col(n)
+    share = lambda a, b, n: F.when(F.col(n) == 0, F.lit(float("inf"))).otherwise(100.0 * (F.abs(F.col(b) - F.col(a)) + 1) / F.col(n))
     joined = hits.join(q, "qseqid").join(s, "sseqid")
     return joined.withColumns({"query_cover": share("qstart", "qend", "_qlen"), "subject_cover": share("sstart", "send", "_slen")}).drop("_qlen", "_slen")
 
