@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -184,7 +186,7 @@ def text_neighbours(weights: DataFrame, members: DataFrame, k: int = 10) -> Data
 def ward(rows: np.ndarray, threshold: float) -> np.ndarray:
     """Labels of clusters merged while the Ward distance is below the threshold (Lance and Williams' update)."""
     n = len(rows)
-    d = np.sqrt(((rows[:, None, :] - rows[None, :, :]) ** 2).sum(-1)) if n else np.zeros((0, 0))
+    d = np.array([np.sqrt(((rows - row) ** 2).sum(-1)) for row in rows]).reshape(n, n)
     np.fill_diagonal(d, np.inf)
     size, label, alive = np.ones(n), np.arange(n), np.ones(n, bool)
     while alive.sum() > 1:
@@ -203,16 +205,87 @@ def ward(rows: np.ndarray, threshold: float) -> np.ndarray:
     return label
 
 
+def ward_of_graph(n: int, links: set[tuple[int, int]], threshold: float) -> list[int] | None:
+    """The labels that ward gives rows of zeros and ones, in whole numbers and without a matrix; links are the places (row, column) of the ones.
+
+    Of rows that have at least threshold^2 ones each, clusters without a common column are never nearer than the
+    threshold, so only those with one are compared. None if some row has fewer ones. A cluster is its size and its sums
+    by column; its nearest later cluster is worked out again once either has changed.
+    """
+    sums: list[dict[int, int] | None] = [{} for _ in range(n)]
+    for row, column in links:
+        sums[row][column] = 1
+    limit = threshold * threshold
+    if any(len(own) < limit for own in sums):
+        return None
+    having: dict[int, dict[int, int]] = {}
+    for row, column in links:
+        having.setdefault(column, {})[row] = 1
+    size, squares, label = [1] * n, [len(own) for own in sums], list(range(n))
+
+    def near(i: int) -> dict[int, float]:
+        common: dict[int, int] = {}
+        for column, own in sums[i].items():
+            for j, other in having[column].items():
+                common[j] = common.get(j, 0) + own * other
+        common.pop(i, None)
+        p = size[i]
+        return {j: 2 * (size[j] ** 2 * squares[i] + p * p * squares[j] - 2 * p * size[j] * x) / (p * size[j] * (p + size[j])) for j, x in common.items()}
+
+    def nearest(i: int, found: dict[int, float]) -> tuple[float, int, int, int, int] | None:
+        d, j = min(((d, j) for j, d in found.items() if j > i and d < limit), default=(None, None))
+        return None if j is None else (d, i, j, size[i], size[j])
+
+    best = [nearest(i, near(i)) for i in range(n)]
+    heap = [b for b in best if b]
+    heapq.heapify(heap)
+    while heap:
+        top = heapq.heappop(heap)
+        _, i, j, p, q = top
+        if sums[i] is None or best[i] != top:
+            continue
+        if sums[j] is None or size[j] != q or size[i] != p:
+            best[i] = nearest(i, near(i))
+            if best[i]:
+                heapq.heappush(heap, best[i])
+            continue
+        for column, x in sums[j].items():
+            del having[column][j]
+            sums[i][column] = having[column][i] = sums[i].get(column, 0) + x
+        sums[j] = best[j] = None
+        size[i] += q
+        squares[i] = sum(x * x for x in sums[i].values())
+        label[j] = i
+        found = near(i)
+        best[i] = nearest(i, found)
+        if best[i]:
+            heapq.heappush(heap, best[i])
+        for k, d in found.items():
+            if k < i and d < limit and (best[k] is None or (d, i) < (best[k][0], best[k][2])):
+                best[k] = (d, k, i, size[k], size[i])
+                heapq.heappush(heap, best[k])
+    for i in range(n):  # a label is never above its row, and smaller ones are final
+        label[i] = label[label[i]]
+    return label
+
+
 def clusters_of_graph(edges: DataFrame, members: DataFrame, threshold: float = 3.0, group: str = "og") -> DataFrame:
-    """group, id, cluster: agglomerative clusters of the rows of each family's neighbour matrix. A family is one task's work."""
+    """group, id, cluster: agglomerative clusters of the rows of each family's neighbour matrix. A family is one task's work.
+
+    Equal distances are merged in the order of ids. A family of few neighbours for the threshold takes a matrix of
+    its members; with k neighbours each and k at least threshold^2 a task holds the links only.
+    """
 
     def one(key, own, links):
         ids = sorted(own["id"].tolist())
         place = {x: k for k, x in enumerate(ids)}
-        matrix = np.zeros((len(ids), len(ids)))
-        for a, b in zip(links["id"], links["other"], strict=True):
-            matrix[place[a], place[b]] = 1
-        names = ward(matrix, threshold)
+        ones = {(place[a], place[b]) for a, b in zip(links["id"], links["other"], strict=True)}
+        names = ward_of_graph(len(ids), ones, threshold)
+        if names is None:
+            matrix = np.zeros((len(ids), len(ids)))
+            for a, b in ones:
+                matrix[a, b] = 1
+            names = ward(matrix, threshold)
         return pd.DataFrame({group: [key[0]] * len(ids), "id": ids, "cluster": [ids[k] for k in names]})
 
     kinds = dict(members.dtypes)

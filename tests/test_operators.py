@@ -196,6 +196,46 @@ def test_ward_against_centroids():
         assert {frozenset(np.flatnonzero(labels == x).tolist()) for x in set(labels)} == brute_ward(rows, threshold)
 
 
+def test_ward_of_a_graph_in_small_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    for n, most in ((60, 12), (200, 25)):
+        links = {(i, int(j)) for i in range(n) for j in i // most * most + rng.permutation(most)[:10]}
+        rows = np.zeros((n, n))
+        for i, j in links:
+            rows[i, j] = 1
+        # Tied pairs are merged in the order of their places; the exact distances of the second implementation have them too.
+        assert len(set(text_mining.ward_of_graph(n, links, 3.0))) < n
+        assert text_mining.ward_of_graph(n, links, 3.0) == exact_ward(rows, 3.0)
+    assert text_mining.ward_of_graph(3, {(0, 1)}, 3.0) is None
+    n = 2000
+    links = {(i, (i * 7 + j * (1 + i % 3)) % n) for i in range(n) for j in range(10)}
+    tracemalloc.start()
+    text_mining.ward_of_graph(n, links, 3.0)
+    ward_peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ward_peak < 30e6  # a matrix of so many rows has 32 MB
+
+
+def exact_ward(rows, threshold):
+    from fractions import Fraction
+
+    members = {i: [i] for i in range(len(rows))}
+    ones = rows.astype(int)
+    total = {i: ones[i].copy() for i in members}
+    pair = lambda a, b: Fraction(2 * int(((len(members[b]) * total[a] - len(members[a]) * total[b]) ** 2).sum()), len(members[a]) * len(members[b]) * (len(members[a]) + len(members[b])))
+    d = {(a, b): pair(a, b) for a in members for b in members if a < b}
+    while d:
+        (a, b), best = min(d.items(), key=lambda e: (e[1], e[0]))
+        if not best < threshold**2:
+            break
+        members[a] += members.pop(b)
+        total[a] = total[a] + total.pop(b)
+        d = {k: v for k, v in d.items() if b not in k and a not in k} | {(min(a, c), max(a, c)): pair(min(a, c), max(a, c)) for c in members if c != a}
+    return [next(c for c, m in members.items() if i in m) for i in range(len(rows))]
+
+
 def test_local_outlier_factor(spark):
     rng = np.random.default_rng(5)
     points = np.vstack([rng.normal(size=(30, 2)), [[12.0, 12.0]]])
