@@ -7,6 +7,7 @@ import heapq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import sequences
@@ -64,24 +65,38 @@ def kmer_document_frequency(records: DataFrame, k: int = 5) -> DataFrame:
     return counted.unionByName(plain).groupBy("og", "kmer").agg(F.sum("n").alias("df"))
 
 
-def tfidf(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -> DataFrame:
-    """og, id, term, weight: smoothed TF-IDF of runs of 1 to `longest` k-mers, of length one for each record.
+def tfidf_vectors(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -> tuple[DataFrame, DataFrame]:
+    """og, id, rep of all records; og, rep, terms (an array of term and weight) of those that have a term.
 
-    Terms of fewer than least_df records of the family are left out.
+    Weights as in tfidf. Records of one family with the same texts have one vector, that of their least id (rep), so the
+    work on terms is that of the distinct texts.
     """
-    words = sequences.kmers(F.col("seq"), k)
+    owned = records.where("og is not null and id is not null").groupBy("og", "id").agg(F.sort_array(F.collect_list("seq")).alias("_seqs"))
+    texts = staged(owned.groupBy("og", "_seqs").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("_copies")), "kmer-texts")
+    words = sequences.kmers(F.col("_seq"), k)
 
     def runs(n: int):
-        return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+        return F.transform(F.sequence(F.lit(0), F.size("_words") - n), lambda i: F.array_join(F.slice("_words", i + 1, n), " "))
 
-    grams = [words, *(runs(n) for n in range(2, longest + 1))]
-    lists = F.concat(*(F.when(F.size(words) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)))
-    tf = records.select("og", "id", F.explode(lists).alias("term")).groupBy("og", "id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    sizes = records.groupBy("og").agg(F.count_distinct("id").alias("n"))
-    df = tf.groupBy("og", "term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least_df).join(sizes, "og")
+    grams = F.concat(*(F.when(F.size("_words") >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate((F.col("_words"), *(runs(n) for n in range(2, longest + 1))), 1)))
+    cut = texts.select("og", "rep", "_copies", F.explode("_seqs").alias("_seq")).withColumn("_words", words)
+    tf = staged(cut.select("og", "rep", "_copies", F.explode(grams).alias("term")).groupBy("og", "rep", "_copies", "term").agg(F.count(F.lit(1)).alias("tf")), "kmer-terms")
+    sizes = texts.groupBy("og").agg(F.sum("_copies").alias("n"))
+    df = tf.groupBy("og", "term").agg(F.sum("_copies").alias("df")).where(F.col("df") >= least_df).join(sizes, "og")
     raw = tf.join(df.select("og", "term", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf")), ["og", "term"]).withColumn("raw", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy("og", "id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, ["og", "id"]).select("og", "id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    lists = raw.groupBy("og", "rep").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"), F.collect_list(F.struct("term", "raw")).alias("_raw"))
+    norm = F.col("_norm")
+    vectors = lists.select("og", "rep", F.transform("_raw", lambda t: F.struct(t["term"].alias("term"), (t["raw"] / norm).alias("weight"))).alias("terms"))
+    return owned.join(texts, ["og", "_seqs"]).select("og", "id", "rep"), staged(vectors, "kmer-vectors")
+
+
+def tfidf(records: DataFrame, k: int = 5, longest: int = 1, least_df: int = 5) -> DataFrame:
+    """og, id, term, weight: smoothed TF-IDF of runs of 1 to `longest` k-mers, of length one for each record.
+
+    Terms of fewer than least_df records of the family are left out.
+    """
+    members, vectors = tfidf_vectors(records, k, longest, least_df)
+    return members.join(vectors, ["og", "rep"]).select("og", "id", F.inline("terms"))
 
 
 #: Points of a block; two blocks of a group at a time are compared in one task.
@@ -163,24 +178,91 @@ def knn_edges(points: DataFrame, k: int = 10, group: str = "label") -> DataFrame
     return every.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(group, "id", "other", "place", "d2")
 
 
+#: Vectors of a block; two blocks of a family at a time meet in one task.
+VECTORS = 4096
+
+
+def _nearest_vectors(x: pa.Table, y: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of x, rows of y, products and squared distances of the nearest of y to each of x, ties in the order of y."""
+    def parts(t: pa.Table):
+        lists = t["terms"].combine_chunks()
+        return np.array(lists.offsets), lists.values.field("term"), lists.values.field("weight").to_numpy()
+
+    (xo, xt, xw), (yo, yt, yw) = parts(x), parts(y)
+    coded = pa.concat_arrays([xt, yt]).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    xc, yc = codes[: len(xt)], codes[len(xt) :]
+    order = np.argsort(yc, kind="stable")
+    rows, weights = np.repeat(np.arange(len(y)), np.diff(yo))[order], yw[order]
+    ends = np.searchsorted(yc[order], np.arange(len(coded.dictionary) + 1))
+    has_x, has_y = ((np.diff(o) > 0).astype(float) for o in (xo, yo))
+    out = []
+    for i, (begin, end) in enumerate(zip(xo[:-1], xo[1:], strict=True)):
+        dot = np.zeros(len(y))
+        spans = [(ends[c], ends[c + 1], w) for c, w in zip(xc[begin:end], xw[begin:end], strict=True) if ends[c] < ends[c + 1]]
+        if spans:
+            dot = np.bincount(np.concatenate([rows[b:e] for b, e, _ in spans]), np.concatenate([weights[b:e] * w for b, e, w in spans]), len(y))
+        d2 = np.maximum(0.0, has_x[i] + has_y - 2.0 * dot)
+        near = np.flatnonzero(d2 <= np.partition(d2, most - 1)[most - 1] + 2e-9) if len(y) > most else np.arange(len(y))
+        near = near[np.argsort(np.round(d2[near], 9), kind="stable")[:most]]
+        out.append((np.full(len(near), i), near, dot[near], d2[near]))
+    return tuple(np.concatenate(v) for v in zip(*out, strict=True))
+
+
+def nearest_records(members: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
+    """og, id, other, dot, d2, place: the nearest records of a family by vectors of length one, or zero without a term.
+
+    members: og, id, rep; vectors: og, rep, terms as tfidf_vectors has them. Vectors of one rep are compared once. Each two
+    blocks of a family are a key of their own and give k + 1 rows a vector, so no task has a family's pairs and no pair
+    that isn't among the nearest is a row. Ties by the id of the other.
+    """
+    members = staged(members.select("og", "id", "rep"), "knn-members")
+    terms = F.coalesce("terms", F.array().cast(dict(vectors.dtypes)["terms"])).alias("terms")
+    every = members.select("og", "rep").distinct().join(vectors, ["og", "rep"], "left").select("og", "rep", terms)
+    sizes = every.groupBy("og").agg(F.ceil(F.count(F.lit(1)) / VECTORS).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
+    dealt = every.join(sizes, "og").withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    keys = ["og", "_lo", "_hi"]
+    tasks = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), members.sparkSession.sparkContext.defaultParallelism)
+    dealt = dealt.select("og", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "rep", "terms").repartition(tasks, *keys)
+    kinds = dict(members.dtypes)
+
+    def tile(key: tuple, table: pa.Table) -> pa.Table:
+        og, lo, hi = key
+        table = table.sort_by("rep")
+        blocks = [table.filter(pc.equal(table["_own"], b)).combine_chunks() for b in (lo, hi)]
+        found = []
+        for x, y in ((blocks[0], blocks[1]), (blocks[1], blocks[0])) if lo != hi else (blocks,):
+            if not len(x) or not len(y):
+                continue
+            i, j, dot, d2 = _nearest_vectors(x, y, k + 1)
+            found.append(pa.table({"og": pa.repeat(og, len(i)), "rep": x["rep"].take(pa.array(i)), "near": y["rep"].take(pa.array(j)), "dot": dot, "d2": d2}))
+        return pa.concat_tables(found) if found else pa.table({"og": pa.array([], og.type), "rep": table["rep"][:0], "near": table["rep"][:0], "dot": pa.array([], pa.float64()), "d2": pa.array([], pa.float64())})
+
+    found = dealt.groupBy(*keys).applyInArrow(tile, f"og {kinds['og']}, rep {kinds['rep']}, near {kinds['rep']}, dot double, d2 double")
+    by = Window.partitionBy("og", "rep").orderBy(F.round("d2", 9), "near")
+    texts = found.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= k + 1).drop("_n")
+    # The least ids of a vector are all that can be among the nearest k, besides the record itself.
+    ids = members.withColumn("_n", F.row_number().over(Window.partitionBy("og", "rep").orderBy("id"))).where(F.col("_n") <= k + 1)
+    others = texts.join(ids.select("og", F.col("rep").alias("near"), F.col("id").alias("other")), ["og", "near"])
+    first = Window.partitionBy("og", "rep").orderBy(F.round("d2", 9), "other")
+    lists = others.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k + 1).groupBy("og", "rep").agg(F.sort_array(F.collect_list(F.struct("_n", "other", "dot", "d2"))).alias("_near"))
+    kept = F.slice(F.filter("_near", lambda o: o["other"] != F.col("id")), 1, k)
+    rows = members.join(lists, ["og", "rep"]).select("og", "id", F.posexplode(kept).alias("_at", "o"))
+    return rows.select("og", "id", "o.other", "o.dot", "o.d2", (F.col("_at") + 1).alias("place"))
+
+
 def text_neighbours(weights: DataFrame, members: DataFrame, k: int = 10) -> DataFrame:
     """og, id, other, dot, d2, place: the nearest records of a family by TF-IDF rows, whose length is one, or zero without a term.
 
-    Only pairs that share a term can have a product; others follow by their distance (d2, squared), in order of id, to
-    fill up k. members: og, id of all records; k + 1 of each family, and of those without a term, are enough to fill up.
+    Those that share no term follow by their distance (d2, squared), in order of id, to fill up k. members: og, id of all
+    records. Records with equal rows are compared once.
     """
-    a = weights.select("og", "term", "id", F.col("weight").alias("w"))
-    b = weights.select("og", "term", F.col("id").alias("other"), F.col("weight").alias("v"))
-    dots = a.join(b, ["og", "term"]).where("id != other").groupBy("og", "id", "other").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    marks = weights.select("og", "id").distinct().withColumn("length", F.lit(1.0))
-    every = members.select("og", "id").distinct().join(marks, ["og", "id"], "left").fillna(0.0, ["length"])
-    first = lambda rows: rows.withColumn("_n", F.row_number().over(Window.partitionBy("og").orderBy("id"))).where(F.col("_n") <= k + 1).drop("_n")
-    fill = first(every).union(first(every.where("length = 0"))).distinct().select("og", F.col("id").alias("other"), F.col("length").alias("other_length"))
-    rest = every.join(fill, "og").where("id != other").join(dots, ["og", "id", "other"], "left_anti")
-    far = rest.select("og", "id", "other", F.lit(0.0).alias("dot"), (F.col("length") + F.col("other_length")).alias("d2"))
-    both = dots.withColumn("d2", F.greatest(F.lit(0.0), 2.0 - 2.0 * F.col("dot"))).unionByName(far)
-    order = Window.partitionBy("og", "id").orderBy(F.round("d2", 9), "other")
-    return both.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    rows = weights.groupBy("og", "id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    every = members.select("og", "id").distinct().join(rows, ["og", "id"], "left")
+    texts = staged(every.groupBy("og", "terms").agg(F.min("id").alias("rep")), "knn-texts")
+    known = every.join(texts, (every["og"] == texts["og"]) & every["terms"].eqNullSafe(texts["terms"])).select(every["og"], "id", "rep")
+    return nearest_records(known, texts.where("terms is not null").select("og", "rep", "terms"), k)
 
 
 def ward(rows: np.ndarray, threshold: float) -> np.ndarray:

@@ -448,7 +448,7 @@ def kmer_run_tfidf(spark, sf_dir):
 def text_knn_edges(spark, sf_dir):
     """The ten nearest members of each family member by the TF-IDF of its runs of 5-mers."""
     rows = substrate.families(spark, sf_dir)
-    return text_mining.text_neighbours(text_mining.tfidf(rows, longest=5), rows).select("og", "id", "other", "place")
+    return text_mining.nearest_records(*text_mining.tfidf_vectors(rows, longest=5)).select("og", "id", "other", "place")
 
 
 _NEAR = (

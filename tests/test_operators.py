@@ -282,6 +282,22 @@ def test_text_neighbours_fill_up(spark):
     assert got == [(a, n, b) for a in vectors for n, b in enumerate(sorted((b for b in vectors if b != a), key=lambda b: (d2(a, b), b))[:4], 1)]
 
 
+def test_neighbours_of_equal_texts_are_found_once_a_text(spark, monkeypatch):
+    texts = ["ACDEFGHIKL", "ACDEFGHIKM", "ACDEFGHAAA", "LLLLLLLLLL", "AC"]
+    rows = [("f", k, texts[k * 7 % 5]) for k in range(60)] + [("g", 100, None), ("g", 101, "ACDEFG")]
+    frame = spark.createDataFrame(rows, "og string, id long, seq string").repartition(3)
+    weights = {}
+    for r in text_mining.tfidf(frame, longest=2).collect():
+        weights.setdefault(r["id"], {})[r["term"]] = r["weight"]
+    members, vectors = text_mining.tfidf_vectors(frame, longest=2)
+    assert vectors.count() == len({texts.index(seq) for _, k, seq in rows if k in weights}) and members.count() == 62
+    d2 = lambda a, b: round(sum((weights.get(a, {}).get(t, 0) - weights.get(b, {}).get(t, 0)) ** 2 for t in {*weights.get(a, {}), *weights.get(b, {})}), 9)
+    want = [(a, n, b) for og, a, _ in rows for n, b in enumerate(sorted((b for g, b, _ in rows if g == og and b != a), key=lambda b: (d2(a, b), b))[:4], 1)]
+    for size in (text_mining.VECTORS, 2):
+        monkeypatch.setattr(text_mining, "VECTORS", size)
+        assert sorted((r["id"], r["place"], r["other"]) for r in text_mining.nearest_records(members, vectors, 4).collect()) == sorted(want)
+
+
 def test_tfidf_of_runs(spark):
     frame = spark.createDataFrame([("f", k, "ABCDEFGH" + "XYZ"[k % 3] * 6) for k in range(6)], "og string, id long, seq string")
     got = text_mining.tfidf(frame, longest=2, least_df=5).collect()
