@@ -179,25 +179,29 @@ def _batches(texts: list[np.ndarray], nodes: int):
         yield np.array(part), rows
 
 
+#: Texts that are searched at once.
+BATCH = 2048
+
+
 def search_profiles(sequences: DataFrame, profiles: list[Profile], evalue: float = 1e-10, segment: float = 2.0) -> DataFrame:
     """target, profile, evalue, score (forward, in bits), viterbi (bits), from_aa and to_aa (from one) of peptides (id, seq) that profiles find.
 
     E-values are of the number of sequences searched. A sequence whose best segment without gaps is below `segment` bits
     isn't aligned in full; LOW aligns all. Null and empty sequences are found by none; of one id with several rows each
-    gives its own. The profiles are sent in shards of SHARD nodes, so what is broadcast is bounded however many they are.
+    gives its own. Equal sequences are searched once. The profiles are sent in shards of SHARD nodes, so what is broadcast is bounded however many they are.
     """
     rows = sequences.where("seq is not null").select(F.col("id").alias("target"), "seq")
-    count = rows.count()
-    if rows.rdd.getNumPartitions() < (least := rows.sparkSession.sparkContext.defaultParallelism):  # few rows, but much work for each
-        rows = rows.repartition(least)
-    kind = rows.schema["target"].dataType.simpleString()
+    count, distinct = rows.agg(F.count(F.lit(1)), F.count_distinct("seq")).first()
+    # Few bytes, but much work for each text: dealt to all cores, in batches that are worth a call each.
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-distinct // BATCH))
+    texts = rows.select("seq").distinct().repartition(tasks, "seq")
     shards: list[list[Profile]] = [[]]
     for p in profiles:
         if shards[-1] and sum(x.size for x in shards[-1]) + p.size > SHARD:
             shards.append([])
         if p.size:
             shards[-1].append(p)
-    names = ["target", "profile", "evalue", "score", "viterbi", "from_aa", "to_aa"]
+    names = ["seq", "profile", "evalue", "score", "viterbi", "from_aa", "to_aa"]
     bit = math.log(2)
     found = None
     for shard in shards:
@@ -205,8 +209,8 @@ def search_profiles(sequences: DataFrame, profiles: list[Profile], evalue: float
 
         def run(batches, sent=sent):
             for batch in batches:
-                for start in range(0, len(batch), 2048):
-                    part = batch.slice(start, 2048)
+                for start in range(0, len(batch), BATCH):
+                    part = batch.slice(start, BATCH)
                     texts = [codes_of(x.as_py()) for x in part["seq"]]
                     hits = []
                     for p in sent.value:
@@ -219,10 +223,10 @@ def search_profiles(sequences: DataFrame, profiles: list[Profile], evalue: float
                             score = scores(p, codes, True)[0] / bit
                             value = count * np.exp(np.minimum(0, -p.rate * (score - p.mu)))
                             hits += [(at[k], p.name, value[k], score[k], best[k] / bit, first[k] + 1, last[k] + 1) for k in np.flatnonzero((value <= evalue) & (best > LOW / 2))]
-                    columns = [part["target"].take(pa.array([h[0] for h in hits], pa.int64()))]
+                    columns = [part["seq"].take(pa.array([h[0] for h in hits], pa.int64()))]
                     columns += [pa.array([h[c] for h in hits], t) for c, t in ((1, pa.string()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64()), (5, pa.int32()), (6, pa.int32()))]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        one = rows.mapInArrow(run, f"target {kind}, profile string, evalue double, score double, viterbi double, from_aa int, to_aa int")
+        one = texts.mapInArrow(run, "seq string, profile string, evalue double, score double, viterbi double, from_aa int, to_aa int")
         found = one if found is None else found.unionByName(one)
-    return found
+    return rows.join(found, "seq").select("target", *names[1:])

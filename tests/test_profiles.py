@@ -117,3 +117,13 @@ def test_search_finds_families_and_feeds_the_slices(spark, monkeypatch):
     cut = hits.slice_profile_orfs(nucleotides, found)
     assert {r["id"] for r in cut.collect()} == {f"r{k}" for k in range(12)}
     assert profiles.search_profiles(data.limit(0), models).collect() == profiles.search_profiles(data, []).collect() == []
+
+
+def test_equal_sequences_are_searched_once(spark):
+    rows = [(k, "ACDEFGHIKLMNPQRSTVWY" * 2 if k % 3 else "WYWYWYHHHKKKLLLMMM") for k in range(30)] + [(98, ""), (99, None)]
+    frame = spark.createDataFrame(rows, "id long, seq string")
+    model = profiles.of_sequence("p", "ACDEFGHIKLMNPQRSTVWY")
+    got = profiles.search_profiles(frame, [model], 1e6)
+    assert {r["target"] for r in got.collect()} >= {k for k in range(30) if k % 3} and got.where("target in (1, 2)").select("score", "from_aa").distinct().count() == 1
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Aggregate [seq")  # below the search stands the distinct of its texts
