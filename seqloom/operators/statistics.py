@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import sequences
@@ -20,6 +23,26 @@ def null_curve(spark) -> DataFrame:
     return spark.range(101).select(F.col("id").cast("int").alias("step"), (F.col("id") / 100.0).alias("gc3"), (2.0 + s + 29.0 / (s * s + (1.0 - s) * (1.0 - s))).alias("enc"))
 
 
+def gc3_steps(records: DataFrame) -> DataFrame:
+    """step, sequences: how many sequences have their GC percentage at third places nearest to each whole step (halves go up); those without a codon have none.
+
+    Each task counts what it has read and hands on 101 rows at most.
+    """
+
+    def run(batches):
+        counts: dict[int, int] = {}
+        for batch in batches:
+            for seq in batch.column("seq").to_pylist():
+                thirds = seq[2 : len(seq) // 3 * 3 : 3]
+                if thirds:
+                    step = math.floor(100.0 * sum(map(thirds.count, "GCgc")) / len(thirds) + 0.5)
+                    counts[step] = counts.get(step, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["step", "sequences"])
+
+    found = records.select("seq").where("seq is not null").mapInArrow(run, "step int, sequences long")
+    return found.groupBy("step").agg(F.sum("sequences").alias("sequences"))
+
+
 def stop_rates(records: DataFrame, code: int = 1) -> DataFrame:
     """In-frame stops of each stop codon of a code over all records: count, codons scanned and rate per thousand."""
     stops = sequences.STOPS.get(code, sequences.STOPS[1])

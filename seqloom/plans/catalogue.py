@@ -62,8 +62,7 @@ def seq_gc_stats(spark, sf_dir):
 )
 def enc_null_curve(spark, sf_dir):
     """Expected number of codons along GC3, and how many sequences are at each step of it."""
-    step = F.floor(F.col("gc3") + 0.5).cast("int")
-    found = statistics.gc_table(substrate.nt(spark, sf_dir)).where("gc3 is not null").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("sequences"))  # 101 rows
+    found = statistics.gc3_steps(substrate.nt(spark, sf_dir))  # 101 rows
     return rounded(statistics.null_curve(spark), "enc").join(found, "step", "left").withColumn("sequences", F.coalesce("sequences", F.lit(0)))
 
 

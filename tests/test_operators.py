@@ -196,6 +196,12 @@ def test_ward_against_centroids():
         assert {frozenset(np.flatnonzero(labels == x).tolist()) for x in set(labels)} == brute_ward(rows, threshold)
 
 
+def test_steps_of_third_places(spark):
+    rows = ["AAGAACAAA", "aag", "AA", "", None, "AAGAAT", "AAA" * 199 + "AAGT"]
+    got = {r["step"]: r["sequences"] for r in statistics.gc3_steps(spark.createDataFrame([(x,) for x in rows], "seq string").repartition(3)).collect()}
+    assert got == {67: 1, 100: 1, 50: 1, 1: 1}
+
+
 def test_ward_of_a_graph_in_small_memory():
     import tracemalloc
 
