@@ -385,11 +385,18 @@ def cluster_votes(members: DataFrame, threshold: float = 0.6, levels=("domain",
     return votes.withColumn("total", total).where(F.col("votes") > F.col("total") * threshold)
 
 
+#: Other members of a cluster that a query meets in one task, about.
+MET = 1 << 10
+
+
 def by_catch(members: DataFrame, query_taxon: str, threshold: float = 0.6, levels=("domain", "supergroup", "major", "minor")) -> DataFrame:
     """Rows (query, labels of the other member, other member) of clusters with both the query taxon and others.
 
     Only members of the supergroup that wins the cluster's vote among the others come up, so a cluster without one gives
     no row. Major and minor keep their labels only if some label of that level wins its vote.
+
+    The rows grow with the square of a cluster. The others are dealt to blocks of about MET, which meet the queries one
+    by one, so a large cluster is the work of many tasks and none holds more than a block.
     """
     asked = F.contains("id", F.lit(query_taxon))
     queries = members.where(asked).select("cluster", F.col("id").alias("query_seq"))
@@ -397,6 +404,14 @@ def by_catch(members: DataFrame, query_taxon: str, threshold: float = 0.6, level
     votes = cluster_votes(others, threshold, levels)
     winners = votes.where("level = 'supergroup'").select("cluster", F.col("label").alias("supergroup"))
     clear = votes.groupBy("cluster").agg(*(F.bool_or(F.col("level") == x).alias(f"_{x}") for x in ("major", "minor")))
-    rows = others.join(winners, ["cluster", "supergroup"]).join(queries, "cluster").join(clear, "cluster")
     label = {x: F.when(F.col(f"_{x}"), F.col(x)).otherwise(f"No-clear-{x}-clade") for x in ("major", "minor")}
-    return rows.select("query_seq", *(label.get(x, F.col(x)).alias(x) for x in levels), F.col("id").alias("cluster_seq"), F.split_part("id", F.lit("|"), F.lit(1)).alias("cluster_taxon"))
+    found = others.join(winners, ["cluster", "supergroup"]).join(clear, "cluster")
+    found = found.select("cluster", *(label.get(x, F.col(x)).alias(x) for x in levels), F.col("id").alias("cluster_seq"), F.split_part("id", F.lit("|"), F.lit(1)).alias("cluster_taxon"))
+    found = staged(found, "by-catch-members")
+    sizes = found.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / MET).cast("int").alias("_blocks"))
+    tasks = sizes.agg(F.least(F.coalesce(F.sum("_blocks"), F.lit(1)), F.lit(10_000))).first()[0]
+    found = found.join(sizes, "cluster").withColumn("_block", F.pmod(F.xxhash64("cluster_seq"), F.col("_blocks")).cast("int")).drop("_blocks")
+    queries = queries.join(sizes, "cluster").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    # A stated number of tasks, as what goes in is little beside what comes out.
+    rows = queries.repartition(tasks, "cluster", "_block").join(found.repartition(tasks, "cluster", "_block"), ["cluster", "_block"])
+    return rows.select("query_seq", *levels, "cluster_seq", "cluster_taxon")

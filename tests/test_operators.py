@@ -545,6 +545,14 @@ def test_by_catch_needs_a_winning_supergroup_and_takes_its_members(spark):
     assert len(got) == 8 and {(r["query_seq"], r["supergroup"], r["major"], r["minor"], r["cluster_taxon"]) for r in got} == {("q|2", "S0", "M", "No-clear-minor-clade", "y")}
 
 
+def test_by_catch_of_one_cluster_is_the_work_of_many_tasks(spark, monkeypatch):
+    members = [("b", f"q|{k}", "E", "S0", "M", "N") for k in range(30)] + [("b", f"y|{k}", "E", "S0", "M", "N") for k in range(70)]
+    frame = spark.createDataFrame(members, "cluster string, id string, domain string, supergroup string, major string, minor string")
+    monkeypatch.setattr(text_mining, "MET", 4, raising=False)
+    got = text_mining.by_catch(frame, "q|").withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == len({(r["query_seq"], r["cluster_seq"]) for r in got}) == 30 * 70 and len({r["task"] for r in got}) > 3
+
+
 def test_family_pairs_in_blocks_are_all_pairs(spark, monkeypatch):
     rows = [(f"g{k % 2}", k, "".join("ACDE"[(k * 7 + j * k) % 4] for j in range(3 + k % 5))) for k in range(60)]
     frame = spark.createDataFrame(rows, "og string, id long, seq string")
