@@ -327,6 +327,25 @@ def test_collapse(spark):
     assert got == {"long": "copy", "copy": "copy", "part": "copy", "bad": "bad", "other": "other"}
 
 
+def test_collapse_of_short_sequences_meets_few(spark, monkeypatch):
+    rng = random.Random(4)
+    seqs = sorted({"".join(rng.choice("ACDEFGHIKL") for _ in range(rng.randint(0, 40))) for _ in range(400)})
+    seqs += sorted({s[a : a + n] for s in seqs[1:80] for a, n in ((0, len(s) // 2), (len(s) // 3, 3), (2, len(s)))} - set(seqs))
+    seqs += [s[:20] + "W" + s[21:] for s in seqs if len(s) > 35][:20]
+    rows = [("f", k, s) for k, s in enumerate(seqs)]
+    want, kept = {}, []
+    for _, k, s in sorted(rows, key=lambda r: (-len(r[2]), r[1])):
+        want[k] = next((i for i, t in kept if collapse.covered(s, t, 0.97)), k)
+        kept += [(k, s)] if want[k] == k else []
+    real, calls = collapse.covered, []
+    monkeypatch.setattr(collapse, "covered", lambda *a: calls.append(a) or real(*a))
+    assert {k: h for (h, _), k in zip(collapse.fold([(s, k) for _, k, s in rows], 0.97), [r[1] for r in sorted(rows, key=lambda r: (-len(r[2]), r[1]))], strict=True)} == want
+    assert len(calls) < 5 * len(rows) and len(kept) < len(rows) - 50
+    monkeypatch.undo()
+    frame = spark.createDataFrame(rows, "og string, id long, seq string")
+    assert {r["id"]: r["kept_id"] for r in collapse.collapse(frame).collect()} == want
+
+
 E4 = ("Eukaryota", "Bacteria")
 
 
