@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 # The public genetic codes, one letter for each codon in the order TTT, TTC, TTA, TTG, TCT, ... GGG.
@@ -118,11 +120,52 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTUMRWSYKVHDBNacgtumrwsykvhdbn", "TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn"))
 
 
+# Places of the letters T, C, A and G in the codes; any other letter counts as beyond all codons.
+_PLACES = np.full(256, len(CODONS), np.int64)
+_PLACES[[ord(x) for x in "TCAG"]] = range(4)
+
+
+def codon_numbers(seq: str) -> np.ndarray:
+    """The place in CODONS of each complete codon in frame, 64 for one of other letters than the four."""
+    places = _PLACES[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)[: len(seq) // 3 * 3]]
+    return np.minimum(places[::3] * 16 + places[1::3] * 4 + places[2::3], len(CODONS))
+
+
+def peptide(seq: str, acids: np.ndarray, strip_stops: bool = True) -> str:
+    """Amino acids of all complete codons; acids: the letter of each codon and X."""
+    out = acids[codon_numbers(seq)].tobytes()
+    return (out.rstrip(b"*") if strip_stops else out).decode()
+
+
+def acids_of(code: int) -> np.ndarray:
+    table = code_table(code)
+    return np.frombuffer(("".join(table[c] for c in CODONS) + "X").encode(), np.uint8)
+
+
 def translated(seq: Column, code: int = 1, strip_stops: bool = True) -> Column:
     """Amino acids of all complete codons, X for an unknown one; trailing stops are cut off unless asked otherwise."""
-    table = F.create_map(*(F.lit(x) for pair in code_table(code).items() for x in pair))
-    out = F.array_join(F.transform(codons(F.upper(seq)), lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")
-    return F.regexp_replace(out, r"\*+$", "") if strip_stops else out
+    acids = acids_of(code)
+
+    def run(seqs: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else peptide(x, acids, strip_stops) for x in seqs.to_pylist()], pa.string())
+
+    return F.arrow_udf(run, "string")(F.upper(seq))
+
+
+_STRANDS = str.maketrans("ACGTUMRWSYKVHDBNacgtumrwsykvhdbn", "TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn")
+
+
+def six_translated(seq: Column, code: int = 1) -> Column:
+    """An array of what translated() makes of the reading frames 1 to 6; each strand is read once."""
+    acids = acids_of(code)
+
+    def frames(seq: str) -> list[str]:
+        return [peptide(strand[n:].upper(), acids) for strand in (seq, seq.translate(_STRANDS)[::-1]) for n in range(3)]
+
+    def run(seqs: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else frames(x) for x in seqs.to_pylist()], pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")(seq)
 
 
 def frame(seq: Column, number: int) -> Column:

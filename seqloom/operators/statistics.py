@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -71,28 +72,46 @@ def observed_enc(records: DataFrame, code: int = 1) -> DataFrame:
     For each amino acid with k codons seen n times, the chi-square of codon shares against those that the record's base
     composition gives yields F = (X2 + n - k) / (k (n - 1)); F is averaged over amino acids of one degeneracy, a
     missing class counts as 1/k (the three-fold class as the mean of its neighbours), and the result is at most 61.
+
+    Each record is worked out by itself, from the counts of its 64 codons.
     """
-    table = {c: a for c, a in sequences.code_table(code).items() if a != "*"}
-    sizes = {a: sum(b == a for b in table.values()) for a in table.values()}
-    rows = F.array(*(F.struct(F.lit(c).alias("codon"), F.lit(a).alias("aa"), F.lit(sizes[a]).alias("k")) for c, a in table.items()))
-    base = records.select("id", *(sequences.count_of(sequences.in_frame(F.col("seq")), b).alias(b) for b in "ACGT"))
-    base = base.withColumn("bases", F.col("A") + F.col("C") + F.col("G") + F.col("T")).where("bases > 0")
-
-    def share(place: int):
-        letter = F.substring("codon", place, 1)
-        return F.coalesce(*(F.when(letter == b, F.col(b) / F.col("bases")) for b in "ACGT"))
-
-    every = base.withColumn("r", F.explode(rows)).select("id", "r.*", "A", "C", "G", "T", "bases").withColumn("e", share(1) * share(2) * share(3))
-    counted = every.join(codon_counts(records), ["id", "codon"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    of_aa = Window.partitionBy("id", "aa")
-    shares = counted.withColumn("n_aa", F.sum("n").over(of_aa)).withColumn("e", F.col("e") / F.sum("e").over(of_aa))
-    chi = F.when(F.col("e") > 0, F.col("n_aa") * F.pow(F.col("n") / F.col("n_aa") - F.col("e"), F.lit(2)) / F.col("e")).otherwise(0.0)
-    by_aa = shares.where("n_aa > 1 and k > 1").groupBy("id", "aa", "k").agg(F.sum(chi).alias("x2"), F.max("n_aa").alias("n"))
-    f = (F.col("x2") + F.col("n") - F.col("k")) / (F.col("k") * (F.col("n") - 1))
-    by_k = by_aa.withColumn("f", f).where("f > 0").groupBy("id").pivot("k", sorted(set(sizes.values()) - {1})).agg(F.avg("f"))
-    total = F.lit(float(sum(k == 1 for k in sizes.values())))
-    classes = {k: sum(v == k for v in sizes.values()) for k in sorted(set(sizes.values()) - {1})}
-    for k, aas in classes.items():
-        stand_in = (F.coalesce(F.col("2"), F.lit(0.5)) + F.coalesce(F.col("4"), F.lit(0.25))) / 2 if k == 3 else F.lit(1.0 / k)
-        total = total + aas / F.coalesce(F.col(str(k)), stand_in)
-    return by_k.select("id", F.least(F.lit(61.0), total).alias("enc"))
+    table = sequences.code_table(code)
+    acids = np.array([table[c] for c in sequences.CODONS])
+    places = np.array([["ACGT".index(x) for x in c] for c in sequences.CODONS])
+    of_acid = {a: np.flatnonzero(acids == a) for a in sorted(set(table.values()) - {"*"})}
+    degrees = sorted({len(x) for x in of_acid.values()} - {1})
+
+    def numbers(n: np.ndarray, bases: np.ndarray) -> np.ndarray:
+        """The result of each row of codon counts and of base counts, nan where there is none."""
+        share = bases / bases.sum(1, keepdims=True)
+        expected = share[:, places].prod(2)
+        f = {}
+        for a, own in of_acid.items():
+            k, n_aa = len(own), n[:, own].sum(1)
+            e = expected[:, own] / expected[:, own].sum(1, keepdims=True)
+            x2 = np.where(e > 0, n_aa[:, None] * (n[:, own] / n_aa[:, None] - e) ** 2 / e, 0.0).sum(1)
+            value = (x2 + n_aa - k) / (k * (n_aa - 1))
+            f[a] = np.where((n_aa > 1) & (value > 0), value, np.nan) if k > 1 else None
+        mean, total = {}, np.full(len(n), float(sum(len(x) == 1 for x in of_acid.values())))
+        for k in degrees:
+            column = np.stack([f[a] for a, own in of_acid.items() if len(own) == k])
+            mean[k] = np.nansum(column, 0) / (~np.isnan(column)).sum(0)
+        known = lambda k: np.where(np.isnan(mean[k]), 1.0 / k, mean[k]) if k in mean else 1.0 / k
+        for k in degrees:
+            missing = (known(2) + known(4)) / 2 if k == 3 else 1.0 / k
+            total += sum(len(x) == k for x in of_acid.values()) / np.where(np.isnan(mean[k]), missing, mean[k])
+        return np.where(np.all([np.isnan(x) for x in mean.values()], 0), np.nan, np.minimum(61.0, total))
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, len(batch), 1024):
+                part = batch.slice(start, 1024)
+                seqs = [x[: len(x) // 3 * 3] for x in part["seq"].to_pylist()]
+                n = np.array([np.bincount(sequences.codon_numbers(x), minlength=65)[:64] for x in seqs], np.float64)
+                bases = np.array([[x.count(b) for b in "ACGT"] for x in seqs], np.float64)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    enc = numbers(n, bases)
+                at = pa.array(np.flatnonzero(~np.isnan(enc)))
+                yield pa.RecordBatch.from_arrays([part["id"].take(at), pa.array(enc).take(at)], names=["id", "enc"])
+
+    return records.select("id", "seq").where("seq is not null").mapInArrow(run, f"id {dict(records.dtypes)['id']}, enc double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -25,8 +26,17 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if size <= cores * SMALL else rows
 
 
+_OTHERS = bytes(set(range(256)) - set(LETTERS.encode()))
+
+
 def sequence_of(text, target: str):
-    return F.translate(F.regexp_replace(F.lower(text), "[^a-z]", ""), LETTERS, target)
+    """The letters a to z of a text in either case, put into another alphabet; by bytes, as those of other characters are none of these."""
+    table = bytes.maketrans(LETTERS.encode(), target.encode())
+
+    def letters(texts: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else x.translate(table, _OTHERS) for x in texts.cast(pa.binary()).to_pylist()], pa.binary()).cast(pa.string())
+
+    return F.arrow_udf(letters, "string")(F.lower(text))
 
 
 def records_of(docs: DataFrame, target: str) -> DataFrame:

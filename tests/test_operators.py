@@ -543,6 +543,18 @@ def test_observed_enc_is_low_for_one_codon_each_and_high_for_even_use(spark):
     assert got["even"] > 55 and got["biased"] < got["even"] - 20
 
 
+def test_observed_enc_works_each_record_out_by_itself(spark):
+    rng = random.Random(8)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (400, 900, 31, 2, 0)] + ["A" * 60, "NNNACGacg" * 9 + "\u00e9AC", None]
+    frame = spark.createDataFrame([(f"r{k}", s) for k, s in enumerate(seqs)], "id string, seq string")
+    found = statistics.observed_enc(frame)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    one = {r["id"]: r["enc"] for r in found.collect()}
+    assert {"r0", "r1"} <= set(one) and not {"r3", "r4", "r7"} & set(one)
+    same = statistics.observed_enc(frame.withColumn("id", F.lit("same"))).collect()  # records of one name aren't mixed
+    assert sorted(r["enc"] for r in same) == sorted(one.values())
+
+
 def test_deep_trees_and_lineages_have_no_limit(spark):
     chain = [("t", k, k - 1 if k else None, 1.0) for k in range(300)]
     forest = trees.Forest(spark.createDataFrame(chain, "tree_id string, node_id long, parent_id long, dist double"))
