@@ -234,8 +234,8 @@ def translate_orfs(spark, sf_dir):
 def six_frames(spark, sf_dir):
     """Every sequence translated in its six frames."""
     rows = substrate.nt(spark, sf_dir)
-    frames = F.explode(F.array(*(F.struct(F.lit(n).alias("rf"), sequences.frame(F.col("seq"), n).alias("s")) for n in range(1, 7)))).alias("f")
-    return rows.select("doc_id", frames).select("doc_id", "f.rf", F.sha2(sequences.translated(F.col("f.s")), 256).alias("aa_sha256"))
+    frames = rows.select("doc_id", F.posexplode(F.coalesce(sequences.six_translated(F.col("seq")), F.array_repeat(F.lit(None).cast("string"), 6))).alias("at", "aa"))
+    return frames.select("doc_id", (F.col("at") + 1).alias("rf"), F.sha2("aa", 256).alias("aa_sha256"))
 
 
 # Hits

@@ -32,8 +32,8 @@ def write_six_frames(records: DataFrame, path: str, code: int = 1, mode: str = "
     """Each record translated in its six frames, as id|RF<n>."""
     from ..functions import sequences
 
-    frames = F.explode(F.array(*(F.struct(F.lit(n).alias("rf"), sequences.translated(sequences.frame(F.col("seq"), n), code).alias("aa")) for n in range(1, 7)))).alias("f")
-    rows = records.select("id", frames).select(F.concat(F.col("id"), F.lit("|RF"), F.col("f.rf").cast("string")).alias("id"), F.col("f.aa").alias("seq"))
+    frames = records.select("id", F.posexplode(sequences.six_translated(F.col("seq"), code)).alias("at", "seq"))
+    rows = frames.select(F.concat(F.col("id"), F.lit("|RF"), (F.col("at") + 1).cast("string")).alias("id"), "seq")
     write_fasta(rows, path, mode=mode)
 
 

@@ -113,3 +113,22 @@ def test_header_tags(spark, header, want):
 def test_coverage(spark):
     c = lambda v: one(spark, sequences.coverage_of(F.col("n")), "n string", v)
     assert c("NODE_1_cov_3.14159_x") == 3.14159 and c("T|x_Cov_2.50") == 2.5 and c("plain") is None and c("a_cov_zz") is None
+
+
+def test_six_frames_are_the_translated_frames(spark):
+    seqs = ["ATGGCCTAATGAN", "acgtacgtnnRYacg", "", "AC", None, "ATG\u00e9CCTAG", "TTA" * 5 + "C"]
+    frame = spark.createDataFrame([(s,) for s in seqs], "seq string")
+    apart = frame.select(*(sequences.translated(sequences.frame(F.col("seq"), n)).alias(f"f{n}") for n in range(1, 7))).collect()
+    got = [r["f"] for r in frame.select(sequences.six_translated(F.col("seq")).alias("f")).collect()]
+    assert got == [None if s is None else list(r) for s, r in zip(seqs, apart, strict=True)]
+    assert got[0][0] == "MA"
+
+
+def test_letters_of_texts_are_those_of_the_expression(spark):
+    from seqloom.plans import substrate
+
+    texts = ["Abc, xyz! 12", "\u0130\u212a\u00dfQ\u00e9\n\tz\U0001f600w", "", None, "\x00a\x7fb"]
+    plain = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), substrate.LETTERS, substrate.AA_TARGET)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").select(substrate.sequence_of(F.col("text"), substrate.AA_TARGET).alias("a"), plain.alias("b"))
+    assert "regexp" not in frame.select("a")._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["a"] for r in frame.collect()] == [r["b"] for r in frame.collect()]
