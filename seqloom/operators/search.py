@@ -96,25 +96,76 @@ def codes_of(seq: str) -> np.ndarray:
     return _CODES[np.frombuffer(seq.encode("latin-1", "replace"), np.uint8)]
 
 
-def reduced(seq):
-    """The letters' groups; letters of none become -."""
-    flat = "".join(GROUPS)
-    return F.regexp_replace(F.translate(F.upper(seq), flat, "".join(chr(ord("a") + i) * len(g) for i, g in enumerate(GROUPS))), "[^a-j]", "-")
+_RED = np.full(len(LETTERS) + 3, len(GROUPS), np.int64)
+for _i, _g in enumerate(GROUPS):
+    for _a in _g:
+        _RED[LETTERS.index(_a)] = _i
+
+
+#: Places of a table by which most seeds that no query has are left out at once.
+SIEVE = 1 << 22
+
+
+def window_numbers(groups: np.ndarray, size: int) -> np.ndarray:
+    """Each run of so many groups as a number; beyond 18 letters they run over, and then tell nearly all runs apart."""
+    n = max(0, len(groups) - size + 1)
+    keys = np.zeros(n, np.int64)
+    for i in range(size):
+        keys = keys * (len(GROUPS) + 1) + groups[i : i + n]
+    return keys
+
+
+def good_windows(groups: np.ndarray, size: int, kinds: int) -> np.ndarray:
+    """Which runs are seeds: of letters of the groups only, and not of low complexity."""
+    windows = np.lib.stride_tricks.sliding_window_view(groups, size)
+    return (windows < len(GROUPS)).all(1) & (sum((windows == g).any(1).astype(int) for g in range(len(GROUPS))) >= kinds)
+
+
+def among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of x are among numbers in order."""
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x if len(ordered) else np.zeros(len(x), bool)
+
 
+def seed_numbers(seq: str, size: int, kinds: int, wanted: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The distinct seeds of a sequence as numbers; wanted: of these only, a sieve and the numbers in order."""
+    groups = _RED[codes_of(seq)]
+    keys = window_numbers(groups, size)
+    if not len(keys):
+        return keys
+    if wanted is None:
+        return np.unique(keys[good_windows(groups, size, kinds)])
+    sieve, numbers = wanted
+    keys = keys[sieve[keys & (SIEVE - 1)]]
+    return np.unique(keys[among(keys, numbers)])
 
-def seeds_of(seq, size: int, kinds: int):
-    """The distinct seeds of a sequence, without those of low complexity."""
-    different = lambda s: F.length(F.regexp_replace(s, r"(.)(?=.*\1)", ""))
-    return F.filter(F.array_distinct(sequences.kmers(reduced(seq), size)), lambda s: ~F.contains(s, F.lit("-")) & (different(s) >= kinds))
+
+def seeds_of(rows: DataFrame, name: str, options: Search, wanted: np.ndarray | None = None) -> DataFrame:
+    """name, seed: the distinct seeds of sequences (name, seq); wanted: of these only."""
+
+    def run(batches):
+        sought = None
+        if wanted is not None:
+            sought = np.zeros(SIEVE, bool), wanted
+            sought[0][wanted & (SIEVE - 1)] = True
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                part = batch.slice(start, 256)
+                found = [seed_numbers(x.as_py(), options.seed, options.kinds, sought) for x in part["seq"]]
+                at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                yield pa.RecordBatch.from_arrays([part[name].take(at), pa.array(np.concatenate(found))], names=[name, "seed"])
+
+    return rows.select(name, "seq").where("seq is not null").mapInArrow(run, f"{name} {rows.schema[name].dataType.simpleString()}, seed long")
 
 
 def candidates(queries: DataFrame, subjects: DataFrame, options: Search) -> DataFrame:
     """q, s: queries (q, seq) and subjects (s, seq) that share seeds."""
-    asked = staged(queries.select("q", F.explode(seeds_of(F.col("seq"), options.seed, options.kinds)).alias("seed")), "query-seeds")
+    asked = staged(seeds_of(queries, "q", options), "query-seeds")
     wanted = staged(asked.select("seed").distinct(), "seeds")
     if wanted.count() <= SENT:  # subjects' seeds that no query has then never leave their task
-        wanted = F.broadcast(wanted)
-    held = staged(subjects.select("s", F.explode(seeds_of(F.col("seq"), options.seed, options.kinds)).alias("seed")).join(wanted, "seed", "left_semi"), "subject-seeds")
+        held = seeds_of(subjects, "s", options, np.sort(wanted.toPandas()["seed"].to_numpy(np.int64)))
+    else:
+        held = seeds_of(subjects, "s", options).join(wanted, "seed", "left_semi")
+    held = staged(held, "subject-seeds")
     sizes = held.groupBy("seed").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     asked = asked.join(sizes, "seed").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     held = held.join(sizes, "seed").withColumn("block", F.pmod(F.xxhash64("s"), F.col("blocks")).cast("int")).drop("blocks")
@@ -122,26 +173,15 @@ def candidates(queries: DataFrame, subjects: DataFrame, options: Search) -> Data
     return shared.where(F.col("n") >= options.seeds).select("q", "s")
 
 
-_RED = np.full(len(LETTERS) + 3, len(GROUPS), np.int64)
-for _i, _g in enumerate(GROUPS):
-    for _a in _g:
-        _RED[LETTERS.index(_a)] = _i
-
-
 def seed_diagonals(q: np.ndarray, s: np.ndarray, options: Search) -> np.ndarray:
     """The diagonals (place in the subject less place in the query) on which the sequences share a seed."""
-    k, base = options.seed, len(GROUPS) + 1
+    k = options.seed
     if min(len(q), len(s)) < k:
         return np.zeros(0, np.int64)
-
-    def keys(x):
-        red = np.lib.stride_tricks.sliding_window_view(_RED[x], k)
-        return (red * base ** np.arange(k)).sum(1), red
-
-    (a, ra), (b, _) = keys(q), keys(s)
-    kinds = sum((ra == g).any(1).astype(int) for g in range(len(GROUPS)))
-    good = np.flatnonzero(((ra < len(GROUPS)).all(1)) & (kinds >= options.kinds) & np.isin(a, b))
-    order = np.argsort(b, kind="stable")
+    groups, b = _RED[q], window_numbers(_RED[s], k)
+    a, good = window_numbers(groups, k), np.flatnonzero(good_windows(groups, k, options.kinds))
+    order = np.flatnonzero(among(b, np.unique(a[good])))  # the subject's places with a seed of the query
+    order = order[np.argsort(b[order], kind="stable")]
     lo, hi = np.searchsorted(b[order], a[good], "left"), np.searchsorted(b[order], a[good], "right")
     at = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
     return np.unique(order[at] - np.repeat(good, hi - lo))
@@ -288,8 +328,8 @@ def search_peptides(queries: DataFrame, subjects: DataFrame, options: Search = S
 
 def six_frames(queries: DataFrame, code: int) -> DataFrame:
     """id, qframe (1 to 3, and -1 to -3 on the other strand), letters (nucleotides) and seq (translated) of each frame of records (id, seq)."""
-    frames = F.explode(F.array(*(F.struct(F.lit(n if n <= 3 else 3 - n).alias("qframe"), sequences.translated(sequences.frame(F.col("seq"), n), code).alias("aa")) for n in range(1, 7)))).alias("f")
-    return queries.select("id", F.length("seq").alias("letters"), frames).select("id", "f.qframe", "letters", F.col("f.aa").alias("seq"))
+    frames = queries.select("id", F.length("seq").alias("letters"), F.posexplode(sequences.six_translated(F.col("seq"), code)).alias("at", "seq"))
+    return frames.select("id", F.when(F.col("at") < 3, F.col("at") + 1).otherwise(2 - F.col("at")).alias("qframe"), "letters", "seq")
 
 
 def search_translated(queries: DataFrame, subjects: DataFrame, options: Search = Search(), most: int | None = 1, code: int = 1) -> DataFrame:  # noqa: B008
