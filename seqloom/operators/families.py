@@ -13,9 +13,8 @@ from ..sources.staging import staged
 from .text_mining import knn_edges
 
 
-def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre: str = "median", least: int = 4) -> DataFrame:
-    """Records near their family's median or mean length; families with fewer than `least` records before or after go."""
-    length = F.length("seq")
+def sized_families(records: DataFrame, length, low: float = 0.33, high: float = 2.0, centre: str = "median", least: int = 4) -> DataFrame:
+    """size_filter() by a column of lengths."""
     middle = F.percentile(length, F.lit(0.5)) if centre == "median" else F.avg(length)
     families = records.groupBy("og").agg(middle.alias("_mid"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
     kept = records.join(families, "og").where((length >= F.col("_mid") * low) & (length <= F.col("_mid") * high)).drop("_mid", "_n")
@@ -23,6 +22,11 @@ def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre
     return kept.join(left, "og", "left_semi")
 
 
+def size_filter(records: DataFrame, low: float = 0.33, high: float = 2.0, centre: str = "median", least: int = 4) -> DataFrame:
+    """Records near their family's median or mean length; families with fewer than `least` records before or after go."""
+    return sized_families(records, F.length("seq"), low, high, centre, least)
+
+
 #: Texts of a family are dealt to blocks of about so many; two blocks at a time meet in one task. Where pairs aren't rows, blocks are WIDER times as large.
 BLOCK = 512
 WIDER = 8

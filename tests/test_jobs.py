@@ -92,6 +92,23 @@ def test_an_empty_table(spark, tmp_path):
     assert family_release.run(spark, f"{tmp_path}/t", f"{tmp_path}/b").collect() == []
 
 
+def test_family_release_goes_over_the_texts_twice(spark, tables, tmp_path, monkeypatch):
+    folder, out = tables
+    seen, real = spark.sparkContext.accumulator(0), family_release.substrate.records_of
+
+    def counted(docs, target):
+        def run(batches):
+            for batch in batches:
+                seen.add(len(batch))
+                yield batch
+
+        return real(docs.mapInArrow(run, docs.schema), target)
+
+    monkeypatch.setattr(family_release.substrate, "records_of", counted)
+    family_release.run(spark, folder, out)
+    assert 0 < seen.value <= 2 * 64
+
+
 def test_family_release_is_replaced_whole_or_by_family(spark, tables, tmp_path):
     folder, out = tables
     config = tmp_path / "c.json"
