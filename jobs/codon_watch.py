@@ -55,9 +55,7 @@ def take(batch: DataFrame, number: int, out: str, code: int) -> int:
     measured = statistics.gc_table(counted, code).select("doc_id", "og", *MEASURES, "taxon", F.lit(number).cast("long").alias("batch"))
     replace = lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     replace(measured.hint("rebalance", "taxon")).partitionBy("taxon", "batch").parquet(f"{out}/records")
-    # Each task counts its own codons first: 64 rows a taxon leave it.
-    codons = new_records(batch).select("taxon", F.explode(sequences.codons(F.col("seq"))).alias("codon"))
-    counts = codons.groupBy("taxon", "codon").agg(F.count(F.lit(1)).alias("n")).withColumn("batch", F.lit(number).cast("long"))
+    counts = statistics.codon_sums(new_records(batch), "taxon").withColumn("batch", F.lit(number).cast("long"))
     replace(counts).partitionBy("batch").parquet(f"{out}/counts")
     return seen.get["rows"]
 

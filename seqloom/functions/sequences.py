@@ -131,6 +131,33 @@ def codon_numbers(seq: str) -> np.ndarray:
     return np.minimum(places[::3] * 16 + places[1::3] * 4 + places[2::3], len(CODONS))
 
 
+_GC = np.zeros(256, bool)
+_GC[[ord(x) for x in "GCgc"]] = True
+PLACES = ("gc", "gc1", "gc2", "gc3", "gc12", "gc3_4fold")
+
+
+def composition(seq: Column, code: int = 1) -> Column:
+    """The percentages of gc_by_place() as a struct, of one look at each sequence."""
+    fourfold = np.zeros(17, bool)
+    fourfold[["TCAG".index(x) * 4 + "TCAG".index(y) for x, y in ((*FOURFOLD, "TA") if code in FOURFOLD_TA else FOURFOLD)]] = True
+
+    def percent(found: np.ndarray) -> float | None:
+        return 100.0 * int(found.sum()) / found.size if found.size else None
+
+    def of(seq: str) -> list[float | None]:
+        letters = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)
+        by_codon = letters[: len(letters) // 3 * 3].reshape(-1, 3)
+        gc, places = _GC[by_codon], _PLACES[by_codon[:, :2]]
+        sites = fourfold[np.minimum(places[:, 0] * 4 + places[:, 1], 16)]
+        return [percent(x) for x in (_GC[letters], gc[:, 0], gc[:, 1], gc[:, 2], gc[:, :2], gc[sites, 2])]
+
+    def run(seqs: pa.Array) -> pa.Array:
+        rows = [[None] * len(PLACES) if x is None else of(x) for x in seqs.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.float64()) for i in range(len(PLACES))], names=list(PLACES))
+
+    return F.arrow_udf(run, ", ".join(f"{x} double" for x in PLACES))(seq)
+
+
 def peptide(seq: str, acids: np.ndarray, strip_stops: bool = True) -> str:
     """Amino acids of all complete codons; acids: the letter of each codon and X."""
     out = acids[codon_numbers(seq)].tobytes()

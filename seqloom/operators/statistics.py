@@ -13,9 +13,9 @@ from ..functions import sequences
 
 def gc_table(records: DataFrame, code: int = 1) -> DataFrame:
     """Length, GC by codon place and the expected effective number of codons of each record."""
-    stats = sequences.gc_by_place(F.col("seq"), code)
-    wide = records.withColumns({"length": F.length("seq").cast("long"), "coverage": sequences.coverage_of(F.col("id"))} | stats)
-    return wide.withColumn("expected_enc", sequences.expected_enc(F.col("gc3_4fold"))).drop("seq")
+    wide = records.withColumns({"length": F.length("seq").cast("long"), "coverage": sequences.coverage_of(F.col("id")), "_gc": sequences.composition(F.col("seq"), code)})
+    wide = wide.withColumns({x: F.col(f"_gc.{x}") for x in sequences.PLACES})
+    return wide.withColumn("expected_enc", sequences.expected_enc(F.col("gc3_4fold"))).drop("seq", "_gc")
 
 
 def null_curve(spark) -> DataFrame:
@@ -66,6 +66,33 @@ def codon_counts(records: DataFrame) -> DataFrame:
     return records.select("id", F.explode(sequences.codons(F.col("seq"))).alias("codon")).where(F.col("codon").rlike("^[ACGT]{3}$")).groupBy("id", "codon").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Groups that a task holds before it hands their counts on.
+HELD = 10_000
+
+
+def codon_sums(records: DataFrame, group: str) -> DataFrame:
+    """group, codon, n: how often each codon of the four letters comes up in frame; a task hands on 64 rows a group."""
+
+    def run(batches):
+        held: dict = {}
+
+        def counts():
+            rows = [(g, c, n) for g, sums in held.items() for c, n in zip(sequences.CODONS, sums.tolist(), strict=False) if n]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=[group, "codon", "n"])
+
+        for batch in batches:
+            for name, seq in zip(batch[group], batch["seq"], strict=True):
+                sums = held.setdefault(name.as_py(), np.zeros(65, np.int64))
+                sums += np.bincount(sequences.codon_numbers(seq.as_py()), minlength=65)
+                if len(held) >= HELD:
+                    yield counts()
+        yield counts()
+
+    found = records.select(F.col(group).cast("string").alias(group), "seq").where("seq is not null").mapInArrow(run, f"{group} string, codon string, n long")
+    return found.groupBy(group, "codon").agg(F.sum("n").alias("n"))
+
+
 def observed_enc(records: DataFrame, code: int = 1) -> DataFrame:
     """Effective number of codons with the background composition taken out (Novembre 2002), as defined here.
 

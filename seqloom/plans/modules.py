@@ -140,7 +140,7 @@ def add_taxa(data: DataFrame, hit_table: DataFrame, options: AddTaxa, rrna: list
     out["nucleotides"] = final
     out["proteins"] = final.withColumn("seq", sequences.translated(F.col("seq"), code))
     if options.stats:
-        out["statistics"] = statistics.gc_table(final, code).join(statistics.observed_enc(final, code), "id", "left")
+        out["statistics"] = statistics.gc_table(final, code).join(statistics.observed_enc(final, code).groupBy("id").agg(F.max("enc").alias("enc")), "id", "left")
     return out
 
 

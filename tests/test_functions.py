@@ -132,3 +132,22 @@ def test_letters_of_texts_are_those_of_the_expression(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "text string").select(substrate.sequence_of(F.col("text"), substrate.AA_TARGET).alias("a"), plain.alias("b"))
     assert "regexp" not in frame.select("a")._jdf.queryExecution().optimizedPlan().toString()
     assert [r["a"] for r in frame.collect()] == [r["b"] for r in frame.collect()]
+
+
+def test_composition_is_that_of_the_expressions(spark):
+    seqs = ["ATGGCCTAATGAN", "acgtacgtnnRYacg", "", "AC", None, "ATG\u00e9CCTAG", "TCACTGGGATAC" * 5 + "C"]
+    frame = spark.createDataFrame([(s,) for s in seqs], "seq string")
+    for code in (1, 6):
+        plain = frame.select(*(c.alias(n) for n, c in sequences.gc_by_place(F.col("seq"), code).items())).collect()
+        assert [r["f"] for r in frame.select(sequences.composition(F.col("seq"), code).alias("f")).collect()] == plain
+
+
+def test_codons_of_groups_are_summed_within_tasks(spark):
+    from seqloom.operators import statistics
+
+    rows = [(f"t{k % 3}", ["ATGGCCTAATGAN", "acgACG", "", None, "ATG\u00e9CCTAG"][k % 5]) for k in range(60)]
+    frame = spark.createDataFrame(rows, "taxon string, seq string")
+    found = statistics.codon_sums(frame, "taxon")
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    plain = frame.select("taxon", F.explode(sequences.codons(F.col("seq"))).alias("codon")).where("codon rlike '^[ACGT]{3}$'").groupBy("taxon", "codon").count()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
