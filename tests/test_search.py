@@ -119,3 +119,16 @@ def test_translated_search_gives_places_on_the_nucleotides(spark):
         cut = seq[r["qstart"] - 1 : r["qend"]] if r["qframe"] > 0 else back(seq[r["qend"] - 1 : r["qstart"]])
         assert cut == cds and (r["sstart"], r["send"], r["pident"]) == (1, 80, 100.0)
     assert rows["ahead"]["qframe"] == 2 and rows["behind"]["qframe"] == -3
+
+
+def test_only_seeds_that_queries_have_are_handed_on():
+    rng = np.random.default_rng(3)
+    text = lambda n: "".join(rng.choice(list(AA + "Xa"), n))
+    query, subject = text(60), text(400)
+    subject = subject[:200] + query[10:40] + subject[200:]
+    asked = search.seed_numbers(query, 5, 3)
+    sieve = np.zeros(search.SIEVE, bool)
+    sieve[asked & (search.SIEVE - 1)] = True
+    got = search.seed_numbers(subject, 5, 3, (sieve, asked))
+    assert len(got) and got.tolist() == np.intersect1d(asked, search.seed_numbers(subject, 5, 3)).tolist()
+    assert len(search.seed_numbers("AAC", 5, 3)) == len(search.seed_numbers("AAAAAAAA", 5, 3)) == 0
